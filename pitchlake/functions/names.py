@@ -25,7 +25,7 @@ so the result is a function of the list's content, not of arrival order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake import constants as K
@@ -82,36 +82,65 @@ def entry_names(entries: Column) -> Column:
 
 
 def resolve_name(short: Column, entries: Column) -> Column:
-    """Full name for ``short`` from an entry array (see module docstring)."""
+    """Full name for ``short`` from an entry array (see module docstring).
+
+    One ``aggregate`` fold over the entries: the short name's keys (stripped
+    upper-case text, length, word count, known abbreviation) are computed once
+    per row in the fold's zero value, and each step only compares strings.
+    Keeping the keys in the accumulator (rather than as outer references in a
+    lambda) means they are never re-evaluated per candidate, wherever the
+    optimizer moves the expression. The fold records the first abbreviation
+    hit and the first pattern hit in list order.
+    """
     abbr = strip_ws(short)
     abbr_u = F.upper(abbr)
-    n_words = F.size(words(abbr))
-    known = F.try_element_at(_abbreviations(), abbr_u)
-
-    by_abbreviation = F.get(F.filter(entries, lambda e: e["upper"] == F.upper(known)), 0)["name"]
+    zero = F.struct(
+        abbr_u.alias("u"),
+        F.length(abbr).alias("len"),
+        F.size(words(abbr)).alias("nw"),
+        F.upper(F.try_element_at(_abbreviations(), abbr_u)).alias("known"),
+        F.lit(None).cast("string").alias("by_abbr"),
+        F.lit(None).cast("string").alias("by_pattern"),
+    )
 
-    def matches(e: Column) -> Column:
+    def matches(acc: Column, e: Column) -> Column:
+        u, nw = acc["u"], acc["nw"]
         n_name_words = F.size(e["words"])
-        n_tail = F.greatest(n_words, F.lit(1))  # slice() rejects a 0 start; branch unused then
+        n_tail = F.greatest(nw, F.lit(1))  # slice() rejects a 0 start; branch unused then
         tail = F.array_join(F.slice(e["words"], -n_tail, n_tail), " ")
         return (
-            (abbr_u == e["initials"])
-            | ((abbr_u == e["upper_initials"]) & (e["upper_initials"] != e["initials"]))
-            | ((F.length(abbr) >= 2) & (n_words == 1) & F.startswith(e["upper"], abbr_u))
-            | ((n_words == 1) & (abbr_u == F.get(e["words"], n_name_words - 1)))
-            | ((n_words >= 2) & (n_name_words > n_words) & (tail == abbr_u))
+            (u == e["initials"])
+            | ((u == e["upper_initials"]) & (e["upper_initials"] != e["initials"]))
+            | ((acc["len"] >= 2) & (nw == 1) & F.startswith(e["upper"], u))
+            | ((nw == 1) & (u == F.get(e["words"], n_name_words - 1)))
+            | ((nw >= 2) & (n_name_words > nw) & (tail == u))
         )
 
-    by_pattern = F.get(F.filter(entries, matches), 0)["name"]
+    def step(acc: Column, e: Column) -> Column:
+        return F.struct(
+            acc["u"].alias("u"), acc["len"].alias("len"), acc["nw"].alias("nw"), acc["known"].alias("known"),
+            F.when(acc["by_abbr"].isNull() & (e["upper"] == acc["known"]), e["name"])
+            .otherwise(acc["by_abbr"]).alias("by_abbr"),
+            F.when(acc["by_pattern"].isNull() & matches(acc, e), e["name"])
+            .otherwise(acc["by_pattern"]).alias("by_pattern"),
+        )
 
+    found = F.aggregate(entries, zero, step, lambda acc: F.coalesce(acc["by_abbr"], acc["by_pattern"]))
     return (
         F.when(short.isNull() | (short == ""), short)
         .when(entries.isNull() | (F.size(entries) == 0), short)
-        .when(F.array_contains(entry_names(entries), short) | short.contains(K.SUPER_OVER), short)
-        .otherwise(F.coalesce(by_abbreviation, by_pattern, short))
+        .when(F.exists(entries, lambda e: e["name"] == short) | short.contains(K.SUPER_OVER), short)
+        .otherwise(F.coalesce(found, short))
     )
 
 
+def resolve_columns(df: DataFrame, targets: dict[str, tuple[str, str]]) -> DataFrame:
+    """Adds ``out = resolve_name(short, entries)`` for each ``out -> (short, entries)``."""
+    return df.withColumns({
+        out: resolve_name(F.col(short), F.col(entries)) for out, (short, entries) in targets.items()
+    })
+
+
 def resolve_in_list(short: Column, names: Column) -> Column:
     """Convenience form taking a plain array of names (entries built on the fly)."""
     return resolve_name(short, name_entries(F.sort_array(names)))

@@ -65,9 +65,9 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame) -> DataFrame:
     """first/second innings abbreviations -> team names listed for the match."""
     teams = lookups.match_team_lists(players)
     df = metadata.join(teams, on="matchid", how="left")
-    return df.withColumns({
-        "first_innings": names.resolve_name(F.col("first_innings"), F.col("team_entries")),
-        "second_innings": names.resolve_name(F.col("second_innings"), F.col("team_entries")),
+    return names.resolve_columns(df, {
+        "first_innings": ("first_innings", "team_entries"),
+        "second_innings": ("second_innings", "team_entries"),
     }).drop("team_entries")
 
 
@@ -113,10 +113,10 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame) -> DataFrame:
     """
     lists = lookups.match_name_lists(players)
     df = parsed.join(lists, on="matchid", how="left")
-    df = df.withColumns({
-        "team": names.resolve_name(F.col("innings"), F.col("team_entries")),
-        "batsman_resolved": names.resolve_name(F.col("batsman_short"), F.col("player_entries")),
-        "bowler_resolved": names.resolve_name(F.col("bowler_short"), F.col("player_entries")),
+    df = names.resolve_columns(df, {
+        "team": ("innings", "team_entries"),
+        "batsman_resolved": ("batsman_short", "player_entries"),
+        "bowler_resolved": ("bowler_short", "player_entries"),
     })
     return df.withColumn("super_over_team", parse.super_over_label(F.col("team"))).drop(
         "team_entries", "player_entries")

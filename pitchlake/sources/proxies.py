@@ -227,11 +227,26 @@ def zones(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(ZONES), schemas.ZONES_SCHEMA)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions an input that arrives in fewer splits than the shuffle
+    partition count (e.g. one small parquet file), so per-row parsing runs on
+    all cores; a no-op for a large input already read in many splits.
+
+    Partitioning on ``matchid`` also satisfies every per-match join, aggregate
+    and window downstream, so it replaces a shuffle rather than adding one.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, *keys)
+
+
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All fixture feeds over one scale-factor directory."""
     events = read_table(spark, sf_dir, "events")
     return {
-        "deliveries": deliveries(events),
+        "deliveries": spread(deliveries(events), "matchid"),
         "players": players(events),
         "metadata": metadata(events),
         "zones": zones(spark),
