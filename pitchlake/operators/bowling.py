@@ -18,11 +18,10 @@ RUN_COUNTS = tuple(f"runs_{n}s_conceded" for n in range(1, 7))
 
 
 def _flags(events: DataFrame) -> DataFrame:
-    """Deliveries with a bowler (an empty, unparsed bowler name is kept as its own group)."""
     legal = F.when(F.col("Extras").isin(K.EXTRAS_WIDE, K.EXTRAS_NOBALL), F.lit(0)).otherwise(F.lit(1))
     bowler_runs = F.when(F.col("Extras").isin(K.EXTRAS_LEGBYES, K.EXTRAS_BYES), F.lit(0)).otherwise(F.col("runs"))
     method = F.col("dismissal_method")
-    return events.where(F.col("bowler").isNotNull()).select(
+    return events.select(
         "matchid", "bowler", "over",
         legal.alias("legal"),
         bowler_runs.alias("bowler_runs"),
@@ -31,9 +30,17 @@ def _flags(events: DataFrame) -> DataFrame:
 
 
 def per_over(events: DataFrame) -> DataFrame:
-    """(matchid, bowler, over) partial sums; super-over balls share over 1."""
+    """(matchid, bowler, over) partial sums; super-over balls share over 1.
+
+    Deliveries without a bowler are dropped (an empty, unparsed bowler name
+    stays as its own group). The NULL test is applied to the grouped rows
+    (``count(bowler) > 0``) rather than to the deliveries: a filter on the
+    delivery column would be pushed below the projection that resolves the
+    bowler name and make the plan resolve every name twice.
+    """
     r = F.col("bowler_runs")
     return _flags(events).groupBy("matchid", "bowler", "over").agg(
+        F.count("bowler").alias("_bowler_rows"),
         F.count(F.lit(1)).alias("deliveries"),
         F.sum("legal").alias("legal_balls"),
         F.sum("bowler_runs").alias("bowler_runs"),
@@ -41,7 +48,7 @@ def per_over(events: DataFrame) -> DataFrame:
         F.count_if("wicket").alias("wickets"),
         *[F.count_if(r == n).alias(f"runs_{n}s_conceded") for n in range(1, 6)],
         F.count_if(r >= 6).alias("runs_6s_conceded"),
-    )
+    ).where(F.col("_bowler_rows") > 0).drop("_bowler_rows")
 
 
 def _is_maiden():

@@ -53,6 +53,8 @@ def _chunked(events: DataFrame, chunk: int) -> DataFrame:
         "_runs_in_chunk": F.sum("runs").over(local_w),
         "_wkts_in_chunk": F.sum("_w").over(local_w),
     })
+    # Chunk totals: a partial aggregate that reads only the key and measure
+    # columns; the prefix sums then run over one row per chunk.
     totals = local.groupBy("_innings", "_chunk").agg(
         F.sum("runs").alias("_chunk_runs"), F.sum("_w").alias("_chunk_wkts"))
     before = (Window.partitionBy("_innings").orderBy("_chunk")
@@ -75,6 +77,17 @@ def _chunked(events: DataFrame, chunk: int) -> DataFrame:
     }).drop("_innings", "_chunk", "_w", "_runs_in_chunk", "_wkts_in_chunk", "_runs_before", "_wkts_before")
 
 
+def largest_innings(events: DataFrame) -> int:
+    """Row count of the largest innings key (one partial-aggregated pass over the key columns)."""
+    counts = events.groupBy(*INNINGS_KEYS).count()
+    return counts.agg(F.max("count")).first()[0] or 0
+
+
+def choose_chunk(events: DataFrame, max_innings_rows: int = 1_000_000, chunk: int = 64) -> int | None:
+    """Chunk size when some innings key is too large for one window partition, else None."""
+    return chunk if largest_innings(events) > max_innings_rows else None
+
+
 def gold_events(silver_events: DataFrame, hot_key_chunk: int | None = None) -> DataFrame:
     cols = [
         "Batchid", "matchid", "event", "ball", "over", "over_ball_number", "match_ball_number",

@@ -260,14 +260,25 @@ _BRONZE_OF_FEED = {"deliveries": "match_events", "metadata": "match_metadata", "
 _STAGED = "part-*"
 
 
+_STAGED_ROOTS: dict[tuple, str] = {}
+
+
 def _stage_feeds(spark: SparkSession, sf_dir: str, which=("deliveries", "metadata", "players")) -> dict[str, str]:
-    """Writes fixture feeds as files under a fresh scratch directory; returns feed -> root."""
+    """Fixture feeds as files in the ``matchid=<n>/`` layout; returns feed -> root.
+
+    Staged once per session and input directory (the files are read-only
+    afterwards); every query run still ingests them into a fresh table with a
+    fresh checkpoint, so it reads every file.
+    """
     f = _feeds(spark, sf_dir)
-    base = fresh_dir(spark, "feeds")
     roots = {}
     for feed in which:
-        roots[feed] = os.path.join(base, feed)
-        files.write_feed(f[feed], roots[feed], _FEED_FORMATS[feed])
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), feed)
+        if key not in _STAGED_ROOTS:
+            root = fresh_dir(spark, f"feed-{feed}")
+            files.write_feed(f[feed], root, _FEED_FORMATS[feed])
+            _STAGED_ROOTS[key] = root
+        roots[feed] = _STAGED_ROOTS[key]
     return roots
 
 
@@ -299,7 +310,7 @@ def ingest_players_csv(spark, sf_dir):
 def _dedup_twice(spark: SparkSession, sf_dir: str, feed: str, reader, keys) -> DataFrame:
     """Feed delivered twice (exact copies in two runs); stateful dedup keeps one row per key."""
     f = _feeds(spark, sf_dir)
-    root = fresh_dir(spark, f"feed-{feed}")
+    root = fresh_dir(spark, f"feed-twice-{feed}")
     lake = Lake(fresh_dir(spark, "lake"))
     out, ckpt = lake.table("silver", feed), lake.checkpoint("silver", feed)
     for run in range(2):
@@ -321,12 +332,14 @@ def dedup_metadata_stream(spark, sf_dir):
     return df.select(*schemas.BRONZE_METADATA_COLUMNS)
 
 
-def _medallion(spark: SparkSession, sf_dir: str) -> Lake:
-    roots = _stage_feeds(spark, sf_dir)
+def _medallion(spark: SparkSession, sf_dir: str, tables) -> Lake:
+    """files -> bronze -> silver streams for the given tables (line-ups always first)."""
+    feeds = {v: k for k, v in _BRONZE_OF_FEED.items()}
+    roots = _stage_feeds(spark, sf_dir, [feeds[t] for t in tables])
     lake = Lake(fresh_dir(spark, "lake"))
-    medallion.run_bronze(spark, {_BRONZE_OF_FEED[k]: v for k, v in roots.items()}, lake,
-                         run_id="fixture", file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED))
-    medallion.run_silver(spark, lake, proxies.zones(spark))
+    medallion.run_bronze(spark, {_BRONZE_OF_FEED[k]: v for k, v in roots.items()}, lake, run_id="fixture",
+                         file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED), tables=tables)
+    medallion.run_silver(spark, lake, proxies.zones(spark), tables=tables)
     return lake
 
 
@@ -336,19 +349,19 @@ def _without_audit(columns) -> list[str]:
 
 @query
 def silver_players_stream(spark, sf_dir):
-    lake = _medallion(spark, sf_dir)
+    lake = _medallion(spark, sf_dir, ("match_players",))
     return lake.read(spark, "silver", "match_players").select(*_without_audit(schemas.SILVER_PLAYERS_COLUMNS))
 
 
 @query
 def silver_metadata_stream(spark, sf_dir):
-    lake = _medallion(spark, sf_dir)
+    lake = _medallion(spark, sf_dir, ("match_players", "match_metadata"))
     return lake.read(spark, "silver", "match_metadata").select(*_without_audit(schemas.SILVER_METADATA_COLUMNS))
 
 
 @query
 def silver_events_stream(spark, sf_dir):
-    lake = _medallion(spark, sf_dir)
+    lake = _medallion(spark, sf_dir, ("match_players", "match_events"))
     return lake.read(spark, "silver", "match_events").select(*_without_audit(schemas.SILVER_EVENTS_COLUMNS))
 
 

@@ -56,13 +56,19 @@ def scratch_root(spark: SparkSession) -> str:
         root = spark.conf.get(_SCRATCH_KEY, None)
     except Exception:  # noqa: BLE001 - core key not exposed through the SQL conf
         root = None
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session without a SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get(_SCRATCH_KEY, None)
     if not root:
-        root = spark.sparkContext.getConf().get(_SCRATCH_KEY, None)
-    if not root:
-        key = id(spark.sparkContext)
+        key = id(sc) if sc is not None else id(spark)
         if key not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="pitchlake-scratch-")
-            spark.sparkContext.setCheckpointDir(_LOCAL_FALLBACK[key])
+            if sc is not None:
+                sc.setCheckpointDir(_LOCAL_FALLBACK[key])
         root = _LOCAL_FALLBACK[key]
     return root.rstrip("/")
 

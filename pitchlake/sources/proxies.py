@@ -237,9 +237,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
-    return df.repartition(n, *keys)
+    return df if splits >= n else df.repartition(n, *keys)
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

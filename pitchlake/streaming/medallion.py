@@ -25,8 +25,9 @@ def _stream_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> Dat
     return spark.readStream.schema(schema).parquet(lake.table(layer, name))
 
 
-def run_bronze(spark: SparkSession, source_root: str, lake: Lake, *, run_id: str = K.DEFAULT_RUN_ID,
-               file_names: dict[str, str] | None = None, partition_by=None) -> dict:
+def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lake, *,
+               run_id: str = K.DEFAULT_RUN_ID, file_names: dict[str, str] | None = None, partition_by=None,
+               tables=BRONZE_TABLES) -> dict:
     """Ingest new files of the three feeds (each file exactly once across runs)."""
     names = {"match_events": K.EVENTS_FILE, "match_metadata": K.METADATA_FILE, "match_players": K.PLAYERS_FILE}
     names.update(file_names or {})
@@ -34,6 +35,8 @@ def run_bronze(spark: SparkSession, source_root: str, lake: Lake, *, run_id: str
     readers = {"match_events": files.events, "match_metadata": files.metadata, "match_players": files.players}
     out = {}
     for table in ("match_players", "match_metadata", "match_events"):
+        if table not in tables:
+            continue
         df = readers[table](spark, roots[table], streaming=True, file_name=names[table], run_id=run_id)
         out[table] = append(df, lake.table(K.BRONZE, table), lake.checkpoint(K.BRONZE, table),
                             partition_by=partition_by, query_name=f"bronze_{table}")
@@ -41,30 +44,42 @@ def run_bronze(spark: SparkSession, source_root: str, lake: Lake, *, run_id: str
 
 
 def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark: str | None = None,
-               partition_by=None) -> dict:
+               partition_by=None, tables=BRONZE_TABLES) -> dict:
+    """Line-ups first (always), then metadata and deliveries if requested."""
     out = {}
     players_stream = _stream_table(spark, lake, K.BRONZE, "match_players")
     out["match_players"] = append(
         silver.silver_players(players_stream, watermark), lake.table(K.SILVER, "match_players"),
         lake.checkpoint(K.SILVER, "match_players"), partition_by=partition_by, query_name="silver_match_players")
     snapshot = lake.read(spark, K.SILVER, "match_players")
-    meta_stream = _stream_table(spark, lake, K.BRONZE, "match_metadata")
-    out["match_metadata"] = append(
-        silver.silver_metadata(meta_stream, snapshot, zones, watermark), lake.table(K.SILVER, "match_metadata"),
-        lake.checkpoint(K.SILVER, "match_metadata"), partition_by=partition_by, query_name="silver_match_metadata")
-    events_stream = _stream_table(spark, lake, K.BRONZE, "match_events")
-    out["match_events"] = append(
-        silver.silver_events(events_stream, snapshot), lake.table(K.SILVER, "match_events"),
-        lake.checkpoint(K.SILVER, "match_events"), partition_by=partition_by, query_name="silver_match_events")
+    if "match_metadata" in tables:
+        meta_stream = _stream_table(spark, lake, K.BRONZE, "match_metadata")
+        out["match_metadata"] = append(
+            silver.silver_metadata(meta_stream, snapshot, zones, watermark), lake.table(K.SILVER, "match_metadata"),
+            lake.checkpoint(K.SILVER, "match_metadata"), partition_by=partition_by,
+            query_name="silver_match_metadata")
+    if "match_events" in tables:
+        events_stream = _stream_table(spark, lake, K.BRONZE, "match_events")
+        out["match_events"] = append(
+            silver.silver_events(events_stream, snapshot), lake.table(K.SILVER, "match_events"),
+            lake.checkpoint(K.SILVER, "match_events"), partition_by=partition_by, query_name="silver_match_events")
     return out
 
 
-def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | None = None) -> dict[str, str]:
-    """Recompute all gold tables from the silver snapshots."""
+def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
+    """Recompute all gold tables from the silver snapshots.
+
+    ``hot_key_chunk="auto"`` first counts rows per innings key (a pruned scan
+    and a partial aggregate) and splits the running-sum window into chunks only
+    if some key is too large for one task.
+    """
     read = lambda layer, name: lake.read(spark, layer, name)
     meta, players = read(K.SILVER, "match_metadata"), read(K.SILVER, "match_players")
+    silver_events = read(K.SILVER, "match_events")
+    if hot_key_chunk == "auto":
+        hot_key_chunk = innings.choose_chunk(silver_events)
     paths = {"match_events": lake.overwrite(
-        innings.gold_events(read(K.SILVER, "match_events"), hot_key_chunk), K.GOLD, "match_events")}
+        innings.gold_events(silver_events, hot_key_chunk), K.GOLD, "match_events")}
     events = read(K.GOLD, "match_events")
     chain = (
         ("batting_stats_per_match", lambda: batting.batting_per_match(events, meta)),
