@@ -95,3 +95,12 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
     for name, build in chain:
         paths[name] = lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()), K.GOLD, name)
     return paths
+
+
+def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str | None = None,
+            partition_by=None, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
+    """One trigger of the whole flow: new files -> bronze -> silver, then gold recomputed."""
+    lake = Lake(settings.lake_root)
+    run_bronze(spark, settings.source_path, lake, run_id=settings.run_id, partition_by=partition_by)
+    run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by)
+    return build_gold(spark, lake, hot_key_chunk=hot_key_chunk)

@@ -91,3 +91,37 @@ def test_stream_equals_batch_and_observes_rules(spark, tmp_path):
     medallion.build_gold(spark, lake, hot_key_chunk=32)
     gold = lake.read(spark, "gold", "batting_stats_overall")
     assert gold.agg(F.sum("total_balls_faced")).first()[0] == streamed.where("Extras != 'wide'").count()
+
+
+def test_run_all_from_conf(spark, tmp_path):
+    from pitchlake import settings
+
+    src = str(tmp_path / "src")
+    _write_events(src, 7, 6)
+    os.makedirs(os.path.join(src, "matchid=7"), exist_ok=True)
+    with open(os.path.join(src, "matchid=7", "match_players_data.csv"), "w", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow(["innings", "team", "player_name", "batted", "batting_position", "player_type", "retired",
+                    "not_out", "bowled"])
+        w.writerow(["IND", "India", "Ben Root", "true", 1, "batter", "False", "False", "False"])
+        w.writerow(["IND", "India", "Amit Patel", "true", 2, "bowler", "False", "False", "True"])
+    with open(os.path.join(src, "matchid=7", "metadata_data.json"), "w") as fh:
+        fh.write('{"ground": "Mumbai", "toss": "India, elected to bat first", "series": "S", "season": "2024",'
+                 ' "match_days": "5 January 2024 - night", "hours_of_play_local_time": "19.30 start",'
+                 ' "first_innings": "IND", "second_innings": "PAK", "has_super_over": false,'
+                 ' "super_over_count": 0, "series_result": "India won by 3 runs"}\n')
+    spark.conf.set("pitchlake.source_path", src)
+    spark.conf.set("pitchlake.lake_root", str(tmp_path / "lake"))
+    spark.conf.set("pitchlake.run_id", "conf-run")
+    try:
+        s = settings.from_conf(spark)
+        paths = medallion.run_all(spark, s, proxies.zones(spark))
+    finally:
+        for k in ("pitchlake.source_path", "pitchlake.lake_root", "pitchlake.run_id"):
+            spark.conf.unset(k)
+    bat = spark.read.parquet(paths["batting_stats_per_match"])
+    assert bat.select("matchid", "series").distinct().collect()[0].asDict() == {"matchid": 7, "series": "S"}
+    summary = spark.read.parquet(paths["match_summary"]).first()
+    assert (summary.team_1, summary.winner, summary.result_type) == ("India", "India", "by runs")
+    assert spark.read.parquet(os.path.join(str(tmp_path / "lake"), "bronze", "match_events")).where(
+        "Batchid = 'conf-run'").count() == 6
