@@ -61,9 +61,15 @@ def enrich_metadata(metadata: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
-def resolve_innings_teams(metadata: DataFrame, players: DataFrame) -> DataFrame:
-    """first/second innings abbreviations -> team names listed for the match."""
-    teams = lookups.match_team_lists(players)
+def resolve_innings_teams(metadata: DataFrame, players: DataFrame | None = None,
+                          lists: DataFrame | None = None) -> DataFrame:
+    """first/second innings abbreviations -> team names listed for the match.
+
+    ``lists`` (from ``lookups.match_name_lists``) may be passed precomputed,
+    e.g. a table written once per streaming run, instead of ``players``.
+    """
+    teams = (lookups.match_team_lists(players) if lists is None
+             else lists.select("matchid", "team_entries"))
     df = metadata.join(teams, on="matchid", how="left")
     return names.resolve_columns(df, {
         "first_innings": ("first_innings", "team_entries"),
@@ -71,10 +77,10 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame) -> DataFrame:
     }).drop("team_entries")
 
 
-def silver_metadata(bronze_metadata: DataFrame, players: DataFrame, zones: DataFrame,
-                    watermark: str | None = None) -> DataFrame:
+def silver_metadata(bronze_metadata: DataFrame, players: DataFrame | None, zones: DataFrame,
+                    watermark: str | None = None, lists: DataFrame | None = None) -> DataFrame:
     df = deduplicate(bronze_metadata, METADATA_KEYS, watermark)
-    df = resolve_innings_teams(enrich_metadata(df, zones), players)
+    df = resolve_innings_teams(enrich_metadata(df, zones), players, lists)
     return df.select(*schemas.SILVER_METADATA_COLUMNS, F.current_timestamp().alias("silver_load_timestamp"))
 
 
@@ -103,7 +109,8 @@ def parse_deliveries(events: DataFrame) -> DataFrame:
     }).drop("_kind")
 
 
-def resolve_delivery_names(parsed: DataFrame, players: DataFrame) -> DataFrame:
+def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
+                           lists: DataFrame | None = None) -> DataFrame:
     """Team, batsman and bowler resolved against the match's line-up lists.
 
     Left join on matchid: a delivery whose match has no line-up keeps its short
@@ -111,8 +118,9 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame) -> DataFrame:
     when its runtime size is small and shuffles both sides on matchid otherwise,
     which also clusters the deliveries for the per-match aggregates downstream.
     """
-    lists = lookups.match_name_lists(players)
-    df = parsed.join(lists, on="matchid", how="left")
+    if lists is None:
+        lists = lookups.match_name_lists(players)
+    df = parsed.join(lists.select("matchid", "team_entries", "player_entries"), on="matchid", how="left")
     df = names.resolve_columns(df, {
         "team": ("innings", "team_entries"),
         "batsman_resolved": ("batsman_short", "player_entries"),
@@ -122,8 +130,8 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame) -> DataFrame:
         "team_entries", "player_entries")
 
 
-def silver_events(bronze_events: DataFrame, players: DataFrame) -> DataFrame:
-    df = resolve_delivery_names(parse_deliveries(bronze_events), players)
+def silver_events(bronze_events: DataFrame, players: DataFrame | None, lists: DataFrame | None = None) -> DataFrame:
+    df = resolve_delivery_names(parse_deliveries(bronze_events), players, lists)
     df = df.drop("bowler", "batsman").withColumnsRenamed(
         {"bowler_resolved": "bowler", "batsman_resolved": "batsman"})
     return df.select(*schemas.SILVER_EVENTS_COLUMNS, F.current_timestamp().alias("silver_load_timestamp"))

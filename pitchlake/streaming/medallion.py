@@ -12,12 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake import constants as K
-from pitchlake.operators import batting, bowling, innings, silver, spans, summary
+from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.sources import files
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming.runner import append
+from pitchlake.streaming.runner import append, observed_totals
 
 BRONZE_TABLES = ("match_events", "match_metadata", "match_players")
+_RULE_SET = {"match_events": "events", "match_metadata": "metadata", "match_players": "players"}
+
+
+def quality_summary(queries: dict, layer: str) -> dict[str, dict[str, int]]:
+    """Rule violation counts observed during the last run of each stream of a layer."""
+    out = {}
+    for table, q in queries.items():
+        dataset = f"{layer}_{_RULE_SET[table]}"
+        out[dataset] = observed_totals(q, f"dq_{dataset}")
+    return out
 
 
 def _stream_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
@@ -38,6 +48,7 @@ def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lak
         if table not in tables:
             continue
         df = readers[table](spark, roots[table], streaming=True, file_name=names[table], run_id=run_id)
+        df = quality.observe_rules(df, f"{K.BRONZE}_{_RULE_SET[table]}")
         out[table] = append(df, lake.table(K.BRONZE, table), lake.checkpoint(K.BRONZE, table),
                             partition_by=partition_by, query_name=f"bronze_{table}")
     return out
@@ -49,19 +60,28 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     out = {}
     players_stream = _stream_table(spark, lake, K.BRONZE, "match_players")
     out["match_players"] = append(
-        silver.silver_players(players_stream, watermark), lake.table(K.SILVER, "match_players"),
+        quality.observe_rules(silver.silver_players(players_stream, watermark), "silver_players"),
+        lake.table(K.SILVER, "match_players"),
         lake.checkpoint(K.SILVER, "match_players"), partition_by=partition_by, query_name="silver_match_players")
+    # Per-match name lists: aggregated once per run into a table, so each
+    # micro-batch of the two streams below joins a plain scan instead of
+    # re-aggregating every line-up.
     snapshot = lake.read(spark, K.SILVER, "match_players")
+    lake.overwrite(lookups.match_name_lists(snapshot), K.SILVER, "match_name_lists")
+    lists = lake.read(spark, K.SILVER, "match_name_lists")
     if "match_metadata" in tables:
         meta_stream = _stream_table(spark, lake, K.BRONZE, "match_metadata")
         out["match_metadata"] = append(
-            silver.silver_metadata(meta_stream, snapshot, zones, watermark), lake.table(K.SILVER, "match_metadata"),
+            quality.observe_rules(silver.silver_metadata(meta_stream, None, zones, watermark, lists=lists),
+                                  "silver_metadata"),
+            lake.table(K.SILVER, "match_metadata"),
             lake.checkpoint(K.SILVER, "match_metadata"), partition_by=partition_by,
             query_name="silver_match_metadata")
     if "match_events" in tables:
         events_stream = _stream_table(spark, lake, K.BRONZE, "match_events")
         out["match_events"] = append(
-            silver.silver_events(events_stream, snapshot), lake.table(K.SILVER, "match_events"),
+            quality.observe_rules(silver.silver_events(events_stream, None, lists=lists), "silver_events"),
+            lake.table(K.SILVER, "match_events"),
             lake.checkpoint(K.SILVER, "match_events"), partition_by=partition_by, query_name="silver_match_events")
     return out
 
@@ -101,6 +121,8 @@ def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str |
             partition_by=None, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
     """One trigger of the whole flow: new files -> bronze -> silver, then gold recomputed."""
     lake = Lake(settings.lake_root)
-    run_bronze(spark, settings.source_path, lake, run_id=settings.run_id, partition_by=partition_by)
-    run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by)
-    return build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
+    bronze = run_bronze(spark, settings.source_path, lake, run_id=settings.run_id, partition_by=partition_by)
+    silver_runs = run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by)
+    paths = build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
+    paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER)}
+    return paths

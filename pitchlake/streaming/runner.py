@@ -38,3 +38,16 @@ def observed_metrics(query: StreamingQuery) -> list[dict]:
         if metrics:
             out.append(dict(metrics))
     return out
+
+
+def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sum of one observed metric set over all micro-batches of the last run."""
+    totals: dict[str, int] = {}
+    for batch in observed_metrics(query):
+        row = batch.get(name)
+        if row is None:
+            continue
+        values = row.asDict() if hasattr(row, "asDict") else dict(row)
+        for k, v in values.items():
+            totals[k] = totals.get(k, 0) + (v or 0)
+    return totals

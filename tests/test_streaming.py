@@ -119,6 +119,9 @@ def test_run_all_from_conf(spark, tmp_path):
     finally:
         for k in ("pitchlake.source_path", "pitchlake.lake_root", "pitchlake.run_id"):
             spark.conf.unset(k)
+    dq = paths["quality"]
+    assert dq["bronze_events"]["total_rows"] == 6 and dq["bronze_events"]["matchid_not_null"] == 0
+    assert dq["silver_events"]["total_rows"] == 6 and dq["silver_metadata"]["match_date_present"] == 0
     bat = spark.read.parquet(paths["batting_stats_per_match"])
     assert bat.select("matchid", "series").distinct().collect()[0].asDict() == {"matchid": 7, "series": "S"}
     summary = spark.read.parquet(paths["match_summary"]).first()
