@@ -120,4 +120,4 @@ GOLD = "gold"
 EVENTS_FILE = "match_events_data.csv"
 METADATA_FILE = "metadata_data.json"
 PLAYERS_FILE = "match_players_data.csv"
-DEFAULT_RUN_ID = "dlt"
+DEFAULT_RUN_ID = "default"

@@ -2,7 +2,7 @@
 
     pitchlake.source_path   root of the feeds (<root>/matchid=<n>/<file>)
     pitchlake.lake_root     root of the bronze/silver/gold tables and checkpoints
-    pitchlake.run_id        value written to ``Batchid`` (default "dlt")
+    pitchlake.run_id        value written to ``Batchid`` (default "default")
 """
 
 from __future__ import annotations
