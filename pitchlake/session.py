@@ -40,9 +40,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_UTC_NAMES = {"UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00"}
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Local session times are converted to UTC assuming a UTC session clock."""
-    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+    # get() without a default returns the effective value (the JVM zone when unset).
+    if spark.conf.get("spark.sql.session.timeZone") not in _UTC_NAMES:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 

@@ -25,32 +25,42 @@ def _bronze(df: DataFrame, columns: tuple[str, ...], run_id: str) -> DataFrame:
     )
 
 
-def _reader(spark: SparkSession, streaming: bool, max_files: int | None) -> DataFrameReader | DataStreamReader:
+def _reader(spark: SparkSession, streaming: bool, max_files: int | None,
+            archive_dir: str | None = None) -> DataFrameReader | DataStreamReader:
+    """Batch or streaming reader.
+
+    ``max_files`` bounds each micro-batch of a large backlog. ``archive_dir``
+    moves every processed file there after its batch commits, so the listing
+    each trigger performs stays proportional to the files not yet ingested
+    (one file per match adds up to millions of files over the years).
+    """
     if streaming:
         r = spark.readStream
         if max_files:
             r = r.option("maxFilesPerTrigger", max_files)
+        if archive_dir:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
         return r
     return spark.read
 
 
 def events(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.EVENTS_FILE,
-           run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None) -> DataFrame:
-    df = (_reader(spark, streaming, max_files).schema(schemas.EVENTS_FILE_SCHEMA)
+           run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.EVENTS_FILE_SCHEMA)
           .option("header", True).option("pathGlobFilter", file_name).csv(root))
     return _bronze(df, schemas.BRONZE_EVENTS_COLUMNS, run_id)
 
 
 def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.METADATA_FILE,
-             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None) -> DataFrame:
-    df = (_reader(spark, streaming, max_files).schema(schemas.METADATA_FILE_SCHEMA)
+             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.METADATA_FILE_SCHEMA)
           .option("pathGlobFilter", file_name).json(root))
     return _bronze(df, schemas.BRONZE_METADATA_COLUMNS, run_id)
 
 
 def players(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.PLAYERS_FILE,
-            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None) -> DataFrame:
-    df = (_reader(spark, streaming, max_files).schema(schemas.PLAYERS_FILE_SCHEMA)
+            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.PLAYERS_FILE_SCHEMA)
           .option("header", True).option("pathGlobFilter", file_name).csv(root))
     return _bronze(df, schemas.BRONZE_PLAYERS_COLUMNS, run_id)
 
