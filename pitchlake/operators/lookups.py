@@ -35,13 +35,13 @@ def match_name_lists(players: DataFrame) -> DataFrame:
     reduced to its distinct names before the shuffle.
     """
     return players.groupBy("matchid").agg(
-        N.collect_name_entries(F.col("team")).alias("team_entries"),
-        N.collect_name_entries(F.col("player_name")).alias("player_entries"),
+        N.collect_name_index(F.col("team")).alias("team_index"),
+        N.collect_name_index(F.col("player_name")).alias("player_index"),
     )
 
 
 def match_team_lists(players: DataFrame) -> DataFrame:
-    return players.groupBy("matchid").agg(N.collect_name_entries(F.col("team")).alias("team_entries"))
+    return players.groupBy("matchid").agg(N.collect_name_index(F.col("team")).alias("team_index"))
 
 
 def distinct_grounds(metadata: DataFrame) -> DataFrame:

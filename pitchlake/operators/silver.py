@@ -69,12 +69,12 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame | None = None,
     e.g. a table written once per streaming run, instead of ``players``.
     """
     teams = (lookups.match_team_lists(players) if lists is None
-             else lists.select("matchid", "team_entries"))
+             else lists.select("matchid", "team_index"))
     df = metadata.join(teams, on="matchid", how="left")
     return names.resolve_columns(df, {
-        "first_innings": ("first_innings", "team_entries"),
-        "second_innings": ("second_innings", "team_entries"),
-    }).drop("team_entries")
+        "first_innings": ("first_innings", "team_index"),
+        "second_innings": ("second_innings", "team_index"),
+    }).drop("team_index")
 
 
 def silver_metadata(bronze_metadata: DataFrame, players: DataFrame | None, zones: DataFrame,
@@ -120,14 +120,14 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
     """
     if lists is None:
         lists = lookups.match_name_lists(players)
-    df = parsed.join(lists.select("matchid", "team_entries", "player_entries"), on="matchid", how="left")
+    df = parsed.join(lists.select("matchid", "team_index", "player_index"), on="matchid", how="left")
     df = names.resolve_columns(df, {
-        "team": ("innings", "team_entries"),
-        "batsman_resolved": ("batsman_short", "player_entries"),
-        "bowler_resolved": ("bowler_short", "player_entries"),
+        "team": ("innings", "team_index"),
+        "batsman_resolved": ("batsman_short", "player_index"),
+        "bowler_resolved": ("bowler_short", "player_index"),
     })
     return df.withColumn("super_over_team", parse.super_over_label(F.col("team"))).drop(
-        "team_entries", "player_entries")
+        "team_index", "player_index")
 
 
 def silver_events(bronze_events: DataFrame, players: DataFrame | None, lists: DataFrame | None = None) -> DataFrame:

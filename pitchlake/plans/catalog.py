@@ -116,8 +116,8 @@ def match_name_lists(spark, sf_dir):
     lists = lookups.match_name_lists(_feeds(spark, sf_dir)["players"])
     return lists.select(
         "matchid",
-        F.array_join(N.entry_names(F.col("team_entries")), "|").alias("team_names"),
-        F.array_join(N.entry_names(F.col("player_entries")), "|").alias("player_names"),
+        F.array_join(N.index_names(F.col("team_index")), "|").alias("team_names"),
+        F.array_join(N.index_names(F.col("player_index")), "|").alias("player_names"),
     )
 
 

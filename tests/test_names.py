@@ -44,5 +44,5 @@ def test_resolver_is_native(spark):
 
 def test_entries_are_sorted(spark):
     df = spark.createDataFrame([(1, "Joe Root"), (1, "Ben Stokes"), (1, "Joe Root"), (1, None)], "m int, n string")
-    out = df.groupBy("m").agg(N.collect_name_entries(F.col("n")).alias("e")).select(N.entry_names(F.col("e"))).first()[0]
+    out = df.groupBy("m").agg(N.collect_name_index(F.col("n")).alias("e")).select(N.index_names(F.col("e"))).first()[0]
     assert out == ["Ben Stokes", "Joe Root"]
