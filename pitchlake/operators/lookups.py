@@ -29,19 +29,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> D
 
 
 def match_name_lists(players: DataFrame) -> DataFrame:
-    """matchid -> sorted team and player name entries (see ``functions.names``).
+    """matchid -> sorted team and player name index (see ``functions.names``).
 
     ``collect_set`` is combined map-side, so a match with many line-up rows is
-    reduced to its distinct names before the shuffle.
+    reduced to its distinct names before the shuffle. Rows without a matchid
+    can never join and are left out, so no group collects the names of many
+    matches (a per-match list is bounded by the line-up size).
     """
-    return players.groupBy("matchid").agg(
+    return players.where(F.col("matchid").isNotNull()).groupBy("matchid").agg(
         N.collect_name_index(F.col("team")).alias("team_index"),
         N.collect_name_index(F.col("player_name")).alias("player_index"),
     )
 
 
 def match_team_lists(players: DataFrame) -> DataFrame:
-    return players.groupBy("matchid").agg(N.collect_name_index(F.col("team")).alias("team_index"))
+    return players.where(F.col("matchid").isNotNull()).groupBy("matchid").agg(N.collect_name_index(F.col("team")).alias("team_index"))
 
 
 def distinct_grounds(metadata: DataFrame) -> DataFrame:
