@@ -240,7 +240,7 @@ px_lists AS (
   SELECT matchid,
          list_sort(list(DISTINCT team) FILTER (WHERE team IS NOT NULL)) AS team_names,
          list_sort(list(DISTINCT player_name) FILTER (WHERE player_name IS NOT NULL)) AS player_names
-  FROM {players} GROUP BY matchid
+  FROM {players} WHERE matchid IS NOT NULL GROUP BY matchid
 )"""
 
 
@@ -286,7 +286,7 @@ px_meta_2 AS (
 ),
 px_team_lists AS (
   SELECT matchid, list_sort(list(DISTINCT team) FILTER (WHERE team IS NOT NULL)) AS team_names
-  FROM px_players GROUP BY matchid
+  FROM px_players WHERE matchid IS NOT NULL GROUP BY matchid
 ),
 px_silver_metadata AS (
   SELECT p.* EXCLUDE (first_innings, second_innings),
@@ -666,7 +666,7 @@ def oracle_sql() -> dict[str, str]:
                                   "batsman, bowler_short, bowler FROM px_silver_events",
         "resolve_innings_teams": _base(
             "px_team_lists AS (SELECT matchid, list_sort(list(DISTINCT team) FILTER (WHERE team IS NOT NULL)) "
-            "AS team_names FROM px_players GROUP BY matchid)")
+            "AS team_names FROM px_players WHERE matchid IS NOT NULL GROUP BY matchid)")
         + "SELECT m.matchid, m.first_innings AS first_innings_code, m.second_innings AS second_innings_code, "
         + f"{_resolve('m.first_innings', 'l.team_names')} AS first_innings, "
         + f"{_resolve('m.second_innings', 'l.team_names')} AS second_innings "
