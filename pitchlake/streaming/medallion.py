@@ -58,6 +58,7 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
                partition_by=None, tables=BRONZE_TABLES) -> dict:
     """Line-ups first (always), then metadata and deliveries if requested."""
     out = {}
+    zones = lookups.zone_dimension(zones)  # size-checked, one row per ground, valid zone ids
     players_stream = _stream_table(spark, lake, K.BRONZE, "match_players")
     out["match_players"] = append(
         quality.observe_rules(silver.silver_players(players_stream, watermark), "silver_players"),
@@ -86,6 +87,19 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     return out
 
 
+# Sort keys of the gold tables (row-group statistics for data skipping).
+_CLUSTER = {
+    "batting_stats_per_match": ("matchid",),
+    "batting_stats_per_series": ("series", "season"),
+    "batting_stats_overall": ("batsman",),
+    "bowling_stats_per_match": ("matchid",),
+    "bowling_stats_per_series": ("series", "season"),
+    "bowling_stats_overall": ("bowler",),
+    "match_summary": ("matchid",),
+    "player_team_scd2": ("player_name", "start_date"),
+}
+
+
 def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
     """Recompute all gold tables from the silver snapshots.
 
@@ -99,7 +113,8 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
     if hot_key_chunk == "auto":
         hot_key_chunk = innings.choose_chunk(silver_events)
     paths = {"match_events": lake.overwrite(
-        innings.gold_events(silver_events, hot_key_chunk), K.GOLD, "match_events")}
+        innings.gold_events(silver_events, hot_key_chunk), K.GOLD, "match_events",
+        cluster_by=("matchid", "team", "over", "match_ball_number"))}
     events = read(K.GOLD, "match_events")
     chain = (
         ("batting_stats_per_match", lambda: batting.batting_per_match(events, meta)),
@@ -113,7 +128,8 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
             spans.player_team_spans(spans.appearances(events, players), meta))),
     )
     for name, build in chain:
-        paths[name] = lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()), K.GOLD, name)
+        paths[name] = lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()),
+                                     K.GOLD, name, cluster_by=_CLUSTER[name])
     return paths
 
 
