@@ -15,6 +15,7 @@ from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.sources import files
 from pitchlake.sources.layout import Lake
+from pitchlake.streaming import incremental
 from pitchlake.streaming.runner import append, observed_totals
 
 BRONZE_TABLES = ("match_events", "match_metadata", "match_players")
@@ -55,13 +56,20 @@ def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lak
 
 
 def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark: str | None = None,
-               partition_by=None, tables=BRONZE_TABLES) -> dict:
-    """Line-ups first (always), then metadata and deliveries if requested."""
+               partition_by=None, tables=BRONZE_TABLES, buckets: int | None = None) -> dict:
+    """Line-ups first (always), then metadata and deliveries if requested.
+
+    With ``buckets``, silver tables are partitioned by the match bucket used
+    by the incremental gold refresh, so its per-bucket reads prune files.
+    """
     out = {}
+    if buckets:
+        partition_by = (incremental.BUCKET,)
+    bucketed = (lambda df: incremental.with_bucket(df, buckets)) if buckets else (lambda df: df)
     zones = lookups.zone_dimension(zones)  # size-checked, one row per ground, valid zone ids
     players_stream = _stream_table(spark, lake, K.BRONZE, "match_players")
     out["match_players"] = append(
-        quality.observe_rules(silver.silver_players(players_stream, watermark), "silver_players"),
+        bucketed(quality.observe_rules(silver.silver_players(players_stream, watermark), "silver_players")),
         lake.table(K.SILVER, "match_players"),
         lake.checkpoint(K.SILVER, "match_players"), partition_by=partition_by, query_name="silver_match_players")
     # Per-match name lists: aggregated once per run into a table, so each
@@ -73,15 +81,15 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     if "match_metadata" in tables:
         meta_stream = _stream_table(spark, lake, K.BRONZE, "match_metadata")
         out["match_metadata"] = append(
-            quality.observe_rules(silver.silver_metadata(meta_stream, None, zones, watermark, lists=lists),
-                                  "silver_metadata"),
+            bucketed(quality.observe_rules(silver.silver_metadata(meta_stream, None, zones, watermark, lists=lists),
+                                           "silver_metadata")),
             lake.table(K.SILVER, "match_metadata"),
             lake.checkpoint(K.SILVER, "match_metadata"), partition_by=partition_by,
             query_name="silver_match_metadata")
     if "match_events" in tables:
         events_stream = _stream_table(spark, lake, K.BRONZE, "match_events")
         out["match_events"] = append(
-            quality.observe_rules(silver.silver_events(events_stream, None, lists=lists), "silver_events"),
+            bucketed(quality.observe_rules(silver.silver_events(events_stream, None, lists=lists), "silver_events")),
             lake.table(K.SILVER, "match_events"),
             lake.checkpoint(K.SILVER, "match_events"), partition_by=partition_by, query_name="silver_match_events")
     return out
@@ -134,11 +142,21 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
 
 
 def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str | None = None,
-            partition_by=None, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
-    """One trigger of the whole flow: new files -> bronze -> silver, then gold recomputed."""
+            partition_by=None, hot_key_chunk: int | str | None = "auto",
+            incremental_buckets: int | None = None) -> dict[str, str]:
+    """One trigger of the whole flow: new files -> bronze -> silver, then gold.
+
+    Gold is recomputed in full, or, with ``incremental_buckets``, refreshed
+    only for the match buckets that received rows (``streaming.incremental``).
+    """
     lake = Lake(settings.lake_root)
     bronze = run_bronze(spark, settings.source_path, lake, run_id=settings.run_id, partition_by=partition_by)
-    silver_runs = run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by)
-    paths = build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
+    silver_runs = run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by,
+                             buckets=incremental_buckets)
+    if incremental_buckets:
+        incremental.refresh_gold(spark, lake, buckets=incremental_buckets, hot_key_chunk=hot_key_chunk)
+        paths = {name: lake.table(K.GOLD, name) for name in (*_CLUSTER, "match_events")}
+    else:
+        paths = build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
     paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER)}
     return paths
