@@ -128,3 +128,41 @@ def test_run_all_from_conf(spark, tmp_path):
     assert (summary.team_1, summary.winner, summary.result_type) == ("India", "India", "by runs")
     assert spark.read.parquet(os.path.join(str(tmp_path / "lake"), "bronze", "match_events")).where(
         "Batchid = 'conf-run'").count() == 6
+
+
+def test_late_lineup_leaves_earlier_names_short(spark, tmp_path):
+    src, lake = str(tmp_path / "src"), Lake(str(tmp_path / "lake"))
+    d = os.path.join(src, "matchid=9")
+    os.makedirs(d)
+
+    def events_file(name, ball):
+        with open(os.path.join(d, name), "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(EVENT_HEADER)
+            w.writerow([ball, f"0.{ball}", "Root to Stokes, 1 run", "Played to the off side", "", "", "ENG", "false"])
+
+    events_file("match_events_data.csv", 1)
+    names = {"match_events": "match_events_data*.csv", "match_players": "match_players_data.csv",
+             "match_metadata": "metadata_data.json"}
+    with open(os.path.join(d, "metadata_data.json"), "w") as fh:
+        fh.write('{"series": "S", "first_innings": "ENG", "second_innings": "AUS"}\n')
+    # run 1: no line-up yet (an empty line-up file keeps the table schema)
+    with open(os.path.join(d, "match_players_data.csv"), "w", newline="") as fh:
+        csv.writer(fh).writerow(["innings", "team", "player_name", "batted", "batting_position", "player_type",
+                                 "retired", "not_out", "bowled"])
+    zones = proxies.zones(spark)
+    medallion.run_bronze(spark, src, lake, file_names=names)
+    medallion.run_silver(spark, lake, zones)
+    # run 2: the line-up arrives, with one more delivery
+    with open(os.path.join(d, "match_players_data_2.csv"), "w", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow(["innings", "team", "player_name", "batted", "batting_position", "player_type", "retired",
+                    "not_out", "bowled"])
+        w.writerow(["ENG", "England", "Joe Root", "true", 1, "batter", "False", "False", "False"])
+        w.writerow(["ENG", "England", "Ben Stokes", "true", 2, "bowler", "False", "False", "True"])
+    events_file("match_events_data_2.csv", 2)
+    medallion.run_bronze(spark, src, lake, file_names={**names, "match_players": "match_players_data*.csv"})
+    medallion.run_silver(spark, lake, zones)
+    rows = {r.match_ball_number: (r.bowler, r.batsman, r.team)
+            for r in lake.read(spark, "silver", "match_events").collect()}
+    assert rows == {1: ("Root", "Stokes", "ENG"), 2: ("Joe Root", "Ben Stokes", "England")}
