@@ -13,6 +13,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+# Progress of every micro-batch of each run, by query run id.
+_PROGRESS: dict[str, dict[int, object]] = {}
+_RETENTION_KEY = "spark.sql.streaming.numRecentProgressUpdates"
+# Per-batch progress kept by a query started here (a few KB each): enough for
+# a large backlog split by maxFilesPerTrigger.
+PROGRESS_RETENTION = 10_000
+
+
+def _batch_id(p) -> int:
+    return p.get("batchId") if isinstance(p, dict) else getattr(p, "batchId", -1)
+
+
+def _collect(query: StreamingQuery) -> None:
+    seen = _PROGRESS.setdefault(str(query.runId), {})
+    for p in query.recentProgress:
+        seen.setdefault(_batch_id(p), p)
+
 
 def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[str] | None = None,
            fmt: str = "parquet", query_name: str | None = None, timeout_s: float | None = None) -> StreamingQuery:
@@ -23,8 +40,18 @@ def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[
         writer = writer.partitionBy(*partition_by)
     if query_name:
         writer = writer.queryName(query_name)
-    query = writer.start(path)
-    query.awaitTermination(timeout_s)
+    # Keep the progress of every batch of this run (the query reads the
+    # retention from its own copy of the session conf, taken on its thread);
+    # the session value is restored when the run ends.
+    spark = df.sparkSession
+    previous = spark.conf.get(_RETENTION_KEY)
+    spark.conf.set(_RETENTION_KEY, str(max(int(previous), PROGRESS_RETENTION)))
+    try:
+        query = writer.start(path)
+        query.awaitTermination(timeout_s)
+    finally:
+        spark.conf.set(_RETENTION_KEY, previous)
+    _collect(query)
     if query.exception() is not None:
         raise RuntimeError(f"stream {query_name or path} failed: {query.exception()}")
     return query
@@ -33,7 +60,9 @@ def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[
 def observed_metrics(query: StreamingQuery) -> list[dict]:
     """Observed metrics (e.g. quality counts) of every micro-batch of the last run."""
     out = []
-    for p in query.recentProgress:
+    progress = _PROGRESS.get(str(query.runId))
+    batches = [progress[k] for k in sorted(progress)] if progress else query.recentProgress
+    for p in batches:
         metrics = p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)
         if metrics:
             out.append(dict(metrics))

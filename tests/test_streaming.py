@@ -166,3 +166,19 @@ def test_late_lineup_leaves_earlier_names_short(spark, tmp_path):
     rows = {r.match_ball_number: (r.bowler, r.batsman, r.team)
             for r in lake.read(spark, "silver", "match_events").collect()}
     assert rows == {1: ("Root", "Stokes", "ENG"), 2: ("Joe Root", "Ben Stokes", "England")}
+
+
+def test_quality_totals_cover_every_micro_batch(spark, tmp_path):
+    src, lake = str(tmp_path / "src"), Lake(str(tmp_path / "lake"))
+    for m in range(1, 6):
+        _write_events(src, m, 2)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")   # a session keeping 2 batches
+    try:
+        df = quality.observe_rules(files.events(spark, src, max_files=1), "bronze_events")
+        q = append(df, lake.table("bronze", "e"), lake.checkpoint("bronze", "e"))
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "2"
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len([p for p in q.recentProgress if p.numInputRows]) == 5
+    totals = medallion.quality_summary({"match_events": q}, "bronze")["bronze_events"]
+    assert totals["total_rows"] == 10 and totals["source_file_present"] == 0
