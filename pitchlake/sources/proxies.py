@@ -241,7 +241,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
-    return df if splits >= n else df.repartition(n, *keys)
+    # by columns only: the count comes from spark.sql.shuffle.partitions and
+    # AQE may still coalesce small partitions
+    return df if splits >= n else df.repartition(*keys)
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
