@@ -182,3 +182,16 @@ def test_quality_totals_cover_every_micro_batch(spark, tmp_path):
     assert len([p for p in q.recentProgress if p.numInputRows]) == 5
     totals = medallion.quality_summary({"match_events": q}, "bronze")["bronze_events"]
     assert totals["total_rows"] == 10 and totals["source_file_present"] == 0
+
+
+def test_dedup_within_watermark(spark, tmp_path):
+    players = proxies.feeds(spark, SF_SMALL)["players"]
+    root, lake = str(tmp_path / "players"), Lake(str(tmp_path / "lake"))
+    out, ckpt = lake.table("silver", "p"), lake.checkpoint("silver", "p")
+    for run in range(2):
+        files.write_feed(players, root, "csv", mode="overwrite" if run == 0 else "append")
+        stream = files.players(spark, root, file_name="part-*")
+        append(silver.silver_players(stream, watermark="1 hour"), out, ckpt)
+    df = spark.read.parquet(out)
+    assert df.count() == players.count()
+    assert df.groupBy(*silver.PLAYER_KEYS).count().where("count > 1").count() == 0
