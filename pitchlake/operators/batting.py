@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.functions import rates
+from pitchlake.operators import lookups
 
 RUN_COUNTS = ("runs_1s", "runs_2s", "runs_3s", "runs_4s", "runs_5s", "runs_6s")
 
@@ -38,7 +39,7 @@ def batting_per_match(events: DataFrame, metadata: DataFrame) -> DataFrame:
         *_run_counts("batsman_runs"),
         F.count_if("dismissed").alias("times_dismissed"),
     )
-    out = agg.join(metadata.select("matchid", "series", "season"), on="matchid", how="left")
+    out = lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
     return out.select(
         "matchid", "series", "season", "batsman", "team", "balls_faced", "total_runs",
         rates.strike_rate(F.col("total_runs"), F.col("balls_faced")).alias("strike_rate"),

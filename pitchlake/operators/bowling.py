@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.functions import rates
+from pitchlake.operators import lookups
 
 RUN_COUNTS = tuple(f"runs_{n}s_conceded" for n in range(1, 7))
 
@@ -57,7 +58,7 @@ def _is_maiden():
 
 def maiden_overs(events: DataFrame, metadata: DataFrame) -> DataFrame:
     agg = per_over(events).groupBy("matchid", "bowler").agg(F.count_if(_is_maiden()).alias("maiden_overs"))
-    return agg.join(metadata.select("matchid", "series", "season"), on="matchid", how="left").select(
+    return lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left").select(
         "matchid", "bowler", "series", "season", "maiden_overs")
 
 
@@ -71,7 +72,7 @@ def bowling_per_match(events: DataFrame, metadata: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in RUN_COUNTS],
         F.sum("wickets").alias("wickets_taken"),
     )
-    out = agg.join(metadata.select("matchid", "series", "season"), on="matchid", how="left")
+    out = lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
     return out.select(
         "matchid", "series", "season", "bowler", "total_deliveries", "legal_balls_bowled",
         rates.overs_notation(F.col("legal_balls_bowled")).alias("overs_bowled"),

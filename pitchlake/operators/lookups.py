@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions import names as N
 
-# A dimension is broadcast only below this many rows (checked, not assumed).
-DIMENSION_MAX_ROWS = 100_000
+# A side is broadcast only below these row counts (checked, not assumed).
+DIMENSION_MAX_ROWS = 100_000      # narrow rows: zones, (matchid, series, season), (matchid, date)
+NAME_LISTS_MAX_ROWS = 20_000      # one name index per match, a few KB each
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
@@ -28,6 +29,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> D
     return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
 
 
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
+               max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Join with ``right`` broadcast only when it has at most ``max_rows`` rows
+    (counted, reading at most ``max_rows + 1``); otherwise a sort-merge join, so
+    no size estimate ever decides to broadcast a side that grows with the data.
+    ``right`` must be a batch DataFrame; ``left`` may be streaming."""
+    if bounded_rows(right, max_rows) is not None:
+        return left.join(F.broadcast(right), on=on, how=how)
+    return left.join(right.hint("merge"), on=on, how=how)
+
+
 def match_name_lists(players: DataFrame) -> DataFrame:
     """matchid -> sorted team and player name index (see ``functions.names``).
 
@@ -71,9 +83,9 @@ def zone_dimension(zones: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> Data
 
 def with_local_timezone(metadata: DataFrame, zones: DataFrame) -> DataFrame:
     """Adds ``local_timezone`` (default "UTC" for an unknown or NULL ground)."""
-    dim = broadcast_if_bounded(zones.withColumnRenamed("local_timezone", "_zone"))
+    dim = zones.withColumnRenamed("local_timezone", "_zone")
     return (
-        metadata.join(dim, on="ground", how="left")
+        join_small(metadata, dim, "ground", "left")
         .withColumn("local_timezone", F.coalesce(F.col("_zone"), F.lit("UTC")))
         .drop("_zone")
     )

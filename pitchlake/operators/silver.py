@@ -70,7 +70,7 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame | None = None,
     """
     teams = (lookups.match_team_lists(players) if lists is None
              else lists.select("matchid", "team_index"))
-    df = metadata.join(teams, on="matchid", how="left")
+    df = lookups.join_small(metadata, teams, "matchid", "left", lookups.NAME_LISTS_MAX_ROWS)
     return names.resolve_columns(df, {
         "first_innings": ("first_innings", "team_index"),
         "second_innings": ("second_innings", "team_index"),
@@ -114,13 +114,14 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
     """Team, batsman and bowler resolved against the match's line-up lists.
 
     Left join on matchid: a delivery whose match has no line-up keeps its short
-    names. The list side is one row per match; the planner (AQE) broadcasts it
-    when its runtime size is small and shuffles both sides on matchid otherwise,
-    which also clusters the deliveries for the per-match aggregates downstream.
+    names. The list side is one row per match: broadcast while its row count is
+    checked to be small, otherwise a sort-merge join on matchid, which also
+    clusters the deliveries for the per-match aggregates downstream.
     """
     if lists is None:
         lists = lookups.match_name_lists(players)
-    df = parsed.join(lists.select("matchid", "team_index", "player_index"), on="matchid", how="left")
+    df = lookups.join_small(parsed, lists.select("matchid", "team_index", "player_index"), "matchid", "left",
+                            lookups.NAME_LISTS_MAX_ROWS)
     df = names.resolve_columns(df, {
         "team": ("innings", "team_index"),
         "batsman_resolved": ("batsman_short", "player_index"),

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators import lookups
+
 
 def appearances(events: DataFrame, players: DataFrame) -> DataFrame:
     batting = events.select("matchid", F.col("batsman").alias("player_name"), "team")
@@ -22,7 +24,7 @@ def appearances(events: DataFrame, players: DataFrame) -> DataFrame:
 def player_team_spans(appearances_df: DataFrame, metadata: DataFrame) -> DataFrame:
     """First/last match date and match count per (player, team); undated matches are left out."""
     dates = metadata.select("matchid", "match_date").where(F.col("match_date").isNotNull())
-    dated = appearances_df.join(dates, on="matchid", how="inner")
+    dated = lookups.join_small(appearances_df, dates, "matchid", "inner")
     return dated.groupBy("player_name", "team").agg(
         F.min("match_date").alias("first_match_date"),
         F.max("match_date").alias("last_match_date"),
