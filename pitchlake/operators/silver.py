@@ -110,7 +110,7 @@ def parse_deliveries(events: DataFrame) -> DataFrame:
 
 
 def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
-                           lists: DataFrame | None = None) -> DataFrame:
+                           lists: DataFrame | None = None, null_keys_bypass: bool = False) -> DataFrame:
     """Team, batsman and bowler resolved against the match's line-up lists.
 
     Left join on matchid: a delivery whose match has no line-up keeps its short
@@ -120,8 +120,20 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
     """
     if lists is None:
         lists = lookups.match_name_lists(players)
-    df = lookups.join_small(parsed, lists.select("matchid", "team_index", "player_index"), "matchid", "left",
-                            lookups.NAME_LISTS_MAX_ROWS)
+    lists = lists.select("matchid", "team_index", "player_index")
+    if null_keys_bypass:
+        # Rows without a matchid can never match a list. Routing them around the
+        # join keeps them out of one hot shuffle partition when the join is a
+        # sort-merge join (a broken path can leave a large share of rows NULL).
+        keyed = lookups.join_small(parsed.where(F.col("matchid").isNotNull()), lists, "matchid", "left",
+                                   lookups.NAME_LISTS_MAX_ROWS)
+        unkeyed = parsed.where(F.col("matchid").isNull()).select(
+            *parsed.columns,
+            F.lit(None).cast(lists.schema["team_index"].dataType).alias("team_index"),
+            F.lit(None).cast(lists.schema["player_index"].dataType).alias("player_index"))
+        df = keyed.unionByName(unkeyed)
+    else:
+        df = lookups.join_small(parsed, lists, "matchid", "left", lookups.NAME_LISTS_MAX_ROWS)
     df = names.resolve_columns(df, {
         "team": ("innings", "team_index"),
         "batsman_resolved": ("batsman_short", "player_index"),
@@ -131,8 +143,9 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
         "team_index", "player_index")
 
 
-def silver_events(bronze_events: DataFrame, players: DataFrame | None, lists: DataFrame | None = None) -> DataFrame:
-    df = resolve_delivery_names(parse_deliveries(bronze_events), players, lists)
+def silver_events(bronze_events: DataFrame, players: DataFrame | None, lists: DataFrame | None = None,
+                  null_keys_bypass: bool = False) -> DataFrame:
+    df = resolve_delivery_names(parse_deliveries(bronze_events), players, lists, null_keys_bypass)
     df = df.drop("bowler", "batsman").withColumnsRenamed(
         {"bowler_resolved": "bowler", "batsman_resolved": "batsman"})
     return df.select(*schemas.SILVER_EVENTS_COLUMNS, F.current_timestamp().alias("silver_load_timestamp"))

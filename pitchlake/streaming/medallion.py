@@ -89,7 +89,8 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     if "match_events" in tables:
         events_stream = _stream_table(spark, lake, K.BRONZE, "match_events")
         out["match_events"] = append(
-            bucketed(quality.observe_rules(silver.silver_events(events_stream, None, lists=lists), "silver_events")),
+            bucketed(quality.observe_rules(
+                silver.silver_events(events_stream, None, lists=lists, null_keys_bypass=True), "silver_events")),
             lake.table(K.SILVER, "match_events"),
             lake.checkpoint(K.SILVER, "match_events"), partition_by=partition_by, query_name="silver_match_events")
     return out
