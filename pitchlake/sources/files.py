@@ -52,9 +52,11 @@ def events(spark: SparkSession, root: str, *, streaming: bool = True, file_name:
 
 
 def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.METADATA_FILE,
-             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """One JSON record per line by default; ``multi_line`` reads one (pretty-printed) object per file."""
     df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.METADATA_FILE_SCHEMA)
-          .option("pathGlobFilter", file_name).json(root))
+          .option("pathGlobFilter", file_name).option("multiLine", multi_line).json(root))
     return _bronze(df, schemas.BRONZE_METADATA_COLUMNS, run_id)
 
 

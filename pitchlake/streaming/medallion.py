@@ -38,8 +38,12 @@ def _stream_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> Dat
 
 def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lake, *,
                run_id: str = K.DEFAULT_RUN_ID, file_names: dict[str, str] | None = None, partition_by=None,
-               tables=BRONZE_TABLES) -> dict:
-    """Ingest new files of the three feeds (each file exactly once across runs)."""
+               tables=BRONZE_TABLES, max_files: int | None = None, archive_root: str | None = None) -> dict:
+    """Ingest new files of the three feeds (each file exactly once across runs).
+
+    ``max_files`` splits a large backlog into micro-batches; ``archive_root``
+    moves ingested files to ``<archive_root>/<table>`` after each batch.
+    """
     names = {"match_events": K.EVENTS_FILE, "match_metadata": K.METADATA_FILE, "match_players": K.PLAYERS_FILE}
     names.update(file_names or {})
     roots = source_root if isinstance(source_root, dict) else dict.fromkeys(BRONZE_TABLES, source_root)
@@ -48,7 +52,9 @@ def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lak
     for table in ("match_players", "match_metadata", "match_events"):
         if table not in tables:
             continue
-        df = readers[table](spark, roots[table], streaming=True, file_name=names[table], run_id=run_id)
+        archive = f"{archive_root.rstrip('/')}/{table}" if archive_root else None
+        df = readers[table](spark, roots[table], streaming=True, file_name=names[table], run_id=run_id,
+                            max_files=max_files, archive_dir=archive)
         df = quality.observe_rules(df, f"{K.BRONZE}_{_RULE_SET[table]}")
         out[table] = append(df, lake.table(K.BRONZE, table), lake.checkpoint(K.BRONZE, table),
                             partition_by=partition_by, query_name=f"bronze_{table}")

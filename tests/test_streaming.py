@@ -195,3 +195,17 @@ def test_dedup_within_watermark(spark, tmp_path):
     df = spark.read.parquet(out)
     assert df.count() == players.count()
     assert df.groupBy(*silver.PLAYER_KEYS).count().where("count > 1").count() == 0
+
+
+def test_pretty_printed_metadata_and_backlog_batches(spark, tmp_path):
+    src, lake = str(tmp_path / "src"), Lake(str(tmp_path / "lake"))
+    for m in (1, 2, 3):
+        d = os.path.join(src, f"matchid={m}")
+        os.makedirs(d)
+        with open(os.path.join(d, "metadata_data.json"), "w") as fh:
+            fh.write('{\n  "series": "S%d",\n  "ground": "Lords",\n  "super_over_count": 0\n}\n' % m)
+    df = files.metadata(spark, src, multi_line=True, max_files=1)
+    q = append(df, lake.table("bronze", "m"), lake.checkpoint("bronze", "m"))
+    rows = sorted((r.matchid, r.series) for r in spark.read.parquet(lake.table("bronze", "m")).collect())
+    assert rows == [(1, "S1"), (2, "S2"), (3, "S3")]
+    assert len([p for p in q.recentProgress if p.numInputRows]) == 3
