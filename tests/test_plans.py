@@ -48,3 +48,17 @@ def test_no_collect_in_library():
                 if (".collect()" in text or ".toPandas()" in text or "localCheckpoint" in text) and rel not in allowed:
                     offenders.append(rel)
     assert offenders == []
+
+
+@pytest.mark.parametrize("name", ["innings_progress", "batting_per_match", "bowling_per_match",
+                                  "maiden_overs", "player_team_spans", "dq_gold_events"])
+def test_deliveries_shuffled_once(spark, name):
+    """Exactly one exchange carries delivery rows (they hold the raw event text); all
+    other shuffles carry aggregated or dimension rows."""
+    import __spark_entry__ as E
+    df = E.queries()[name](spark, SF_SMALL)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = re.split(r"\n(?=\(\d+\) )", text.split("== Physical Plan ==")[-1])
+    exchanges = [b for b in blocks if re.match(r"\(\d+\) Exchange\b", b)]
+    with_deliveries = [b for b in exchanges if re.search(r"Input \[\d+\]: \[[^\]]*\bevent#", b)]
+    assert len(with_deliveries) == 1, with_deliveries
