@@ -8,6 +8,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Sort keys of the gold tables (row-group statistics for data skipping).
+GOLD_CLUSTER = {
+    "match_events": ("matchid", "team", "over", "match_ball_number"),
+    "batting_stats_per_match": ("matchid",),
+    "batting_stats_per_series": ("series", "season"),
+    "batting_stats_overall": ("batsman",),
+    "bowling_stats_per_match": ("matchid",),
+    "bowling_stats_per_series": ("series", "season"),
+    "bowling_stats_overall": ("bowler",),
+    "match_summary": ("matchid",),
+    "player_team_scd2": ("player_name", "start_date"),
+}
+
+
 class Lake:
     """Paths and batch I/O of the bronze / silver / gold tables under one root."""
 

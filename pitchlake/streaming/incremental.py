@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, spans, summary
-from pitchlake.sources.layout import Lake
+from pitchlake.sources.layout import GOLD_CLUSTER, Lake
 
 BUCKET = "match_bucket"
 SILVER_TABLES = ("match_events", "match_metadata", "match_players")
@@ -48,9 +48,9 @@ def _only(df: DataFrame, touched: list[int], buckets: int) -> DataFrame:
     return df.where(col.isin(touched))
 
 
-def _write_buckets(df: DataFrame, path: str, buckets: int) -> None:
+def _write_buckets(df: DataFrame, path: str, buckets: int, sort_keys=("matchid",)) -> None:
     (with_bucket(df.withColumn("gold_load_timestamp", F.current_timestamp()), buckets)
-     .sortWithinPartitions(BUCKET, "matchid")
+     .sortWithinPartitions(BUCKET, *sort_keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(path))
 
@@ -77,7 +77,7 @@ def refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets
         "appearances": spans.appearances(events, players),
     }
     for name, df in per_match.items():
-        _write_buckets(df, lake.table(K.GOLD, name), buckets)
+        _write_buckets(df, lake.table(K.GOLD, name), buckets, GOLD_CLUSTER.get(name, ("matchid",)))
 
     all_meta = read(K.SILVER, "match_metadata")
     derived = (
@@ -89,7 +89,8 @@ def refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets
             spans.player_team_spans(read(K.GOLD, "appearances").drop("gold_load_timestamp"), all_meta))),
     )
     for name, build in derived:
-        lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()), K.GOLD, name)
+        lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()), K.GOLD, name,
+                       cluster_by=GOLD_CLUSTER[name])
 
 
 def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 64,

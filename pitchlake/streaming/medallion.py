@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.sources import files
-from pitchlake.sources.layout import Lake
+from pitchlake.sources.layout import GOLD_CLUSTER, Lake
 from pitchlake.streaming import incremental
 from pitchlake.streaming.runner import append, observed_totals
 
@@ -102,19 +102,6 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     return out
 
 
-# Sort keys of the gold tables (row-group statistics for data skipping).
-_CLUSTER = {
-    "batting_stats_per_match": ("matchid",),
-    "batting_stats_per_series": ("series", "season"),
-    "batting_stats_overall": ("batsman",),
-    "bowling_stats_per_match": ("matchid",),
-    "bowling_stats_per_series": ("series", "season"),
-    "bowling_stats_overall": ("bowler",),
-    "match_summary": ("matchid",),
-    "player_team_scd2": ("player_name", "start_date"),
-}
-
-
 def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
     """Recompute all gold tables from the silver snapshots.
 
@@ -129,7 +116,7 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
         hot_key_chunk = innings.choose_chunk(silver_events)
     paths = {"match_events": lake.overwrite(
         innings.gold_events(silver_events, hot_key_chunk), K.GOLD, "match_events",
-        cluster_by=("matchid", "team", "over", "match_ball_number"))}
+        cluster_by=GOLD_CLUSTER["match_events"])}
     events = read(K.GOLD, "match_events")
     chain = (
         ("batting_stats_per_match", lambda: batting.batting_per_match(events, meta)),
@@ -144,7 +131,7 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
     )
     for name, build in chain:
         paths[name] = lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()),
-                                     K.GOLD, name, cluster_by=_CLUSTER[name])
+                                     K.GOLD, name, cluster_by=GOLD_CLUSTER[name])
     return paths
 
 
@@ -162,7 +149,7 @@ def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str |
                              buckets=incremental_buckets)
     if incremental_buckets:
         incremental.refresh_gold(spark, lake, buckets=incremental_buckets, hot_key_chunk=hot_key_chunk)
-        paths = {name: lake.table(K.GOLD, name) for name in (*_CLUSTER, "match_events")}
+        paths = {name: lake.table(K.GOLD, name) for name in GOLD_CLUSTER}
     else:
         paths = build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
     paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER)}
