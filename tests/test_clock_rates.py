@@ -78,3 +78,14 @@ def test_rates(spark):
         (160.87, 18.5, 3.5, 9.65, 18.5, 11.5),
         (333.33, 3.33, 0.3, 20.0, 3.33, 1.0),
     ]
+
+
+def test_join_small_broadcasts_only_below_bound(spark):
+    left = spark.range(1000).withColumnRenamed("id", "k")
+    right = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    small = lookups.join_small(left, right, "k", "left", max_rows=100)
+    large = lookups.join_small(left, right, "k", "left", max_rows=10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(small)
+    assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
+    assert small.count() == large.count() == 1000
