@@ -89,3 +89,20 @@ def test_join_small_broadcasts_only_below_bound(spark):
     assert "BroadcastHashJoin" in plan(small)
     assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
     assert small.count() == large.count() == 1000
+
+
+def test_zone_dimension_one_row_per_ground(spark):
+    zones = spark.createDataFrame([("Lords", "Europe/London"), ("Lords", "Europe/Dublin"), ("Mumbai", "Asia/Kolkata")],
+                                  "ground string, local_timezone string")
+    got = sorted(tuple(r) for r in lookups.zone_dimension(zones).collect())
+    assert got == [("Lords", "Europe/Dublin"), ("Mumbai", "Asia/Kolkata")]
+
+
+def test_settings_require_paths(spark):
+    import pytest
+
+    from pitchlake import settings
+    with pytest.raises(ValueError):
+        settings.from_conf(spark)
+    s = settings.from_conf(spark, source_path="/in", lake_root="/lake")
+    assert (s.source_path, s.lake_root, s.run_id) == ("/in", "/lake", "default")
