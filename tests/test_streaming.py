@@ -209,3 +209,11 @@ def test_pretty_printed_metadata_and_backlog_batches(spark, tmp_path):
     rows = sorted((r.matchid, r.series) for r in spark.read.parquet(lake.table("bronze", "m")).collect())
     assert rows == [(1, "S1"), (2, "S2"), (3, "S3")]
     assert len([p for p in q.recentProgress if p.numInputRows]) == 3
+
+
+def test_json_arrays_kept_as_text(spark, tmp_path):
+    d = tmp_path / "src" / "matchid=5"
+    d.mkdir(parents=True)
+    (d / "metadata_data.json").write_text('{"series": "S", "umpires": ["A B", "C D"], "points": {"IND": 2}}\n')
+    r = files.metadata(spark, str(tmp_path / "src"), streaming=False).first()
+    assert (r.umpires, r.points, r.matchid) == ('["A B", "C D"]', '{"IND": 2}', 5)
