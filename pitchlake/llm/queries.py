@@ -5,9 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pitchlake.llm.decontamination import benchmark_hits, with_verdict
+from pitchlake.llm.language_id import predict_language, train_language
+from pitchlake.llm.linear import crc_mod
 from pitchlake.llm.ngram_join import ngram_jaccard_components
+from pitchlake.llm.quality_classifier import score_quality, train_quality
 from pitchlake.llm.scratch import table
+from pitchlake.llm.toxicity import toxicity_scores
+
+#: A document counts as good from this score on.
+GOOD = 0.3
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = train_quality(docs, table(spark, sf_dir, "labels"), train=lambda c: crc_mod(c, 5) != 0)
+    return score_quality(docs, weights).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +34,41 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the two thirds that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_language(docs, train=lambda c: crc_mod(c, 3) != 1)
+    return predict_language(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = toxicity_scores(docs, table(spark, sf_dir, "labels"), train=lambda c: crc_mod(c, 5) != 0)
+    return scores.select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document, and the verdict at one hit word in 20."""
+    hits = with_verdict(benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return hits.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
         "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        "op7_language_id": op7_language_id,
+        "op8_toxicity": op8_toxicity,
+        "op9_decontamination": op9_decontamination,
     }
 
 
