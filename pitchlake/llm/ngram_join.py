@@ -286,16 +286,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _multi_match(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose prefixes share as many elements as the shorter lengthening asks for."""
+    whole = prefixes.groupBy("node").agg(F.collect_list("element").alias("prefix"), F.min("ell").alias("ell"))
+    one, two = (whole.select(F.col("node").alias(c), F.col("prefix").alias(f"p{c}"), F.col("ell").alias(f"l{c}")) for c in "ab")
+    return (
+        pairs.join(one, "a").join(two, "b")
+        .where(F.size(F.array_intersect("pa", "pb")) >= F.least("la", "lb")).select("a", "b")
+    )
+
+
 def _component_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between nodes that have the same components as all links."""
     prefixes = cut(_ordered_prefixes(sets, percent), "prefixes")
     root = sets.select("node", F.col("node").alias("root")).limit(0)
     links: DataFrame | None = None
     fits = f"least(x.n, y.n) * 100 >= {percent} * greatest(x.n, y.n)"
-    # the first l shared elements of a linked pair leave room for the overlap it needs
-    room = (
-        f"least(x.ell, y.ell) + least(x.n - x.at, y.n - y.at) - 1 >= ({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}"
-    )
+    # after the first element that a linked pair shares there is room for the rest of its overlap
+    room = f"least(x.n - x.at, y.n - y.at) >= ({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}"
     for step in range(HUB_ROUNDS + 1):
         now = prefixes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = now.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
@@ -311,13 +319,10 @@ def _component_links(sets: DataFrame, percent: int) -> DataFrame:
         else:
             # one side of every pair of different components lies outside the element's main one
             x = now.join(hub, "element").where("root <> main").alias("x")
-            pairs = (
+            pairs = _multi_match(
                 x.join(now.alias("y"), F.expr(f"x.element = y.element and x.root <> y.root and {fits} and {room}"))
-                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
-                        F.col("x.element").alias("element"), F.least("x.ell", "y.ell").alias("ell"))
-                .distinct()
-                .groupBy("a", "b").agg(F.count("*").alias("matches"), F.first("ell").alias("ell"))
-                .where("matches >= ell").select("a", "b")
+                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(),
+                prefixes,
             )
         found = cut(_verified(pairs, sets, percent), "links")
         links = found if links is None else links.union(found)
