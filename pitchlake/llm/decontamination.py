@@ -7,7 +7,6 @@ contains, and from its state which items contain it.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -124,7 +123,7 @@ def build(items: list[tuple[object, list[int]]], window: int, vocabulary: np.nda
     return sam
 
 
-def matches(sam: Automaton, h: np.ndarray, owner: np.ndarray, n_texts: int):
+def matches(sam: Automaton, h: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]], set]]:
     """Per text with a hit: (text, merged spans of hit words [a, b), items). Word numbers count within the block.
 
     Only runs of at least the shortest window of words that items have are streamed;
@@ -180,8 +179,14 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(words, pa.list_(pa.int64()))], names=["item", "words"])
 
 
-def _stream(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Adds n_words, the spans of hit words (numbers of words, then bytes) and the items to each row."""
+_HITS = "n_words long, spans array<long>, places array<long>, items array<string>"
+
+
+def _stream(batches: Iterator[pa.RecordBatch], shared, text: str) -> Iterator[pa.RecordBatch]:
+    """Adds n_words, the spans of hit words (numbers of words, then bytes) and the items to each row.
+
+    Finds of an earlier automaton, if the rows have them, are merged in. ``text``: "drop" it, "keep" it, or "cut" the spans out.
+    """
     sam = shared.value
     for batch in batches:
         n_words, spans, places, items = [], [], [], []
@@ -195,16 +200,28 @@ def _stream(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             spans += [[]] * len(texts)
             places += [[]] * len(texts)
             items += [[]] * len(texts)
-            for text, found, who in matches(sam, h, owner, len(texts)):
-                spans[base + text] = [x - int(first[text]) for s in found for x in s]
-                start = int(texts.starts[text])
-                places[base + text] = [x for a, b in found for x in (int(begin[a]) - start, int(end[b - 1]) - start)]
-                items[base + text] = sorted(who)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-             pa.array(places, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-            names=["id", "n_words", "spans", "places", "items"],
-        )
+            for of, found, who in matches(sam, h, owner):
+                spans[base + of] = [x - int(first[of]) for s in found for x in s]
+                start = int(texts.starts[of])
+                places[base + of] = [x for a, b in found for x in (int(begin[a]) - start, int(end[b - 1]) - start)]
+                items[base + of] = sorted(who)
+        if "items" in batch.schema.names:
+            before = [batch.column(c).to_pylist() for c in ("spans", "places", "items")]
+            spans = [_merge(x, y) for x, y in zip(before[0], spans)]
+            places = [_merge(x, y) for x, y in zip(before[1], places)]
+            items = [sorted({*x, *y}) for x, y in zip(before[2], items)]
+        columns = {"id": batch.column("id")}
+        if text != "drop":
+            columns["text"] = batch.column("text")
+        if text == "cut" and any(places):
+            whole = columns["text"].to_pylist()
+            columns["text"] = pa.array([_without(t, p) if p else t for t, p in zip(whole, places)], pa.string())
+        longs = pa.list_(pa.int64())
+        columns |= {
+            "n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, longs),
+            "places": pa.array(places, longs), "items": pa.array(items, pa.list_(pa.string())),
+        }
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _automata(items: DataFrame, item_col: str, text_col: str, window: int, max_words: int) -> list[Automaton]:
@@ -222,9 +239,9 @@ def _automata(items: DataFrame, item_col: str, text_col: str, window: int, max_w
     return out
 
 
-def _merge(batches: list[list[int]]) -> list[int]:
-    """Union of several lists of [a, b) pairs."""
-    pairs = sorted((s[i], s[i + 1]) for s in batches for i in range(0, len(s), 2))
+def _merge(one: list[int], two: list[int]) -> list[int]:
+    """Union of two flat lists of [a, b) pairs; pairs that touch are joined."""
+    pairs = sorted((s[i], s[i + 1]) for s in (one, two) for i in range(0, len(s), 2))
     out: list[int] = []
     for a, b in pairs:
         if out and a <= out[-1]:
@@ -234,6 +251,22 @@ def _merge(batches: list[list[int]]) -> list[int]:
     return out
 
 
+def _hits(src: DataFrame, items: DataFrame, item_col: str, item_text_col: str, window: int, max_words: int, text: str) -> DataFrame:
+    """Rows (id, text) through one automaton after another; ``text`` as in ``_stream``."""
+    sc = src.sparkSession.sparkContext
+    automata = _automata(items, item_col, item_text_col, window, max_words)
+    fields = {f.name: f.dataType.simpleString() for f in src.schema.fields}
+    rows = src
+    for k, sam in enumerate(automata):
+        last = k == len(automata) - 1
+        way = text if last else "keep"
+        schema = ", ".join([f"id {fields['id']}"] + ["text string"] * (way != "drop") + [_HITS])
+        rows = rows.mapInArrow(partial(_stream, shared=sc.broadcast(sam), text=way), schema)
+        if not last:
+            rows = cut(rows, "hits")  # one automaton at a time in a worker
+    return rows
+
+
 def benchmark_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", window: int = 13,
                    max_words: int = MAX_WORDS) -> DataFrame:
@@ -244,33 +277,15 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     window is ``window`` consecutive words of an item; an item of fewer words, but not
     none, is one window.
 
-    The items are collected to build the automaton, in blocks of about ``max_words`` words;
-    with several blocks every block is one more pass over the documents, and no window is lost.
+    The items are collected to build the automaton, in blocks of about ``max_words`` words; with
+    several blocks the rows pass through one automaton after another, and no window is lost.
 
     Edge cases: null texts have no words; null item ids are left out, repeated item ids count
-    once; an empty benchmark hits nothing; null and repeated document ids keep their rows (with
-    several blocks, repeated ids must have equal texts). Other columns are not read.
+    once; an empty benchmark hits nothing; null and repeated document ids keep their rows; an
+    empty table gives an empty result. Other columns are not read.
     """
-    spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = (f"id {src.schema['id'].dataType.simpleString()}, n_words long, spans array<long>, places array<long>, items array<string>")
-    found = None
-    automata = _automata(items, item_col, item_text_col, window, max_words)
-    for k, sam in enumerate(automata):
-        rows = src.mapInArrow(partial(_stream, shared=spark.sparkContext.broadcast(sam)), schema)
-        if len(automata) > 1:
-            rows = rows.withColumn("block", F.lit(k))
-        found = rows if found is None else found.union(rows)
-    if len(automata) > 1:
-        found = cut(found, "block-hits")
-        extra = found.where("block > 0 and size(spans) > 0").groupBy("id").agg(
-            F.collect_list("spans").alias("more_spans"), F.collect_list("places").alias("more_places"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("more_items"))
-        merge = F.udf(lambda first, rest: _merge([first, *(rest or [])]), "array<long>")
-        found = found.where("block = 0").drop("block").join(extra, "id", "left").select(
-            "id", "n_words", merge("spans", "more_spans").alias("spans"), merge("places", "more_places").alias("places"),
-            F.array_sort(F.array_union("items", F.coalesce("more_items", F.array().cast("array<string>")))).alias("items"))
-    return found.withColumnRenamed("id", id_col)
+    return _hits(src, items, item_col, item_text_col, window, max_words, "drop").withColumnRenamed("id", id_col)
 
 
 def with_verdict(hits: DataFrame, share: int = 20) -> DataFrame:
@@ -284,31 +299,20 @@ def with_verdict(hits: DataFrame, share: int = 20) -> DataFrame:
     )
 
 
-def items_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  window: int = 13, share: int = 20, **kw) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", window: int = 13, share: int = 20, max_words: int = MAX_WORDS) -> DataFrame:
     """The rows and columns of ``docs`` without contaminated texts, and without the hit spans of the others.
 
-    A text whose hit words make up at least one in ``share`` goes; from a text below
-    that limit only the hit spans (each at least a window long) are cut out, the rest stays as it is,
-    byte for byte. Rows without a hit, null texts among them, stay unchanged.
+    A text whose hit words make up at least one in ``share`` goes; from a text below that limit only
+    the hit spans (each at least a window long) are cut out, the rest stays as it is, byte for
+    byte. Rows without a hit, null texts among them, stay unchanged. The other columns travel
+    with their text through the same pass, whatever their names, so nothing is joined back.
     """
     order = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(order)])
-    text = f"c{order.index(text_col)}"
-    # one pass: the row travels with its hits as (whole row, text)
-    tagged = inner.select(F.struct(*inner.columns).alias("id"), F.col(text).alias("text"))
-    hits = with_verdict(benchmark_hits(tagged, items, "id", "text", window=window, **kw), share)
-    kept = hits.where("not contaminated")
-    cut_out = F.udf(_without, "string")
-    columns = [
-        (F.when(F.size("places") > 0, cut_out(F.col(f"id.{c}"), "places")).otherwise(F.col(f"id.{c}")) if c == text else F.col(f"id.{c}")).alias(name)
-        for c, name in zip(inner.columns, order)
-    ]
-    return kept.select(*columns)
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(order) if c != text_col]
+    src = docs.select(F.struct(F.lit(0).alias("row"), *others).alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    kept = with_verdict(_hits(src, items, item_col, item_text_col, window, max_words, "cut"), share).where("not contaminated")
+    return kept.select(*[(F.col("text") if c == text_col else F.col(f"id.c{i}")).alias(c) for i, c in enumerate(order)])
 
 
 def _without(text: str, places: list[int]) -> str:
