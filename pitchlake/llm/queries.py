@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pitchlake.llm import oracle
 from pitchlake.llm.arc import pages_to_warc
 from pitchlake.llm.decontamination import benchmark_hits, with_verdict
 from pitchlake.llm.language_id import predict_language, train_language
@@ -118,4 +119,5 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the queries that have one; corpus_pipeline.ORACLE_SQL would join them if the pipeline had one."""
+    return oracle.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
