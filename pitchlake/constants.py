@@ -38,7 +38,8 @@ KEEPER_MARK = "†"
 # Match date and session times in the metadata text.
 MATCH_DATE_PATTERN = r"^(\d+\s+\w+\s+\d{4})"
 MATCH_DATE_FORMAT = "d MMMM yyyy"
-SESSION_TIME_FORMAT = "yyyy-MM-dd H.mm"
+# hour and minute of an "H.mm" time
+SESSION_TIME_PATTERN = r"^([0-9]{1,2})\.([0-9]{2})$"
 SESSION_PATTERNS = (
     ("match_start_utc", r"^(\d+\.\d+)\s+start"),
     ("first_innings_start_utc", r"First Session\s+(\d+\.\d+)"),

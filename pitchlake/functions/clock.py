@@ -1,9 +1,8 @@
 """Match dates and session times (local clock -> UTC) as Column expressions.
 
-The local wall-clock time is parsed as if the session clock were UTC and then
-shifted with ``to_utc_timestamp``; sessions are pinned to UTC for this
-(``pitchlake.session.pin_utc``). Sessions that run past midnight keep the match
-date (no roll-over), and an unknown ground defaults to UTC.
+An instant is made from date, wall-clock time and the ground's zone in one step,
+so the session's own zone plays no part. Sessions that run past midnight keep
+the match date (no roll-over), and an unknown ground defaults to UTC.
 """
 
 from __future__ import annotations
@@ -19,15 +18,12 @@ def match_date(match_days: Column) -> Column:
     return F.try_to_date(F.trim(F.regexp_extract(match_days, K.MATCH_DATE_PATTERN, 1)), K.MATCH_DATE_FORMAT)
 
 
-def session_local(hours_text: Column, date: Column, pattern: str) -> Column:
-    """Local timestamp of the "H.mm" time captured by ``pattern`` on ``date``."""
-    hhmm = F.trim(F.regexp_extract(hours_text, pattern, 1))
-    text = F.concat(date.cast("string"), F.lit(" "), hhmm)
-    return F.when(hhmm != "", F.try_to_timestamp(text, F.lit(K.SESSION_TIME_FORMAT)))
-
-
 def session_utc(hours_text: Column, date: Column, zone: Column, pattern: str) -> Column:
-    return F.to_utc_timestamp(session_local(hours_text, date, pattern), zone)
+    """Instant of the "H.mm" wall-clock time captured by ``pattern`` on ``date`` in ``zone``."""
+    hhmm = F.trim(F.regexp_extract(hours_text, pattern, 1))
+    hour = F.regexp_extract(hhmm, K.SESSION_TIME_PATTERN, 1).try_cast("int")
+    minute = F.regexp_extract(hhmm, K.SESSION_TIME_PATTERN, 2).try_cast("int")
+    return F.try_make_timestamp(F.year(date), F.month(date), F.day(date), hour, minute, F.lit(0).cast("decimal(16,6)"), zone)
 
 
 def session_columns(hours_text: Column, date: Column, zone: Column) -> dict[str, Column]:

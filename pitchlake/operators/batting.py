@@ -39,7 +39,7 @@ def batting_per_match(events: DataFrame, metadata: DataFrame) -> DataFrame:
         *_run_counts("batsman_runs"),
         F.count_if("dismissed").alias("times_dismissed"),
     )
-    out = lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
+    out = lookups.join_lookup(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
     return out.select(
         "matchid", "series", "season", "batsman", "team", "balls_faced", "total_runs",
         rates.strike_rate(F.col("total_runs"), F.col("balls_faced")).alias("strike_rate"),

@@ -58,7 +58,7 @@ def _is_maiden():
 
 def maiden_overs(events: DataFrame, metadata: DataFrame) -> DataFrame:
     agg = per_over(events).groupBy("matchid", "bowler").agg(F.count_if(_is_maiden()).alias("maiden_overs"))
-    return lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left").select(
+    return lookups.join_lookup(agg, metadata.select("matchid", "series", "season"), "matchid", "left").select(
         "matchid", "bowler", "series", "season", "maiden_overs")
 
 
@@ -72,7 +72,7 @@ def bowling_per_match(events: DataFrame, metadata: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in RUN_COUNTS],
         F.sum("wickets").alias("wickets_taken"),
     )
-    out = lookups.join_small(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
+    out = lookups.join_lookup(agg, metadata.select("matchid", "series", "season"), "matchid", "left")
     return out.select(
         "matchid", "series", "season", "bowler", "total_deliveries", "legal_balls_bowled",
         rates.overs_notation(F.col("legal_balls_bowled")).alias("overs_bowled"),

@@ -5,11 +5,11 @@ number with two tie-breaks so the order is total. An innings is at most a few
 hundred deliveries, so the window partitions are small by nature.
 
 Dirty keys (for example a NULL matchid or team shared by many deliveries)
-would pile up in a single window partition. ``hot_key_chunk`` splits every
-innings into chunks of consecutive ball numbers: running sums are computed per
-chunk, chunk totals are prefix-summed per innings (one row per chunk), and
-the offsets are joined back. The result is identical; no task ever holds more
-than one chunk of one innings.
+would pile up in a single window partition. ``chunk_rows`` cuts the
+deliveries, in the order of innings and ball, into ranges of about that many
+rows, so a key of any size is spread over as many ranges as it needs: running sums are computed
+per innings and range, range totals are prefix-summed per innings (one
+row per range), and the offsets are joined back. The result is identical.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import constants as K
+from pitchlake.session import fresh_dir
 
 INNINGS_KEYS = ("matchid", "team", "super_over_team")
 ORDER = ("over", "match_ball_number", "over_ball_number", "event")
@@ -27,10 +28,14 @@ def _wicket(method: Column) -> Column:
     return F.when(method != K.NOT_OUT, F.lit(1)).otherwise(F.lit(0))
 
 
-def innings_progress(events: DataFrame, hot_key_chunk: int | None = None) -> DataFrame:
-    """Adds ``innings_score`` and ``wickets_lost`` running totals to each delivery."""
-    if hot_key_chunk:
-        return _chunked(events, hot_key_chunk)
+def innings_progress(events: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Adds ``innings_score`` and ``wickets_lost`` running totals to each delivery.
+
+    With ``chunk_rows`` no window partition holds more than about that many rows, at the cost of
+    writing the ranged deliveries once to the scratch folder.
+    """
+    if chunk_rows:
+        return _chunked(events, chunk_rows)
     w = (Window.partitionBy(*INNINGS_KEYS).orderBy(*ORDER)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return events.withColumns({
@@ -39,15 +44,27 @@ def innings_progress(events: DataFrame, hot_key_chunk: int | None = None) -> Dat
     })
 
 
-def _chunked(events: DataFrame, chunk: int) -> DataFrame:
+def chunks(events: DataFrame, chunk_rows: int) -> DataFrame:
+    """``events`` with ``_chunk``, the number of a range of about ``chunk_rows`` rows in (innings, ball) order.
+
+    The ranges are written and read back, so each row keeps its number whatever is recomputed later.
+    """
+    n = max(1, -(-events.count() // chunk_rows))
+    tied = events.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(n, *INNINGS_KEYS, *ORDER, "_tie").withColumn("_chunk", F.spark_partition_id())
+    spark, path = events.sparkSession, fresh_dir(events.sparkSession, "innings-chunks")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
+def _chunked(events: DataFrame, chunk_rows: int) -> DataFrame:
     # Struct keys compare and hash NULL fields as equal values, so NULL innings
     # keys join back to their own offsets.
-    df = events.withColumns({
+    df = chunks(events, chunk_rows).withColumns({
         "_innings": F.struct(*INNINGS_KEYS),
-        "_chunk": F.struct(F.col("over"), F.floor(F.col("match_ball_number") / chunk).alias("b")),
         "_w": _wicket(F.col("dismissal_method")),
     })
-    local_w = (Window.partitionBy("_innings", "_chunk").orderBy(*ORDER)
+    local_w = (Window.partitionBy("_innings", "_chunk").orderBy(*ORDER, "_tie")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumns({
         "_runs_in_chunk": F.sum("runs").over(local_w),
@@ -55,7 +72,7 @@ def _chunked(events: DataFrame, chunk: int) -> DataFrame:
     })
     # Chunk totals: a partial aggregate that reads only the key and measure
     # columns; the prefix sums then run over one row per chunk.
-    totals = local.groupBy("_innings", "_chunk").agg(
+    totals = df.groupBy("_innings", "_chunk").agg(
         F.sum("runs").alias("_chunk_runs"), F.sum("_w").alias("_chunk_wkts"))
     before = (Window.partitionBy("_innings").orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -74,26 +91,15 @@ def _chunked(events: DataFrame, chunk: int) -> DataFrame:
     return joined.withColumns({
         "innings_score": plus("_runs_before", "_runs_in_chunk"),
         "wickets_lost": plus("_wkts_before", "_wkts_in_chunk"),
-    }).drop("_innings", "_chunk", "_w", "_runs_in_chunk", "_wkts_in_chunk", "_runs_before", "_wkts_before")
-
-
-def largest_innings(events: DataFrame) -> int:
-    """Row count of the largest innings key (one partial-aggregated pass over the key columns)."""
-    counts = events.groupBy(*INNINGS_KEYS).count()
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
-def choose_chunk(events: DataFrame, max_innings_rows: int = 1_000_000, chunk: int = 64) -> int | None:
-    """Chunk size when some innings key is too large for one window partition, else None."""
-    return chunk if largest_innings(events) > max_innings_rows else None
+    }).drop("_innings", "_chunk", "_tie", "_w", "_runs_in_chunk", "_wkts_in_chunk", "_runs_before", "_wkts_before")
 
 
-def gold_events(silver_events: DataFrame, hot_key_chunk: int | None = None) -> DataFrame:
+def gold_events(silver_events: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     cols = [
         "Batchid", "matchid", "event", "ball", "over", "over_ball_number", "match_ball_number",
         "runs", "innings_score", "wickets_lost", "commentary", "bowler", "batsman", "team",
         "is_super_over", "super_over_team", "runs_text", "Extras", "dismissal_method",
         "dismissed_by", "source_file", "load_timestamp", "silver_load_timestamp",
     ]
-    return innings_progress(silver_events, hot_key_chunk).select(
+    return innings_progress(silver_events, chunk_rows).select(
         *cols, F.current_timestamp().alias("gold_load_timestamp"))

@@ -1,4 +1,4 @@
-"""Per-match name lists, the ground -> timezone dimension and size-checked broadcasts."""
+"""Per-match name lists, the ground -> timezone dimension and lookup joins."""
 
 from __future__ import annotations
 
@@ -9,35 +9,15 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions import names as N
 
-# A side is broadcast only below these row counts (checked, not assumed).
-DIMENSION_MAX_ROWS = 100_000      # narrow rows: zones, (matchid, series, season), (matchid, date)
-NAME_LISTS_MAX_ROWS = 20_000      # one name index per match, a few KB each
 
+def join_lookup(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Equi-join with a lookup side (at most one row per key).
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``; None when larger.
-
-    Reads at most ``max_rows + 1`` rows, so the check stays cheap on a big input.
+    No size is counted beforehand and nothing is hinted: the planner knows the sizes
+    of written tables, and adaptive execution replaces a sort-merge join by
+    a broadcast when the side's bytes, known once its stage has run, are small.
     """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose size was checked; otherwise leave the
-    choice to the planner (AQE can still switch to a broadcast from runtime sizes)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df
-
-
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
-               max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Join with ``right`` broadcast only when it has at most ``max_rows`` rows
-    (counted, reading at most ``max_rows + 1``); otherwise a sort-merge join, so
-    no size estimate ever decides to broadcast a side that grows with the data.
-    ``right`` must be a batch DataFrame; ``left`` may be streaming."""
-    if bounded_rows(right, max_rows) is not None:
-        return left.join(F.broadcast(right), on=on, how=how)
-    return left.join(right.hint("merge"), on=on, how=how)
+    return left.join(right, on=on, how=how)
 
 
 def match_name_lists(players: DataFrame) -> DataFrame:
@@ -63,19 +43,19 @@ def distinct_grounds(metadata: DataFrame) -> DataFrame:
     return metadata.select("ground").where(F.col("ground").isNotNull()).distinct()
 
 
-def zone_dimension(zones: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
+def zone_dimension(zones: DataFrame) -> DataFrame:
     """Validated ground -> IANA zone table, one row per ground.
 
-    An unknown zone id would make ``to_utc_timestamp`` fail at run time, so ids
-    are checked up front. The dimension is size-checked before its distinct
-    zone ids (a few hundred at most) are compared with the zone database.
+    An unknown zone id would make the time conversion fail at run time, so ids
+    are checked up front by an anti-join with the ids of the zone database (a
+    fixed table of a few hundred rows); only ids that are not in it, five at
+    most, reach the driver.
     """
     one_per_ground = zones.groupBy("ground").agg(F.min("local_timezone").alias("local_timezone"))
-    if bounded_rows(one_per_ground, max_rows) is None:
-        raise ValueError(f"zone dimension has more than {max_rows} grounds")
-    ids = [r[0] for r in one_per_ground.select("local_timezone").distinct().collect()]
-    known = zoneinfo.available_timezones() | {"UTC", "GMT", "Z"}
-    bad = sorted(z for z in ids if z not in known)
+    ids = [(z,) for z in sorted(zoneinfo.available_timezones() | {"UTC", "GMT", "Z"})]
+    known = zones.sparkSession.createDataFrame(ids, "local_timezone string")
+    unknown = one_per_ground.join(F.broadcast(known), "local_timezone", "left_anti").select("local_timezone").distinct()
+    bad = sorted(str(r[0]) for r in unknown.limit(5).collect())
     if bad:
         raise ValueError(f"unknown time zone ids in zone dimension: {bad}")
     return one_per_ground
@@ -85,7 +65,7 @@ def with_local_timezone(metadata: DataFrame, zones: DataFrame) -> DataFrame:
     """Adds ``local_timezone`` (default "UTC" for an unknown or NULL ground)."""
     dim = zones.withColumnRenamed("local_timezone", "_zone")
     return (
-        join_small(metadata, dim, "ground", "left")
+        join_lookup(metadata, dim, "ground", "left")
         .withColumn("local_timezone", F.coalesce(F.col("_zone"), F.lit("UTC")))
         .drop("_zone")
     )

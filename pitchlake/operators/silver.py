@@ -70,7 +70,7 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame | None = None,
     """
     teams = (lookups.match_team_lists(players) if lists is None
              else lists.select("matchid", "team_index"))
-    df = lookups.join_small(metadata, teams, "matchid", "left", lookups.NAME_LISTS_MAX_ROWS)
+    df = lookups.join_lookup(metadata, teams, "matchid", "left")
     return names.resolve_columns(df, {
         "first_innings": ("first_innings", "team_index"),
         "second_innings": ("second_innings", "team_index"),
@@ -78,8 +78,9 @@ def resolve_innings_teams(metadata: DataFrame, players: DataFrame | None = None,
 
 
 def silver_metadata(bronze_metadata: DataFrame, players: DataFrame | None, zones: DataFrame,
-                    watermark: str | None = None, lists: DataFrame | None = None) -> DataFrame:
-    df = deduplicate(bronze_metadata, METADATA_KEYS, watermark)
+                    lists: DataFrame | None = None) -> DataFrame:
+    # exact, without a watermark: a second row of a match would multiply its gold rows
+    df = deduplicate(bronze_metadata, METADATA_KEYS)
     df = resolve_innings_teams(enrich_metadata(df, zones), players, lists)
     return df.select(*schemas.SILVER_METADATA_COLUMNS, F.current_timestamp().alias("silver_load_timestamp"))
 
@@ -110,7 +111,7 @@ def parse_deliveries(events: DataFrame) -> DataFrame:
 
 
 def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
-                           lists: DataFrame | None = None, null_keys_bypass: bool = False) -> DataFrame:
+                           lists: DataFrame | None = None, null_keys_bypass: bool = True) -> DataFrame:
     """Team, batsman and bowler resolved against the match's line-up lists.
 
     Left join on matchid: a delivery whose match has no line-up keeps its short
@@ -125,15 +126,14 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
         # Rows without a matchid can never match a list. Routing them around the
         # join keeps them out of one hot shuffle partition when the join is a
         # sort-merge join (a broken path can leave a large share of rows NULL).
-        keyed = lookups.join_small(parsed.where(F.col("matchid").isNotNull()), lists, "matchid", "left",
-                                   lookups.NAME_LISTS_MAX_ROWS)
+        keyed = lookups.join_lookup(parsed.where(F.col("matchid").isNotNull()), lists, "matchid", "left")
         unkeyed = parsed.where(F.col("matchid").isNull()).select(
             *parsed.columns,
             F.lit(None).cast(lists.schema["team_index"].dataType).alias("team_index"),
             F.lit(None).cast(lists.schema["player_index"].dataType).alias("player_index"))
         df = keyed.unionByName(unkeyed)
     else:
-        df = lookups.join_small(parsed, lists, "matchid", "left", lookups.NAME_LISTS_MAX_ROWS)
+        df = lookups.join_lookup(parsed, lists, "matchid", "left")
     df = names.resolve_columns(df, {
         "team": ("innings", "team_index"),
         "batsman_resolved": ("batsman_short", "player_index"),
@@ -144,7 +144,7 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
 
 
 def silver_events(bronze_events: DataFrame, players: DataFrame | None, lists: DataFrame | None = None,
-                  null_keys_bypass: bool = False) -> DataFrame:
+                  null_keys_bypass: bool = True) -> DataFrame:
     df = resolve_delivery_names(parse_deliveries(bronze_events), players, lists, null_keys_bypass)
     df = df.drop("bowler", "batsman").withColumnsRenamed(
         {"bowler_resolved": "bowler", "batsman_resolved": "batsman"})

@@ -24,7 +24,7 @@ def appearances(events: DataFrame, players: DataFrame) -> DataFrame:
 def player_team_spans(appearances_df: DataFrame, metadata: DataFrame) -> DataFrame:
     """First/last match date and match count per (player, team); undated matches are left out."""
     dates = metadata.select("matchid", "match_date").where(F.col("match_date").isNotNull())
-    dated = lookups.join_small(appearances_df, dates, "matchid", "inner")
+    dated = lookups.join_lookup(appearances_df, dates, "matchid", "inner")
     return dated.groupBy("player_name", "team").agg(
         F.min("match_date").alias("first_match_date"),
         F.max("match_date").alias("last_match_date"),

@@ -14,14 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake import schemas
+from pitchlake import schemas, settings
 from pitchlake.functions import names as N
 from pitchlake.functions import parse
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
-from pitchlake.session import fresh_dir, pin_utc
+from pitchlake.session import fresh_dir
 from pitchlake.sources import dirty, files, proxies
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming import medallion
+from pitchlake.streaming import incremental, medallion
 from pitchlake.streaming.runner import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,16 +40,19 @@ def registry() -> dict[str, Query]:
 # --------------------------------------------------------------------------- inputs
 
 def _feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    pin_utc(spark)
     return proxies.feeds(spark, sf_dir)
 
 
-def _silver_inputs(spark: SparkSession, sf_dir: str):
-    f = _feeds(spark, sf_dir)
-    players = silver.silver_players(silver.as_bronze(f["players"]))
-    meta = silver.silver_metadata(silver.as_bronze(f["metadata"]), players, f["zones"])
-    events = silver.silver_events(silver.as_bronze(f["deliveries"]), players)
-    return f, players, meta, events
+def _players(f: dict[str, DataFrame]) -> DataFrame:
+    return silver.silver_players(silver.as_bronze(f["players"]))
+
+
+def _metadata(f: dict[str, DataFrame]) -> DataFrame:
+    return silver.silver_metadata(silver.as_bronze(f["metadata"]), _players(f), f["zones"])
+
+
+def _events(f: dict[str, DataFrame]) -> DataFrame:
+    return silver.silver_events(silver.as_bronze(f["deliveries"]), _players(f))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,15 +146,24 @@ def resolve_innings_teams(spark, sf_dir):
 
 @query
 def innings_progress(spark, sf_dir):
-    _, _, _, events = _silver_inputs(spark, sf_dir)
+    events = _events(_feeds(spark, sf_dir))
     return innings.innings_progress(events).select(
         "matchid", "match_ball_number", "team", "super_over_team", "over", "over_ball_number", "runs",
         "dismissal_method", "innings_score", "wickets_lost")
 
 
+@query
+def innings_progress_chunked(spark, sf_dir):
+    """As innings_progress, with window partitions bounded by a row count."""
+    return innings.innings_progress(_events(_feeds(spark, sf_dir)), chunk_rows=5000).select(
+        "matchid", "match_ball_number", "team", "super_over_team", "over", "over_ball_number", "runs",
+        "dismissal_method", "innings_score", "wickets_lost")
+
+
 @query
 def batting_per_match(spark, sf_dir):
-    _, _, meta, events = _silver_inputs(spark, sf_dir)
+    f = _feeds(spark, sf_dir)
+    meta, events = _metadata(f), _events(f)
     return batting.batting_per_match(events, meta)
 
 
@@ -167,13 +179,15 @@ def batting_overall(spark, sf_dir):
 
 @query
 def maiden_overs(spark, sf_dir):
-    _, _, meta, events = _silver_inputs(spark, sf_dir)
+    f = _feeds(spark, sf_dir)
+    meta, events = _metadata(f), _events(f)
     return bowling.maiden_overs(events, meta)
 
 
 @query
 def bowling_per_match(spark, sf_dir):
-    _, _, meta, events = _silver_inputs(spark, sf_dir)
+    f = _feeds(spark, sf_dir)
+    meta, events = _metadata(f), _events(f)
     return bowling.bowling_per_match(events, meta)
 
 
@@ -189,20 +203,19 @@ def bowling_overall(spark, sf_dir):
 
 @query
 def match_summary(spark, sf_dir):
-    _, _, meta, _ = _silver_inputs(spark, sf_dir)
-    return summary.match_summary(meta)
+    return summary.match_summary(_metadata(_feeds(spark, sf_dir)))
 
 
 @query
 def appearances_union(spark, sf_dir):
-    _, players, _, events = _silver_inputs(spark, sf_dir)
-    return spans.appearances(events, players)
+    f = _feeds(spark, sf_dir)
+    return spans.appearances(_events(f), _players(f))
 
 
 @query
 def player_team_spans(spark, sf_dir):
-    _, players, meta, events = _silver_inputs(spark, sf_dir)
-    return spans.player_team_spans(spans.appearances(events, players), meta)
+    f = _feeds(spark, sf_dir)
+    return spans.player_team_spans(spans.appearances(_events(f), _players(f)), _metadata(f))
 
 
 @query
@@ -236,20 +249,19 @@ def dq_silver_players(spark, sf_dir):
 @query
 def dq_silver_metadata(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    players = silver.silver_players(silver.as_bronze(f["players"]))
     bronze = silver.as_bronze(dirty.silver_metadata_feed(f["metadata"]))
-    return quality.quality_report(silver.silver_metadata(bronze, players, f["zones"]), "silver_metadata")
+    return quality.quality_report(silver.silver_metadata(bronze, _players(f), f["zones"]), "silver_metadata")
 
 
 @query
 def dq_silver_events(spark, sf_dir):
-    _, _, _, events = _silver_inputs(spark, sf_dir)
+    events = _events(_feeds(spark, sf_dir))
     return quality.quality_report(dirty.silver_events(events), "silver_events")
 
 
 @query
 def dq_gold_events(spark, sf_dir):
-    _, _, _, events = _silver_inputs(spark, sf_dir)
+    events = _events(_feeds(spark, sf_dir))
     return quality.quality_report(dirty.gold_events(innings.innings_progress(events)), "gold_events")
 
 
@@ -307,16 +319,76 @@ def ingest_players_csv(spark, sf_dir):
     return _ingest(spark, sf_dir, "players", files.players, schemas.BRONZE_PLAYERS_COLUMNS)
 
 
+def _staged_once(spark: SparkSession, sf_dir: str, what: str, write) -> str:
+    """Root of files that ``write(root)`` stages, once per session and input directory."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), what)
+    if key not in _STAGED_ROOTS:
+        root = fresh_dir(spark, f"feed-{what}")
+        write(root)
+        _STAGED_ROOTS[key] = root
+    return _STAGED_ROOTS[key]
+
+
+@query
+def ingest_events_by_header(spark, sf_dir):
+    """CSV files whose headers differ: reordered, with an unknown column, and (odd matches) without is_super_over."""
+    def write(root: str) -> None:
+        d = _feeds(spark, sf_dir)["deliveries"].withColumn("Weather", F.lit("dry, \"cold\""))
+        mixed = ["innings", "commentary", "Weather", "bowler", "ball", "is_super_over", "event", "matchid", "batsman", "match_ball_number"]
+        fewer = ["event", "match_ball_number", "Weather", "matchid", "batsman", "ball", "commentary", "innings", "bowler"]
+        files.write_feed(d.where("matchid % 2 = 0").select(mixed), f"{root}/a", "csv")
+        files.write_feed(d.where("matchid % 2 = 1").select(fewer), f"{root}/b", "csv")
+
+    root = _staged_once(spark, sf_dir, "by-header", write)
+    lake = Lake(fresh_dir(spark, "lake"))
+    out = None
+    for part in ("a", "b"):
+        stream = files.events(spark, f"{root}/{part}", streaming=True, file_name=_STAGED, run_id="stream")
+        append(stream, lake.table("bronze", f"events_{part}"), lake.checkpoint("bronze", f"events_{part}"))
+        batch = files.events(spark, f"{root}/{part}", streaming=False, file_name=_STAGED, run_id="batch")
+        for df in (lake.read(spark, "bronze", f"events_{part}"), batch):
+            df = df.select("Batchid", *schemas.BRONZE_EVENTS_COLUMNS)
+            out = df if out is None else out.unionByName(df)
+    return out
+
+
+@query
+def ingest_rerun_settings(spark, sf_dir):
+    """Two runs with run settings; files that arrive between them are read once, by the second run."""
+    def write(root: str) -> None:
+        p = _feeds(spark, sf_dir)["players"]
+        for run, part in (("first", "matchid % 3 <> 0"), ("second", "matchid % 3 = 0")):
+            files.write_feed(p.where(part), f"{root}/{run}", "csv")
+
+    staged = _staged_once(spark, sf_dir, "rerun", write)
+    lake_root = fresh_dir(spark, "lake")
+    source = fresh_dir(spark, "feed-growing")
+    for run in ("first", "second"):
+        # the second run finds the first one's files again, and new ones
+        feed = files.players(spark, f"{staged}/{run}", streaming=False, file_name=_STAGED)
+        files.write_feed(feed.select(*schemas.BRONZE_PLAYERS_COLUMNS), source, "csv", mode="append")
+        s = settings.from_conf(spark, source_path=source, lake_root=lake_root, run_id=f"run-{run}")
+        medallion.run_bronze(spark, s.source_path, Lake(s.lake_root), run_id=s.run_id, tables=("match_players",),
+                             file_names={"match_players": _STAGED})
+    return Lake(lake_root).read(spark, "bronze", "match_players").select("Batchid", *schemas.BRONZE_PLAYERS_COLUMNS)
+
+
+def _stage_twice(spark: SparkSession, sf_dir: str, feed: str) -> list[str]:
+    """The feed's files staged twice (exact copies), once per session and input directory."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), feed, "twice")
+    if key not in _STAGED_ROOTS:
+        root = fresh_dir(spark, f"feed-twice-{feed}")
+        for run in range(2):
+            files.write_feed(_feeds(spark, sf_dir)[feed], f"{root}/run={run}", _FEED_FORMATS[feed])
+        _STAGED_ROOTS[key] = root
+    return [f"{_STAGED_ROOTS[key]}/run={run}" for run in range(2)]
+
+
 def _dedup_twice(spark: SparkSession, sf_dir: str, feed: str, reader, keys) -> DataFrame:
-    """Feed delivered twice (exact copies in two runs); stateful dedup keeps one row per key."""
-    f = _feeds(spark, sf_dir)
-    root = fresh_dir(spark, f"feed-twice-{feed}")
+    """Feed delivered twice (exact copies); stateful dedup keeps one row per key."""
     lake = Lake(fresh_dir(spark, "lake"))
-    out, ckpt = lake.table("silver", feed), lake.checkpoint("silver", feed)
-    for run in range(2):
-        files.write_feed(f[feed], root, _FEED_FORMATS[feed], mode="overwrite" if run == 0 else "append")
-        stream = reader(spark, root, streaming=True, file_name=_STAGED, run_id="fixture")
-        append(silver.deduplicate(stream, keys), out, ckpt)
+    one, two = (reader(spark, root, streaming=True, file_name=_STAGED, run_id="fixture") for root in _stage_twice(spark, sf_dir, feed))
+    append(silver.deduplicate(one.unionByName(two), keys), lake.table("silver", feed), lake.checkpoint("silver", feed))
     return lake.read(spark, "silver", feed)
 
 
@@ -370,3 +442,93 @@ def gold_write_roundtrip(spark, sf_dir):
     lake = Lake(fresh_dir(spark, "lake"))
     lake.overwrite(batting_per_match(spark, sf_dir), "gold", "batting_stats_per_match")
     return lake.read(spark, "gold", "batting_stats_per_match")
+
+
+# --------------------------------------------------------------------------- gold tables as written
+
+_GOLD_LAKES: dict[tuple, Lake] = {}
+
+
+def _gold_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """files -> bronze -> silver -> all gold tables, built once per session and input directory."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _GOLD_LAKES:
+        lake = _medallion(spark, sf_dir, medallion.BRONZE_TABLES)
+        medallion.build_gold(spark, lake, chunk_rows=50_000, events_partition_by=("matchid",))
+        _GOLD_LAKES[key] = lake
+    return _GOLD_LAKES[key]
+
+
+def _gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _gold_lake(spark, sf_dir).read(spark, "gold", name).drop("gold_load_timestamp")
+
+
+@query
+def gold_match_events(spark, sf_dir):
+    """The match events table, partitioned by matchid, as read back."""
+    return _gold_table(spark, sf_dir, "match_events").select(
+        "matchid", "match_ball_number", "team", "super_over_team", "over", "over_ball_number", "runs",
+        "dismissal_method", "innings_score", "wickets_lost")
+
+
+@query
+def gold_batting_stats_per_match(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "batting_stats_per_match")
+
+
+@query
+def gold_batting_stats_per_series(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "batting_stats_per_series")
+
+
+@query
+def gold_batting_stats_overall(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "batting_stats_overall")
+
+
+@query
+def gold_bowling_stats_per_match(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "bowling_stats_per_match")
+
+
+@query
+def gold_bowling_stats_per_series(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "bowling_stats_per_series")
+
+
+@query
+def gold_bowling_stats_overall(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "bowling_stats_overall")
+
+
+@query
+def gold_match_summary(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "match_summary")
+
+
+@query
+def gold_player_team_scd2(spark, sf_dir):
+    return _gold_table(spark, sf_dir, "player_team_scd2")
+
+
+@query
+def gold_refresh_two_runs(spark, sf_dir):
+    """Career batting after two incremental refreshes, the second for line-ups, metadata and deliveries that came later."""
+    def write(root: str) -> None:
+        f = _feeds(spark, sf_dir)
+        for run, part in (("first", "matchid % 4 <> 1"), ("second", "matchid % 4 = 1")):
+            for feed, fmt in _FEED_FORMATS.items():
+                files.write_feed(f[feed].where(part), f"{root}/{run}/{feed}", fmt)
+
+    staged = _staged_once(spark, sf_dir, "refresh", write)
+    lake = Lake(fresh_dir(spark, "lake"))
+    for run in ("first", "second"):
+        # each run's files form a source of their own, so the lake sees them arrive one after the other
+        roots = {_BRONZE_OF_FEED[feed]: f"{staged}/{run}/{feed}" for feed in _FEED_FORMATS}
+        medallion.run_bronze(spark, roots, Lake(f"{lake.root}/in-{run}"), run_id="fixture",
+                             file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED))
+        for table in medallion.BRONZE_TABLES:
+            Lake(f"{lake.root}/in-{run}").read(spark, "bronze", table).write.mode("append").parquet(lake.table("bronze", table))
+        medallion.run_silver(spark, lake, proxies.zones(spark), buckets=16)
+        incremental.refresh_gold(spark, lake, buckets=16)
+    return lake.read(spark, "gold", "batting_stats_overall").drop("gold_load_timestamp")

@@ -10,6 +10,7 @@ against the batch SQL of the same result (provenance reduced to the
 from __future__ import annotations
 
 from pitchlake import constants as K
+from pitchlake import schemas
 from pitchlake.sources import proxies as P
 
 
@@ -728,5 +729,21 @@ def oracle_sql() -> dict[str, str]:
         "silver_metadata_stream": meta_only + f"SELECT {_SILVER_META_COLS} FROM px_silver_metadata",
         "silver_events_stream": silver_events + f"SELECT {_SILVER_EVENT_COLS} FROM px_silver_events",
         "gold_write_roundtrip": batting + "SELECT * FROM batting_match",
+        "ingest_events_by_header": _base()
+        + "SELECT v.Batchid, " + ", ".join(
+            "CASE WHEN matchid % 2 = 0 THEN is_super_over END AS is_super_over" if c == "is_super_over" else c
+            for c in schemas.BRONZE_EVENTS_COLUMNS)
+        + " FROM px_deliveries, (VALUES ('stream'), ('batch')) AS v(Batchid)",
+        "ingest_rerun_settings": _base()
+        + f"SELECT CASE WHEN matchid % 3 = 0 THEN 'run-second' ELSE 'run-first' END AS Batchid, {_PLAYER_COLS} FROM px_players",
     }
+    for table, same_as in {
+        "innings_progress_chunked": "innings_progress", "gold_match_events": "innings_progress",
+        "gold_batting_stats_per_match": "batting_per_match", "gold_batting_stats_per_series": "batting_per_series",
+        "gold_batting_stats_overall": "batting_overall", "gold_bowling_stats_per_match": "bowling_per_match",
+        "gold_bowling_stats_per_series": "bowling_per_series", "gold_bowling_stats_overall": "bowling_overall",
+        "gold_match_summary": "match_summary", "gold_player_team_scd2": "player_team_scd2",
+        "gold_refresh_two_runs": "batting_overall",
+    }.items():
+        sql[table] = sql[same_as]
     return sql

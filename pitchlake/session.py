@@ -43,21 +43,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_UTC_NAMES = {"UTC", "Etc/UTC", "Etc/UCT", "UCT", "GMT", "Etc/GMT", "Z", "+00:00"}
-
-
-def pin_utc(spark: SparkSession) -> None:
-    """Local session times are converted to UTC assuming a UTC session clock."""
-    # get() without a default returns the effective value (the JVM zone when unset).
-    if spark.conf.get("spark.sql.session.timeZone") not in _UTC_NAMES:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 _LOCAL_FALLBACK: dict[int, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``; where unset, a fresh local one, on a local master only."""
     root = None
     try:
         root = spark.conf.get(_SCRATCH_KEY, None)
@@ -70,6 +60,8 @@ def scratch_root(spark: SparkSession) -> str:
         sc = None
     if not root and sc is not None:
         root = sc.getConf().get(_SCRATCH_KEY, None)
+    if not root and sc is not None and not sc.master.startswith("local"):
+        raise ValueError(f"set {_SCRATCH_KEY} to a folder that driver and executors share")
     if not root:
         key = id(sc) if sc is not None else id(spark)
         if key not in _LOCAL_FALLBACK:

@@ -1,15 +1,20 @@
 """The three file feeds under ``<root>/matchid=<n>/<file>``, batch or streaming.
 
-Each feed is read with its explicit schema; ``matchid`` comes from the
-partition directory (the root is loaded with a file-name filter: a glob in
-the path itself would leave ``matchid`` NULL). Each row carries its file path
-as ``source_file``, the run id as ``Batchid`` and the load time.
+``matchid`` comes from the ``matchid=<n>`` directory of the file's path. CSV
+columns are bound by the names in each file's own header line, in any order:
+unknown columns are dropped, absent ones are NULL, and values are cast to the
+contract types (NULL where they do not fit). Each row carries its file path as
+``source_file``, the run id as ``Batchid`` and the load time.
+
+The contract is one file per match, so a CSV file is read as one value and
+split in the plan; its size is that of a match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from pitchlake import constants as K
@@ -44,11 +49,65 @@ def _reader(spark: SparkSession, streaming: bool, max_files: int | None,
     return spark.read
 
 
+# A field after its comma: quoted (with escaped or doubled quotes) or plain.
+_FIELD = r',("(?:[^"\\]|\\.|"")*"|[^,]*)'
+
+
+def _fields(line: Column) -> Column:
+    """Raw fields of a CSV line (a leading comma makes every field follow one)."""
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+
+
+def _value(raw: Column) -> Column:
+    """Text of a raw field: quotes removed, NULL for an empty unquoted field."""
+    quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
+    text = F.regexp_replace(raw.substr(F.lit(2), F.length(raw) - 2), r'\\(.)|"(")', "$1$2")
+    return F.when(quoted, text).when(raw != "", raw)
+
+
+def matchid_of(path: Column) -> Column:
+    """Match id of the ``matchid=<n>`` directory in a file path; NULL when absent or not a number."""
+    return F.regexp_extract(path, r"matchid=([^/]+)/[^/]*$", 1).try_cast("bigint")
+
+
+def by_header(files_: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of CSV files given as (value, path): one column per schema field, matched by header name.
+
+    Names are compared without case and surrounding blanks; of two columns of
+    one name the first counts.
+    """
+    data = [f for f in schema.fields if f.name != "matchid"]
+    lines = F.split(F.regexp_replace("value", "^\\uFEFF", ""), r"\r\n|\n|\r")
+    head = F.transform(_fields(F.element_at("lines", 1)), lambda x: F.lower(F.trim(F.coalesce(_value(x), F.lit("")))))
+    rows = (
+        files_.select("path", lines.alias("lines"))
+        .select("path", "lines", head.alias("head"))
+        .select(
+            "path", "lines",
+            *[F.nullif(F.array_position("head", f.name.lower()), F.lit(0)).cast("int").alias(f"at_{f.name}") for f in data],
+        )
+        .select("path", *[f"at_{f.name}" for f in data],
+                F.explode(F.expr("filter(slice(lines, 2, greatest(size(lines) - 1, 0)), l -> l <> '')")).alias("line"))
+        .withColumn("fields", _fields(F.col("line")))
+    )
+    return rows.select(
+        *[_value(F.try_element_at("fields", F.col(f"at_{f.name}"))).try_cast(f.dataType).alias(f.name) for f in data],
+        matchid_of(F.col("path")).alias("matchid"), F.col("path").alias("source_file"),
+    )
+
+
+def _csv(spark: SparkSession, root: str, schema: T.StructType, columns: tuple[str, ...], run_id: str, streaming: bool,
+         file_name: str, max_files: int | None, archive_dir: str | None) -> DataFrame:
+    raw = (_reader(spark, streaming, max_files, archive_dir).schema("value string").option("wholetext", True)
+           .option("pathGlobFilter", file_name).format("text").load(root))
+    rows = by_header(raw.select("value", F.col("_metadata.file_path").alias("path")), schema)
+    return rows.select(F.lit(run_id).alias("Batchid"), *columns, "source_file", F.current_timestamp().alias("load_timestamp"))
+
+
 def events(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.EVENTS_FILE,
            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
-    df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.EVENTS_FILE_SCHEMA)
-          .option("header", True).option("pathGlobFilter", file_name).csv(root))
-    return _bronze(df, schemas.BRONZE_EVENTS_COLUMNS, run_id)
+    return _csv(spark, root, schemas.EVENTS_FILE_SCHEMA, schemas.BRONZE_EVENTS_COLUMNS, run_id, streaming,
+                file_name, max_files, archive_dir)
 
 
 def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.METADATA_FILE,
@@ -62,9 +121,8 @@ def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_nam
 
 def players(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.PLAYERS_FILE,
             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
-    df = (_reader(spark, streaming, max_files, archive_dir).schema(schemas.PLAYERS_FILE_SCHEMA)
-          .option("header", True).option("pathGlobFilter", file_name).csv(root))
-    return _bronze(df, schemas.BRONZE_PLAYERS_COLUMNS, run_id)
+    return _csv(spark, root, schemas.PLAYERS_FILE_SCHEMA, schemas.BRONZE_PLAYERS_COLUMNS, run_id, streaming,
+                file_name, max_files, archive_dir)
 
 
 def write_feed(df: DataFrame, root: str, fmt: str, mode: str = "overwrite") -> None:

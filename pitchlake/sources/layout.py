@@ -6,7 +6,10 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+# Contract types of columns that tables may be partitioned by.
+PARTITION_TYPES = {"matchid": T.LongType(), "match_bucket": T.IntegerType()}
 
 # Sort keys of the gold tables (row-group statistics for data skipping).
 GOLD_CLUSTER = {
@@ -36,8 +39,15 @@ class Lake:
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         """Full snapshot of a table. Built anew on each call, so files added by a
-        later run are seen (a DataFrame's file listing is fixed when created)."""
-        return spark.read.parquet(self.table(layer, name))
+        later run are seen (a DataFrame's file listing is fixed when created).
+        Partition columns have their contract types, not those inferred from
+        directory names."""
+        path = self.table(layer, name)
+        return spark.read.schema(self.schema(spark, layer, name)).parquet(path)
+
+    def schema(self, spark: SparkSession, layer: str, name: str) -> T.StructType:
+        found = spark.read.parquet(self.table(layer, name)).schema
+        return T.StructType([T.StructField(f.name, PARTITION_TYPES.get(f.name, f.dataType), f.nullable) for f in found.fields])
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] | None = None,
                   cluster_by: Sequence[str] | None = None) -> str:
@@ -48,8 +58,11 @@ class Lake:
         statistics let a filter on those keys skip most row groups.
         """
         path = self.table(layer, name)
+        if partition_by:
+            # one file a value where values are small; adaptive execution splits those that are not
+            df = df.hint("rebalance", *partition_by)
         if cluster_by:
-            df = df.sortWithinPartitions(*cluster_by)
+            df = df.sortWithinPartitions(*dict.fromkeys([*(partition_by or ()), *cluster_by]))
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

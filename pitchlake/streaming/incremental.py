@@ -17,7 +17,9 @@ per-match tables are partitioned by that bucket. A refresh:
    which are a small fraction of the deliveries.
 
 A failed batch is re-run from the checkpoint; rewriting a bucket is
-idempotent. The first refresh touches every bucket and equals a full build.
+idempotent. The unit of work is the bucket, not the match: m changed matches
+rewrite up to m buckets whole, so a batch of as many matches as there are buckets
+is close to a full build. The first refresh touches every bucket and equals one.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ def _only(df: DataFrame, touched: list[int], buckets: int) -> DataFrame:
 
 
 def _write_buckets(df: DataFrame, path: str, buckets: int, sort_keys=("matchid",)) -> None:
-    (with_bucket(df.withColumn("gold_load_timestamp", F.current_timestamp()), buckets)
+    # rows of a bucket meet in few files; adaptive execution splits a bucket that is too large for one
+    (with_bucket(df.withColumn("gold_load_timestamp", F.current_timestamp()), buckets).hint("rebalance", BUCKET)
      .sortWithinPartitions(BUCKET, *sort_keys)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(path))
@@ -60,17 +63,15 @@ def _drop_bucket(df: DataFrame) -> DataFrame:
 
 
 def refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets: int,
-                    hot_key_chunk: int | str | None = "auto") -> None:
+                    chunk_rows: int | None = None) -> None:
     """Recompute the per-match gold tables for the given buckets, then the derived levels."""
     read = lambda layer, name: _drop_bucket(lake.read(spark, layer, name))
     events = _only(lake.read(spark, K.SILVER, "match_events"), touched, buckets).transform(_drop_bucket)
     meta = _only(lake.read(spark, K.SILVER, "match_metadata"), touched, buckets).transform(_drop_bucket)
     players = _only(lake.read(spark, K.SILVER, "match_players"), touched, buckets).transform(_drop_bucket)
-    if hot_key_chunk == "auto":
-        hot_key_chunk = innings.choose_chunk(events)
 
     per_match = {
-        "match_events": innings.gold_events(events, hot_key_chunk).drop("gold_load_timestamp"),
+        "match_events": innings.gold_events(events, chunk_rows).drop("gold_load_timestamp"),
         "batting_stats_per_match": batting.batting_per_match(events, meta),
         "bowling_stats_per_match": bowling.bowling_per_match(events, meta),
         "match_summary": summary.match_summary(meta),
@@ -93,12 +94,12 @@ def refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets
                        cluster_by=GOLD_CLUSTER[name])
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 64,
-                 hot_key_chunk: int | str | None = "auto") -> list[list[int]]:
+def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 1024,
+                 chunk_rows: int | None = None) -> list[list[int]]:
     """Apply all silver rows appended since the last refresh; returns the touched buckets per batch."""
     changes = None
     for table in SILVER_TABLES:
-        schema = lake.read(spark, K.SILVER, table).schema
+        schema = lake.schema(spark, K.SILVER, table)
         ids = spark.readStream.schema(schema).parquet(lake.table(K.SILVER, table)).select("matchid")
         changes = ids if changes is None else changes.unionByName(ids)
     applied: list[list[int]] = []
@@ -107,7 +108,7 @@ def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 64,
         # at most `buckets` small integers reach the driver
         touched = sorted(r[0] for r in batch.select(bucket_of(F.col("matchid"), buckets)).distinct().collect())
         if touched:
-            refresh_buckets(spark, lake, touched, buckets, hot_key_chunk)
+            refresh_buckets(spark, lake, touched, buckets, chunk_rows)
             applied.append(touched)
 
     query = (changes.writeStream.foreachBatch(apply)

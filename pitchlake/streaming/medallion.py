@@ -8,6 +8,8 @@ its written table, which cuts the lineage between levels.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +33,14 @@ def quality_summary(queries: dict, layer: str) -> dict[str, dict[str, int]]:
     return out
 
 
+def gold_quality(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Rule violation counts of the whole gold match events table, as it stands after the run."""
+    rows = quality.quality_report(lake.read(spark, K.GOLD, "match_events"), "gold_events").collect()
+    return {"total_rows": rows[0]["total_rows"], **{r["rule"]: r["failed_rows"] for r in rows}}
+
+
 def _stream_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
-    schema = lake.read(spark, layer, name).schema
+    schema = lake.schema(spark, layer, name)
     return spark.readStream.schema(schema).parquet(lake.table(layer, name))
 
 
@@ -67,12 +75,14 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
 
     With ``buckets``, silver tables are partitioned by the match bucket used
     by the incremental gold refresh, so its per-bucket reads prune files.
+    ``watermark`` bounds the de-duplication state of line-ups only: metadata
+    must stay one row per match for the joins of the gold tables.
     """
     out = {}
     if buckets:
         partition_by = (incremental.BUCKET,)
     bucketed = (lambda df: incremental.with_bucket(df, buckets)) if buckets else (lambda df: df)
-    zones = lookups.zone_dimension(zones)  # size-checked, one row per ground, valid zone ids
+    zones = lookups.zone_dimension(zones)  # one row per ground, valid zone ids
     players_stream = _stream_table(spark, lake, K.BRONZE, "match_players")
     out["match_players"] = append(
         bucketed(quality.observe_rules(silver.silver_players(players_stream, watermark), "silver_players")),
@@ -87,7 +97,7 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     if "match_metadata" in tables:
         meta_stream = _stream_table(spark, lake, K.BRONZE, "match_metadata")
         out["match_metadata"] = append(
-            bucketed(quality.observe_rules(silver.silver_metadata(meta_stream, None, zones, watermark, lists=lists),
+            bucketed(quality.observe_rules(silver.silver_metadata(meta_stream, None, zones, lists=lists),
                                            "silver_metadata")),
             lake.table(K.SILVER, "match_metadata"),
             lake.checkpoint(K.SILVER, "match_metadata"), partition_by=partition_by,
@@ -102,21 +112,20 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     return out
 
 
-def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | None = "auto") -> dict[str, str]:
+def build_gold(spark: SparkSession, lake: Lake, *, chunk_rows: int | None = None,
+               events_partition_by: Sequence[str] | None = None) -> dict[str, str]:
     """Recompute all gold tables from the silver snapshots.
 
-    ``hot_key_chunk="auto"`` first counts rows per innings key (a pruned scan
-    and a partial aggregate) and splits the running-sum window into chunks only
-    if some key is too large for one task.
+    ``chunk_rows`` bounds the window partitions of the running sums
+    (``innings.innings_progress``); set it where an innings key can be hot.
+    ``events_partition_by`` partitions the match events table, e.g. by ``matchid``.
     """
     read = lambda layer, name: lake.read(spark, layer, name)
     meta, players = read(K.SILVER, "match_metadata"), read(K.SILVER, "match_players")
     silver_events = read(K.SILVER, "match_events")
-    if hot_key_chunk == "auto":
-        hot_key_chunk = innings.choose_chunk(silver_events)
     paths = {"match_events": lake.overwrite(
-        innings.gold_events(silver_events, hot_key_chunk), K.GOLD, "match_events",
-        cluster_by=GOLD_CLUSTER["match_events"])}
+        innings.gold_events(silver_events, chunk_rows), K.GOLD, "match_events",
+        partition_by=events_partition_by, cluster_by=GOLD_CLUSTER["match_events"])}
     events = read(K.GOLD, "match_events")
     chain = (
         ("batting_stats_per_match", lambda: batting.batting_per_match(events, meta)),
@@ -136,7 +145,7 @@ def build_gold(spark: SparkSession, lake: Lake, *, hot_key_chunk: int | str | No
 
 
 def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str | None = None,
-            partition_by=None, hot_key_chunk: int | str | None = "auto",
+            partition_by=None, chunk_rows: int | None = None,
             incremental_buckets: int | None = None) -> dict[str, str]:
     """One trigger of the whole flow: new files -> bronze -> silver, then gold.
 
@@ -148,9 +157,10 @@ def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str |
     silver_runs = run_silver(spark, lake, zones, watermark=watermark, partition_by=partition_by,
                              buckets=incremental_buckets)
     if incremental_buckets:
-        incremental.refresh_gold(spark, lake, buckets=incremental_buckets, hot_key_chunk=hot_key_chunk)
+        incremental.refresh_gold(spark, lake, buckets=incremental_buckets, chunk_rows=chunk_rows)
         paths = {name: lake.table(K.GOLD, name) for name in GOLD_CLUSTER}
     else:
-        paths = build_gold(spark, lake, hot_key_chunk=hot_key_chunk)
-    paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER)}
+        paths = build_gold(spark, lake, chunk_rows=chunk_rows)
+    paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER),
+                        "gold_events": gold_quality(spark, lake)}
     return paths

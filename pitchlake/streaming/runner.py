@@ -13,26 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-# Progress of every micro-batch of each run, by query run id.
-_PROGRESS: dict[str, dict[int, object]] = {}
-_RETENTION_KEY = "spark.sql.streaming.numRecentProgressUpdates"
-# Per-batch progress kept by a query started here (a few KB each): enough for
-# a large backlog split by maxFilesPerTrigger.
-PROGRESS_RETENTION = 10_000
+# How often a run reads the progress of its micro-batches. Spark keeps the last
+# hundred reports of a query, and a micro-batch writes its checkpoint files,
+# so no hundred of them fit between two reads; a gap would raise all the same.
+POLL_S = 0.05
+_SEEN = "_pitchlake_progress"
 
 
 def _batch_id(p) -> int:
     return p.get("batchId") if isinstance(p, dict) else getattr(p, "batchId", -1)
 
 
-def _collect(query: StreamingQuery) -> None:
-    seen = _PROGRESS.setdefault(str(query.runId), {})
+def _collect(query: StreamingQuery, seen: dict[int, object]) -> None:
     for p in query.recentProgress:
         seen.setdefault(_batch_id(p), p)
 
 
 def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[str] | None = None,
-           fmt: str = "parquet", query_name: str | None = None, timeout_s: float | None = None) -> StreamingQuery:
+           fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
     """Append a stream to a file table until all currently available input is processed."""
     writer = (df.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
@@ -40,27 +38,23 @@ def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[
         writer = writer.partitionBy(*partition_by)
     if query_name:
         writer = writer.queryName(query_name)
-    # Keep the progress of every batch of this run (the query reads the
-    # retention from its own copy of the session conf, taken on its thread);
-    # the session value is restored when the run ends.
-    spark = df.sparkSession
-    previous = spark.conf.get(_RETENTION_KEY)
-    spark.conf.set(_RETENTION_KEY, str(max(int(previous), PROGRESS_RETENTION)))
-    try:
-        query = writer.start(path)
-        query.awaitTermination(timeout_s)
-    finally:
-        spark.conf.set(_RETENTION_KEY, previous)
-    _collect(query)
+    query = writer.start(path)
+    seen: dict[int, object] = {}
+    while not query.awaitTermination(POLL_S):
+        _collect(query, seen)
+    _collect(query, seen)
+    setattr(query, _SEEN, seen)
     if query.exception() is not None:
         raise RuntimeError(f"stream {query_name or path} failed: {query.exception()}")
+    if seen and len(seen) != max(seen) - min(seen) + 1:
+        raise RuntimeError(f"stream {query_name or path}: progress of some micro-batches is missing")
     return query
 
 
 def observed_metrics(query: StreamingQuery) -> list[dict]:
     """Observed metrics (e.g. quality counts) of every micro-batch of the last run."""
     out = []
-    progress = _PROGRESS.get(str(query.runId))
+    progress = getattr(query, _SEEN, None)
     batches = [progress[k] for k in sorted(progress)] if progress else query.recentProgress
     for p in batches:
         metrics = p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)

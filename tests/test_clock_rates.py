@@ -59,11 +59,27 @@ def test_zone_dimension_is_validated(spark):
         raise AssertionError("invalid zone accepted")
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert lookups.bounded_rows(small, 100) == 10
-    assert lookups.bounded_rows(big, 100) is None
+def test_zone_dimension_has_no_cap(spark):
+    many = spark.range(150_000).select(F.concat(F.lit("Ground "), "id").alias("ground"), F.lit("Asia/Kolkata").alias("local_timezone"))
+    assert lookups.zone_dimension(many).count() == 150_000
+
+
+def test_utc_times_do_not_depend_on_the_session_zone(spark):
+    rows = [("Mumbai", "5 January 2024 - night", "19.30 start, First Session 19.30-21.00, Second Session 21.20-22.50")]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    got = set()
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame(rows, "ground string, match_days string, hours_of_play_local_time string")
+            df = df.withColumn("toss", F.lit(None).cast("string"))
+            r = silver.enrich_metadata(df, proxies.zones(spark)).select(
+                *[F.unix_timestamp(c) for c in ("match_start_utc", "first_innings_end_utc", "second_innings_end_utc")]).first()
+            got.add(tuple(r))
+            assert spark.conf.get("spark.sql.session.timeZone") == zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == {(1704463200, 1704468600, 1704475200)}
 
 
 def test_rates(spark):
@@ -80,15 +96,23 @@ def test_rates(spark):
     ]
 
 
-def test_join_small_broadcasts_only_below_bound(spark):
-    left = spark.range(1000).withColumnRenamed("id", "k")
-    right = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
-    small = lookups.join_small(left, right, "k", "left", max_rows=100)
-    large = lookups.join_small(left, right, "k", "left", max_rows=10)
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan(small)
-    assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
-    assert small.count() == large.count() == 1000
+def test_scratch_folder_is_required_on_a_cluster():
+    import pytest
+
+    from pitchlake import session
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Context:
+        master = "yarn"
+        getConf = staticmethod(lambda: Conf)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError):
+        session.scratch_root(Session)
 
 
 def test_zone_dimension_one_row_per_ground(spark):

@@ -67,10 +67,23 @@ def test_hot_key_chunks_equal_plain_window(spark):
     cols = ["match_ball_number", "over", "over_ball_number", "event", "innings_score", "wickets_lost"]
     for df in (events, hot):
         a = innings.innings_progress(df).select(*cols)
-        b = innings.innings_progress(df, hot_key_chunk=16).select(*cols)
+        b = innings.innings_progress(df, chunk_rows=64).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_chunks_are_bounded_by_rows(spark):
+    # one key holds all rows, all with equal order values: the ranges stay small as the rows grow tenfold
+    for n in (2_000, 20_000):
+        hot = spark.range(n).select(
+            *[F.lit(None).cast(t).alias(c) for c, t in (("matchid", "long"), ("team", "string"), ("super_over_team", "string"),
+                                                        ("over", "int"), ("match_ball_number", "long"),
+                                                        ("over_ball_number", "int"), ("event", "string"))],
+            F.lit(1).alias("runs"), F.lit("Not Out").alias("dismissal_method"))
+        sizes = [r["count"] for r in innings.chunks(hot, 500).groupBy("_chunk").count().collect()]
+        assert sum(sizes) == n and max(sizes) <= 1_000
+        assert innings.innings_progress(hot, chunk_rows=500).agg(F.max("innings_score"), F.count_distinct("innings_score")).first() == (n, n)
+
+
 def _scd2(spark, rows):
     app = spark.createDataFrame(rows, "matchid long, player_name string, team string")
     dates = spark.createDataFrame([(1, dt.date(2020, 1, 1)), (2, dt.date(2020, 2, 1)), (3, dt.date(2020, 3, 1)),
