@@ -40,7 +40,7 @@ KINDS = ("assign", "access", "hex", "random")
 #: Shortest run that the battery tests.
 MIN_LENGTH = 20
 #: Share of false finds that the battery accepts.
-FDR = 0.001
+FDR = 0.02
 #: Bands of run lengths (upper bounds) with thresholds of their own.
 BANDS = (24, 32, 48, 64, 128, 1 << 62)
 #: Histogram cells of -log10(p), ten to a decade.
