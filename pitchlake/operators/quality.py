@@ -19,6 +19,7 @@ def _in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+# Rule names and predicates are the contract of the quality reports.
 RULES: dict[str, dict[str, str]] = {
     "bronze_events": {
         "matchid_not_null": "matchid IS NOT NULL",

@@ -559,9 +559,34 @@ def _report(dataset: str, source: str, rules: dict[str, str]) -> str:
     return f"counts AS (SELECT count(*) AS total_rows, {cols} FROM {source})", unions
 
 
+# The quality contract, stated again (not imported from the rules under test).
+_MATCHID = {"matchid_not_null": "matchid IS NOT NULL"}
+_POSITIVE = {"matchid_positive": "matchid > 0"}
+_SERIES = {"series_not_null": "series <> ''"}
+_PLAYER = {"player_name_not_null": "player_name <> ''", "team_not_null": "team <> ''"}
+_RULES = {
+    "bronze_events": {
+        **_MATCHID, **_POSITIVE, "ball_not_null": "ball <> ''", "innings_not_null": "innings <> ''",
+        "source_file_present": "source_file IS NOT NULL",
+    },
+    "bronze_metadata": {**_MATCHID, **_POSITIVE, **_SERIES},
+    "bronze_players": {**_MATCHID, **_POSITIVE, **_PLAYER},
+    "silver_players": {**_MATCHID, **_PLAYER},
+    "silver_metadata": {**_MATCHID, **_SERIES, "match_date_present": "match_date IS NOT NULL"},
+    "silver_events": {
+        **_MATCHID, "runs_not_null": "runs IS NOT NULL", "runs_valid_range": "runs BETWEEN 0 AND 7",
+        "over_not_null": "over IS NOT NULL",
+        "extras_valid_domain": "Extras IN ('normal', 'wide', 'noball', 'legbyes', 'byes')",
+        "dismissal_valid": "dismissal_method IN ('Not Out', 'Caught', 'Bowled', 'LBW', 'Run Out', 'Stumped', 'Caught & Bowled')",
+    },
+    "gold_events": {
+        "innings_score_non_negative": "innings_score >= 0", "wickets_range": "wickets_lost BETWEEN 0 AND 10",
+    },
+}
+
+
 def _dq(dataset: str, source_ctes: tuple[str, ...], source: str) -> str:
-    from pitchlake.operators.quality import RULES
-    cte, body = _report(dataset, source, RULES[dataset])
+    cte, body = _report(dataset, source, _RULES[dataset])
     return _with(*source_ctes, cte) + body
 
 

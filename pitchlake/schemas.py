@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names, order and types below are the contract of the feeds and datasets.
+
 # Columns stored inside the delivery CSV (matchid is the directory).
 EVENTS_FILE_SCHEMA = T.StructType([
     T.StructField("match_ball_number", T.LongType()),
