@@ -42,7 +42,7 @@ from pitchlake.llm.scratch import cut, join_counted
 #: Prefix lengthening of the screen, as a share (in hundredths) of the set.
 SCREEN = 4
 #: Elements that a task gathers before it looks for those shared among its own texts.
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 #: Rounds of hub links before the remaining pairs of different components are listed.
 HUB_ROUNDS = 1
 
