@@ -43,6 +43,8 @@ MIN_LENGTH = 20
 FDR = 0.02
 #: Bands of run lengths (upper bounds) with thresholds of their own.
 BANDS = (24, 32, 48, 64, 128, 1 << 62)
+#: Stretches of word text in the last band.
+WIDEST = 256
 #: Histogram cells of -log10(p), ten to a decade.
 CELLS = 400
 
@@ -159,27 +161,58 @@ def _scan(column: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]],
             yield text, base, tested
 
 
+def _measure(letters: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number, sum and sum of squares of the statistic of all stretches of the band's length; the letters that are left."""
+    n = min(BANDS[band], WIDEST)
+    whole = len(letters) // n * n
+    found = statistics(letters[:whole].reshape(-1, n), ENCODINGS[3][2]) if whole else np.empty(0)
+    return np.array([len(found), found.sum(), (found * found).sum()]), letters[whole:]
+
+
 def _text_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By band: number, sum and sum of squares of the statistic of word text of such lengths.
+    """By band: number, sum and sum of squares of the statistic of word text of such lengths, and the letters left.
 
-    Word text is what all texts give when the letters of their words are run together; the blocks of
-    texts are cut whole into stretches of the bands' lengths, one band after another.
+    Word text is what all texts give when the letters of their words are run together; for every band, all of
+    it is cut into stretches of the band's length, over the bounds of blocks. Less than a stretch is left.
     """
     total = np.zeros((len(BANDS), 3))
-    _, table, k = ENCODINGS[3]
-    turn = 0
+    rest = [np.empty(0, np.int64)] * len(BANDS)
+    table = ENCODINGS[3][1]
     for batch in batches:
         for texts in tokens.blocks(batch.column("text")):
             letters = table[texts.data | 0x20]
             letters = letters[(letters >= 0) & (letters < 26) & (texts.data < 0x80)]
-            band, turn = turn % len(BANDS), turn + 1
-            n = min(BANDS[band], 256)
-            x = letters[: len(letters) // n * n].reshape(-1, n)
-            if len(x):
-                found = statistics(x, k)
-                total[band] += (len(x), found.sum(), (found * found).sum())
-    at = np.flatnonzero(total[:, 0])
-    yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, j]) for j in range(3))], names=["band", "n", "s", "q"])
+            for band in range(len(BANDS)):
+                sums, rest[band] = _measure(np.concatenate([rest[band], letters]), band)
+                total[band] += sums
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(range(len(BANDS))), *(pa.array(total[:, j]) for j in range(3)),
+         pa.array([r.astype(np.uint8).tobytes() for r in rest], pa.binary())],
+        names=["band", "n", "s", "q", "rest"],
+    )
+
+
+def text_moments(texts: DataFrame) -> np.ndarray:
+    """By band: mean and deviation of the statistic of all word text, whatever its partitions.
+
+    What the tasks leave (less than a stretch each) is joined and measured too. One stretch of deviation 1 is
+    added to the squares, so few stretches give no deviation near 0; a band longer than all
+    word text has the moments of the band below, and only text without a stretch of the first band (4, 1).
+    """
+    seen = texts.mapInArrow(_text_moments, "band long, n double, s double, q double, rest binary")
+    # each task's row has less than WIDEST bytes of rest
+    seen = seen.groupBy("band").agg(F.sum("n"), F.sum("s"), F.sum("q"), F.array_sort(F.collect_list("rest")))
+    moments, below = np.zeros((len(BANDS), 2)), (4.0, 1.0)
+    found = {r[0]: r[1:] for r in seen.collect()}
+    for band in range(len(BANDS)):
+        if band in found:
+            *sums, rest = found[band]
+            more, _ = _measure(np.frombuffer(b"".join(rest), np.uint8).astype(np.int64), band)
+            n, s, q = np.array(sums) + more
+            if n:
+                below = s / n, max(math.sqrt((max(q - s * s / n, 0.0) + 1) / n), 0.25)
+        moments[band] = below
+    return moments
 
 
 def _p_counts(batches: Iterator[pa.RecordBatch], moments: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -243,18 +276,15 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, kinds, starts, ends): parallel arrays of the finds of each whole text, by start, then kind.
 
     Offsets count code points, ends are exclusive. The kinds are assign, access, hex and random;
-    a random find never overlaps another one. The driver receives a few numbers a length band.
+    a random find never overlaps another one. The driver receives a few numbers a length band, and under 256
+    letters a band of each task.
 
     Edge cases: null and empty texts have no finds; null and repeated ids keep their rows; an empty
     table gives an empty result. Other columns are not read, so their names cannot clash.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = src.select("text")
-    seen = texts.mapInArrow(_text_moments, "band long, n double, s double, q double")
-    moments = np.tile([4.0, 1.0], (len(BANDS), 1))
-    for band, n, s, q in seen.groupBy("band").agg(F.sum("n"), F.sum("s"), F.sum("q")).collect():
-        if n >= 30:
-            moments[band] = s / n, max(math.sqrt(max(q / n - (s / n) ** 2, 0.0)), 0.25)
+    moments = text_moments(texts)
     cells = texts.mapInArrow(partial(_p_counts, moments=moments), "cell long, n long")
     counts = np.zeros(len(BANDS) * CELLS, np.int64)
     for cell, n in cells.groupBy("cell").agg(F.sum("n")).collect():

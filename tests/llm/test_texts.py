@@ -87,6 +87,23 @@ def test_battery_finds_random_strings_only(spark):
     assert len([i for i in ids if i >= 10_000]) <= 2
 
 
+def test_every_band_measures_all_word_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text")
+    letters = np.frombuffer("".join(re.sub("[^a-z]", "", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for r in docs.collect()).encode(), np.uint8) - 97
+    seen = spark.createDataFrame([("".join(map(chr, letters + 97)),)], "text string")
+    whole = secrets.text_moments(seen)
+    for band, top in enumerate(secrets.BANDS):
+        n = min(top, 256)
+        x = secrets.statistics(letters[: len(letters) // n * n].reshape(-1, n).astype(np.int64), 36)
+        assert whole[band] == pytest.approx((x.mean(), max(x.std(), 0.25)), rel=1e-3)
+    # partitions of under one stretch, and of many small texts, measure the same
+    parts = secrets.text_moments(docs.repartition(64))
+    assert parts == pytest.approx(whole, rel=0.02)
+    tiny = secrets.text_moments(docs.limit(12).repartition(12))
+    assert (np.diff(tiny[:, 0]) > 0).all() and not (tiny == (4.0, 1.0)).all(axis=1).any()
+    assert (secrets.text_moments(docs.limit(0)) == (4.0, 1.0)).all()
+
+
 def test_statistics_grow_with_structure():
     rng = np.random.default_rng(0)
     flat = secrets.statistics(rng.integers(0, 36, (500, 64)), 36)
