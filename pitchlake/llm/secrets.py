@@ -1,8 +1,9 @@
 r"""Secret scans: fixed patterns, and a battery of randomness tests on strings that look encoded.
 
 Base patterns (kinds ``assign``, ``access``, ``hex``) are found by their rules alone. The battery
-looks at every other run of ``[A-Za-z0-9+/_-]`` of ``MIN_LENGTH`` or more: it infers the encoding
-(hex, base32, alphanumeric, base64), and asks three questions of the run's symbols.
+looks at every other run of ``[A-Za-z0-9+/_-]`` of ``MIN_LENGTH`` or more, words and numbers too (of a run with
+base patterns, what stands beside them; a run that holds both ``+/`` and ``-_`` in its parts between
+them): it infers the encoding (digits, hex, letters, base32, alphanumeric, base64), and asks three questions of the run's symbols.
 
 * Chi-squared: are the symbols of the alphabet equally frequent?
 * Runs: does the order of symbols above and below the middle of the alphabet look like coin tosses?
@@ -11,8 +12,8 @@ looks at every other run of ``[A-Za-z0-9+/_-]`` of ``MIN_LENGTH`` or more: it in
 Each answer is a z score that grows with the distance from a random string. Written language fails
 the questions the more clearly the longer a string is, so the combined statistic is
 compared with what text of the *same length* gives: its p-value is the chance that text of that
-length looks as random. Text's own statistics (symbol frequencies and correlation by encoding) are counted
-over all runs of the corpus. A Benjamini-Hochberg threshold for each band of lengths, from
+length looks as random. Text's own statistics are counted over all word text of the corpus, as 26 symbols
+for runs of letters or digits alone and as 36 for the others. A Benjamini-Hochberg threshold for each band of lengths, from
 counts of p-values over the whole corpus, holds the share of false finds below ``FDR``.
 """
 
@@ -54,6 +55,10 @@ _RUN = np.zeros(256, bool)
 _RUN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *b"+/_-"]] = True
 
 
+#: Part of a run of which no alphabet holds all symbols.
+_PART = re.compile(rb"[A-Za-z0-9]{%d,}" % MIN_LENGTH)
+
+
 def _alphabet(symbols: str) -> np.ndarray:
     table = np.full(256, -1, np.int64)
     table[list(symbols.encode())] = np.arange(len(symbols))
@@ -61,49 +66,59 @@ def _alphabet(symbols: str) -> np.ndarray:
 
 
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-#: Encodings from the narrowest on; a run has the first whose alphabet holds all its symbols.
+#: Encodings from the narrowest on; a run has the first whose alphabet holds all its symbols. Last: the number of
+#: symbols of the word text that it is compared with (more symbols make word text look less random).
 ENCODINGS = (
-    ("hex", _alphabet(_DIGITS + "abcdef"), 16),
-    ("HEX", _alphabet(_DIGITS + "ABCDEF"), 16),
-    ("base32", _alphabet(_UPPER + "234567"), 32),
-    ("lower", _alphabet(_LOWER + _DIGITS), 36),
-    ("upper", _alphabet(_UPPER + _DIGITS), 36),
-    ("alnum", _alphabet(_LOWER + _UPPER + _DIGITS), 62),
-    ("base64", _alphabet(_UPPER + _LOWER + _DIGITS + "+/"), 64),
-    ("base64url", _alphabet(_UPPER + _LOWER + _DIGITS + "-_"), 64),
+    ("digits", _alphabet(_DIGITS), 10, 26),
+    ("hex", _alphabet(_DIGITS + "abcdef"), 16, 36),
+    ("HEX", _alphabet(_DIGITS + "ABCDEF"), 16, 36),
+    ("lower letters", _alphabet(_LOWER), 26, 26),
+    ("upper letters", _alphabet(_UPPER), 26, 26),
+    ("base32", _alphabet(_UPPER + "234567"), 32, 36),
+    ("lower", _alphabet(_LOWER + _DIGITS), 36, 36),
+    ("upper", _alphabet(_UPPER + _DIGITS), 36, 36),
+    ("letters", _alphabet(_LOWER + _UPPER), 52, 36),
+    ("alnum", _alphabet(_LOWER + _UPPER + _DIGITS), 62, 36),
+    ("base64", _alphabet(_UPPER + _LOWER + _DIGITS + "+/"), 64, 36),
+    ("base64url", _alphabet(_UPPER + _LOWER + _DIGITS + "-_"), 64, 36),
 )
-
-
-def _mixed(run: bytes) -> bool:
-    """Digits and letters both, in no less than a tenth and not in one block: words and numbers are not tested."""
-    digits = sum(0x30 <= c <= 0x39 for c in run)
-    return digits * 10 >= len(run) and (len(run) - digits) * 10 >= len(run)
+#: Numbers of symbols for which word text is measured.
+SIZES = (26, 36)
 
 
 def statistics(x: np.ndarray, k: int) -> np.ndarray:
     """Root mean square of the three z scores of each row of symbols (numbers below ``k``)."""
+    return _statistics(x, (k,))[0]
+
+
+def _statistics(x: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """The statistic for each number of symbols; all of ``x`` lies below the first."""
     m, n = x.shape
     rows = np.arange(m)[:, None]
-    count = np.bincount((rows * k + x).ravel(), minlength=m * k).reshape(m, k)
-    chi = ((count - n / k) ** 2).sum(axis=1) * k / n
-    # Wilson-Hilferty
-    z_chi = np.maximum(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1))), 0.0)
-    high = 2 * x >= k
-    n1 = high.sum(axis=1).astype(float)
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
-    mean = 2 * (n - n1) * n1 / n + 1
-    spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
-    z_runs = np.where((n1 > 0) & (n1 < n), (runs - mean) / spread, math.sqrt(n))
+    count = np.bincount((rows * sizes[0] + x).ravel(), minlength=m * sizes[0]).reshape(m, sizes[0])
+    squares = (count * count).sum(axis=1)
     c = x - x.mean(axis=1, keepdims=True)
     power = (c * c).sum(axis=1)
     z_serial = np.where(power > 0, (c[:, 1:] * c[:, :-1]).sum(axis=1) / np.maximum(power, 1e-9), 1.0) * math.sqrt(n)
-    return np.sqrt((z_chi**2 + z_runs**2 + z_serial**2) / 3)
+    out = []
+    for k in sizes:
+        chi = np.maximum(squares * k / n - n, 0.0)
+        # Wilson-Hilferty
+        z_chi = np.maximum(((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1))), 0.0)
+        high = 2 * x >= k
+        n1 = high.sum(axis=1).astype(float)
+        runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+        mean = 2 * (n - n1) * n1 / n + 1
+        spread = np.sqrt(np.maximum((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+        z_runs = np.where((n1 > 0) & (n1 < n), (runs - mean) / spread, math.sqrt(n))
+        out.append(np.sqrt((z_chi**2 + z_runs**2 + z_serial**2) / 3))
+    return out
 
 
 def battery(run: bytes) -> tuple[int, float] | None:
-    """(encoding, statistic) of a run; None if no encoding fits."""
+    """(encoding, statistic) of a run; None if no encoding fits, as of a run with both + or / and - or _."""
     raw = np.frombuffer(run, np.uint8)
-    for e, (_, table, k) in enumerate(ENCODINGS):
+    for e, (_, table, k, _) in enumerate(ENCODINGS):
         x = table[raw]
         if x.min() >= 0:
             return e, float(statistics(x[None, :], k)[0])
@@ -143,6 +158,17 @@ def _runs_by_text(texts: tokens.Texts, member: np.ndarray, least: int) -> dict[i
     return out
 
 
+def _beside(begin: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the base spans leave of a run, in pieces of MIN_LENGTH or more."""
+    for a, _, b in [*base, (end, 0, end)]:
+        if a >= end or b > begin:
+            if min(a, end) - begin >= MIN_LENGTH:
+                yield begin, min(a, end)
+            begin = max(begin, b)
+        if begin >= end:
+            return
+
+
 def _scan(column: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]], list[tuple[int, int, int, float]]]]:
     """Per text: its bytes, base spans, and (begin, end, encoding, statistic) of the other tested runs."""
     for texts in tokens.blocks(column):
@@ -154,73 +180,86 @@ def _scan(column: pa.Array) -> Iterator[tuple[bytes, list[tuple[int, int, int]],
             base = _base_spans(text, hexes.get(i, []))
             tested = []
             for a, b in runs.get(i, []):
-                if any(a < e and s < b for s, _, e in base):
-                    continue
-                if _mixed(text[a:b]) and (found := battery(text[a:b])):
-                    tested.append((a, b, *found))
+                for x, y in _beside(a, b, base):
+                    if found := battery(text[x:y]):
+                        tested.append((x, y, *found))
+                        continue
+                    for part in _PART.finditer(text, x, y):
+                        tested.append((*part.span(), *battery(part[0])))
             yield text, base, tested
 
 
-def _measure(letters: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number, sum and sum of squares of the statistic of all stretches of the band's length; the letters that are left."""
+def _measure(letters: np.ndarray, band: int, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """By size, number, sum and sum of squares of the statistic of all stretches of the band's length; the letters left."""
     n = min(BANDS[band], WIDEST)
     whole = len(letters) // n * n
-    found = statistics(letters[:whole].reshape(-1, n), ENCODINGS[3][2]) if whole else np.empty(0)
-    return np.array([len(found), found.sum(), (found * found).sum()]), letters[whole:]
+    if not whole:
+        return np.zeros((len(sizes), 3)), letters
+    found = _statistics(letters[:whole].reshape(-1, n), sizes)
+    return np.array([(len(x), x.sum(), (x * x).sum()) for x in found]), letters[whole:]
 
 
-def _text_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """By band: number, sum and sum of squares of the statistic of word text of such lengths, and the letters left.
+def _text_moments(batches: Iterator[pa.RecordBatch], sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """By band and size of alphabet: number, sum and sum of squares of the statistic of word text of such lengths, and the letters left.
 
     Word text is what all texts give when the letters of their words are run together; for every band, all of
     it is cut into stretches of the band's length, over the bounds of blocks. Less than a stretch is left.
     """
-    total = np.zeros((len(BANDS), 3))
+    total = np.zeros((len(BANDS), len(sizes), 3))
     rest = [np.empty(0, np.int64)] * len(BANDS)
-    table = ENCODINGS[3][1]
+    table = _alphabet(_LOWER + _DIGITS)
     for batch in batches:
         for texts in tokens.blocks(batch.column("text")):
             letters = table[texts.data | 0x20]
             letters = letters[(letters >= 0) & (letters < 26) & (texts.data < 0x80)]
             for band in range(len(BANDS)):
-                sums, rest[band] = _measure(np.concatenate([rest[band], letters]), band)
+                sums, rest[band] = _measure(np.concatenate([rest[band], letters]), band, sizes)
                 total[band] += sums
+    at = [(band, i) for band in range(len(BANDS)) for i in range(len(sizes))]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(range(len(BANDS))), *(pa.array(total[:, j]) for j in range(3)),
-         pa.array([r.astype(np.uint8).tobytes() for r in rest], pa.binary())],
-        names=["band", "n", "s", "q", "rest"],
+        [pa.array([band for band, _ in at]), pa.array([i for _, i in at]),
+         *(pa.array([total[band, i, j] for band, i in at]) for j in range(3)),
+         pa.array([b"" if i else rest[band].astype(np.uint8).tobytes() for band, i in at], pa.binary())],
+        names=["band", "size", "n", "s", "q", "rest"],
     )
 
 
-def text_moments(texts: DataFrame) -> np.ndarray:
-    """By band: mean and deviation of the statistic of all word text, whatever its partitions.
+def text_moments(texts: DataFrame, sizes: tuple[int, ...] = (36,)) -> np.ndarray:
+    """By band: mean and deviation of the statistic of all word text for each size, whatever its partitions.
 
     What the tasks leave (less than a stretch each) is joined and measured too. One stretch of deviation 1 is
     added to the squares, so few stretches give no deviation near 0; a band longer than all
     word text has the moments of the band below, and only text without a stretch of the first band (4, 1).
     """
-    seen = texts.mapInArrow(_text_moments, "band long, n double, s double, q double, rest binary")
+    seen = texts.mapInArrow(partial(_text_moments, sizes=sizes), "band long, size long, n double, s double, q double, rest binary")
     # each task's row has less than WIDEST bytes of rest
-    seen = seen.groupBy("band").agg(F.sum("n"), F.sum("s"), F.sum("q"), F.array_sort(F.collect_list("rest")))
-    moments, below = np.zeros((len(BANDS), 2)), (4.0, 1.0)
-    found = {r[0]: r[1:] for r in seen.collect()}
+    seen = seen.groupBy("band", "size").agg(F.sum("n"), F.sum("s"), F.sum("q"), F.array_sort(F.collect_list("rest")))
+    found = {(r[0], r[1]): r[2:] for r in seen.collect()}
+    moments = np.tile([4.0, 1.0], (len(BANDS), len(sizes)))
     for band in range(len(BANDS)):
-        if band in found:
-            *sums, rest = found[band]
-            more, _ = _measure(np.frombuffer(b"".join(rest), np.uint8).astype(np.int64), band)
-            n, s, q = np.array(sums) + more
+        moments[band] = moments[max(band - 1, 0)]
+        if (band, 0) not in found:
+            continue
+        more, _ = _measure(np.frombuffer(b"".join(found[band, 0][3]), np.uint8).astype(np.int64), band, sizes)
+        for i in range(len(sizes)):
+            n, s, q = np.array(found[band, i][:3]) + more[i]
             if n:
-                below = s / n, max(math.sqrt((max(q - s * s / n, 0.0) + 1) / n), 0.25)
-        moments[band] = below
+                moments[band, 2 * i : 2 * i + 2] = s / n, max(math.sqrt((max(q - s * s / n, 0.0) + 1) / n), 0.25)
     return moments
 
 
+def _cell_of(length: int, encoding: int, statistic: float, moments: np.ndarray) -> int:
+    """Cell of the p-value of a tested run."""
+    i = SIZES.index(ENCODINGS[encoding][3])
+    return _cell(text_p(statistic, length, moments[:, 2 * i : 2 * i + 2]))
+
+
 def _p_counts(batches: Iterator[pa.RecordBatch], moments: np.ndarray) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(len(BANDS) * CELLS, np.int64)
     for batch in batches:
         for _, _, tested in _scan(batch.column("text")):
-            for a, b, _, statistic in tested:
-                cells[_band(b - a) * CELLS + _cell(text_p(statistic, b - a, moments))] += 1
+            for a, b, e, statistic in tested:
+                cells[_band(b - a) * CELLS + _cell_of(b - a, e, statistic, moments)] += 1
     at = np.flatnonzero(cells)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], names=["cell", "n"])
 
@@ -248,7 +287,7 @@ def _find(batches: Iterator[pa.RecordBatch], moments: np.ndarray, least: list[in
         starts, ends, kinds = [], [], []
         for text, base, tested in _scan(batch.column("text")):
             spans = base + [
-                (a, 3, b) for a, b, _, statistic in tested if _cell(text_p(statistic, b - a, moments)) >= least[_band(b - a)]
+                (a, 3, b) for a, b, e, statistic in tested if _cell_of(b - a, e, statistic, moments) >= least[_band(b - a)]
             ]
             spans.sort()
             points = _code_points(text, spans)
@@ -284,7 +323,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = src.select("text")
-    moments = text_moments(texts)
+    moments = text_moments(texts, SIZES)
     cells = texts.mapInArrow(partial(_p_counts, moments=moments), "cell long, n long")
     counts = np.zeros(len(BANDS) * CELLS, np.int64)
     for cell, n in cells.groupBy("cell").agg(F.sum("n")).collect():

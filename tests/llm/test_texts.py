@@ -87,6 +87,31 @@ def test_battery_finds_random_strings_only(spark):
     assert len([i for i in ids if i >= 10_000]) <= 2
 
 
+def test_battery_tests_every_run():
+    rng = random.Random(5)
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    key = pick(string.ascii_letters + string.digits, 40)
+    texts = ["see " + pick(string.ascii_lowercase, 40), pick("0123456789", 22), "x internationalization_of words", f"my-app/a+b/{key} end",
+             "AKIA" + "A" * 16 + "_" + pick(string.ascii_lowercase, 24) + "-", "f" * 24 + "x" * 19, "short a-b/c"]
+    got = [[(text[a:b].decode(), secrets.ENCODINGS[e][0]) for a, b, e, _ in tested] for text, _, tested in secrets._scan(pa.array(texts))]
+    assert got == [[(texts[0][4:], "lower letters")], [(texts[1], "digits")], [("internationalization_of", "base64url")], [(key, "alnum")],
+                   [(texts[4][20:], "base64url")], [], []]
+
+
+def test_random_letters_are_found_and_words_are_not(spark):
+    rng = random.Random(6)
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    alphabets = (string.ascii_letters, string.ascii_lowercase, string.ascii_letters + string.digits)
+    rows = [(i, ("see my-app/", "see ", "see ")[i % 3] + pick(alphabets[i % 3], 64) + " here") for i in range(60)]
+    words = ["alpha", "report", "value", "section", "draft", "nation", "where", "with", "under"]
+    rows += [(1000 + i, "see " + "".join(rng.choice(words) for _ in range(12))[:64] + " here") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(
+        spark.read.parquet(f"{SF}/documents.parquet").select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
+    ids = {r.doc_id for r in secrets.scan_secrets(docs).where(F.array_contains("kinds", "random")).select("doc_id").collect()}
+    assert all(len([i for i in ids if i < 1000 and i % 3 == k]) >= 17 for k in range(3))
+    assert len([i for i in ids if i >= 1000]) <= 2
+
+
 def test_every_band_measures_all_word_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("text")
     letters = np.frombuffer("".join(re.sub("[^a-z]", "", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")) for r in docs.collect()).encode(), np.uint8) - 97
