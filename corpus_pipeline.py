@@ -20,6 +20,8 @@ from pitchlake.llm.scratch import cut, join_counted, table
 
 #: Documents below this quality score go.
 GOOD = 0.3
+#: A line on more than this share of a source's documents is boilerplate (5 % is the share of the query op4_line_dedup).
+BOILERPLATE = 0.01
 #: Near duplicates: five-word shingles, Jaccard similarity of 0.8 or more.
 SHINGLE, PERCENT = 5, 80
 
@@ -33,7 +35,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand on too many documents of a source go; every document stays."""
-    kept = dedup_lines(docs, F.col("source"))
+    kept = dedup_lines(docs, F.col("source"), max_ratio=BOILERPLATE)
     return _counted(kept, F.col("n_dropped") > 0).select(docs.columns)
 
 

@@ -232,6 +232,21 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in five.collect()} == {r.doc_id for r in four.collect()}
 
 
+def test_pipeline_drops_labelled_boilerplate(spark):
+    places = {("a", "Header of a section", True): 15, ("a", "Footer of a language", True): 8, ("b", "All rights reserved.", True): 24,
+              ("a", "Quoted once more.", False): 4, ("a", "And.", False): 5, ("b", "Thanks.", False): 7}
+    pages = {("a", i): [f"a {i}"] for i in range(500)} | {("b", i): [f"b {i}"] for i in range(800)}
+    for k, ((host, line, _), n) in enumerate(places.items()):
+        for i in range(n):
+            pages[host, 31 * k + i].insert(k % 2, line)
+    rows = [(j, host, "\n".join(lines), 0) for j, ((host, _), lines) in enumerate(pages.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, n_chars long")
+    left = Counter((r.source, x) for r in corpus_pipeline.line_dedup(spark, docs, "").collect() for x in r.text.split("\n"))
+    for (host, line, boilerplate), n in places.items():
+        assert left[host, line] == (0 if boilerplate else n)
+    assert sum(left.values()) == 1300 + 4 + 5 + 7
+
+
 def test_pipeline_runs_whole(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 100 and rows.columns == ["doc_id", "first", "n_tokens", "bin_id", "position", "capacity"]
