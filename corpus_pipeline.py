@@ -40,10 +40,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that of the smallest id; documents without words all stay."""
-    groups = ngram_jaccard_components(docs, k=SHINGLE, percent=PERCENT)
-    gone = cut(groups.where("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
-    return join_counted(docs, gone, ["doc_id"], "left_anti").select(docs.columns)
+    """One document of each group of near duplicates stays, that of the smallest id; documents without words all stay.
+
+    Every row is a document of its own: rows that share an id or have none are grouped by their texts like
+    others, one row of a group stays, and a row without an id only where none of its group has one.
+    """
+    # written, so that all passes see the same keys
+    docs = cut(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    groups = ngram_jaccard_components(docs, id_col="row_key", k=SHINGLE, percent=PERCENT)
+    linked = groups.where("component_id <> row_key").select("row_key", "component_id")
+    first = linked.select(F.col("component_id").alias("row_key"), "component_id").distinct()
+    members = join_counted(docs.select("row_key", "doc_id"), cut(linked.union(first), "linked"), ["row_key"])
+    members = cut(members, "members")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    stay = cut(members.groupBy("component_id").agg(F.min(order)["row_key"].alias("row_key")).select("row_key"), "stay")
+    gone = cut(join_counted(members, stay, ["row_key"], "left_anti").select("row_key"), "near-duplicates")
+    return join_counted(docs, gone, ["row_key"], "left_anti").drop("row_key")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -232,6 +232,19 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in five.collect()} == {r.doc_id for r in four.collect()}
 
 
+def test_near_duplicates_of_shared_and_null_ids(spark):
+    x, y, z = ("".join(f"{c}{i} " for i in range(40)) for c in "xyz")
+    rows = [(5, x), (5, x), (5, y), (None, x), (None, z), (None, z), (None, z + "more"), (9, y), (3, "alone"), (None, "also alone"),
+            (4, None), (4, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    kept = Counter((r.doc_id, r.text) for r in got.collect())
+    last = [t for i, t in kept if i is None and t.startswith("z")]
+    assert got.columns == docs.columns and len(last) == 1 and last[0] in (z, z + "more")
+    assert kept == Counter([(5, x), (5, y), (None, last[0]), (3, "alone"), (None, "also alone"), (4, None), (4, None), (None, "")])
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
 def test_pipeline_drops_labelled_boilerplate(spark):
     places = {("a", "Header of a section", True): 15, ("a", "Footer of a language", True): 8, ("b", "All rights reserved.", True): 24,
               ("a", "Quoted once more.", False): 4, ("a", "And.", False): 5, ("b", "Thanks.", False): 7}
