@@ -106,6 +106,83 @@ select page_id, payload_bytes, payload_digest,
 from f
 """
 
+OP11 = r"""
+with d as (
+    select row_number() over () as row, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents where text is not null
+), totals as (
+    select count(*)::hugeint as nn, sum(len(w))::hugeint as ll from d where len(w) > 0
+), docs as (
+    select row, doc_id, (100 - 25 + (25 * len(w)::hugeint * nn) // ll)::bigint as m from d, totals where len(w) > 0
+), tf as (
+    select row, term, count(*)::bigint as tf from (select row, unnest(w) as term from d) group by 1, 2
+), df as (
+    select term, floor(1000 * ln((2 * nn + 2)::double / (2 * count(*) + 1)::double))::bigint as weight
+    from tf, totals group by term, nn
+), wanted as (
+    select item_id, term, count(*)::bigint as times
+    from (select item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+    group by 1, 2
+), scores as (
+    select item_id, docs.row, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+    from wanted join df using (term) join tf using (term) join docs on docs.row = tf.row group by 1, 2, 3
+), ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+    from scores where score > 0
+)
+select * from ranked where rank <= 20
+"""
+
+OP12 = r"""
+with pieces as (
+    select row_number() over () as piece, lang, text from (
+        select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as text
+        from documents)
+), words as (
+    select lang, piece, unnest(w) as word, generate_subscripts(w, 1) as i
+    from (select lang, piece, regexp_extract_all(text, '[^\x20\x09]+') as w from pieces)
+), places as (
+    select lang, word as w1, lead(word, 1) over p as w2, lead(word, 2) over p as w3, lead(word, 3) over p as w4
+    from words window p as (partition by piece order by i)
+), grams as (
+    select lang, 1 as k, w1 as phrase from places
+    union all select lang, 2, w1 || ' ' || w2 from places where w2 is not null
+    union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from places where w3 is not null
+    union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 from places where w4 is not null
+), totals as (
+    select lang, count(*)::bigint as n from grams where k = 1 group by lang
+), f as (
+    select lang, k, phrase, count(*)::bigint as f from grams group by 1, 2, 3 having count(*) >= 30
+), candidates as (
+    select lang, k as size, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1
+), cuts as (
+    select c.lang, c.phrase, c.size, a, x.k, one.f as l, two.f as r,
+           ((2000000::hugeint * a) // (one.f::hugeint + two.f))::bigint as score
+    from candidates as c join (values (1), (2), (3)) as x(k) on x.k < c.size
+    join f as one on one.lang = c.lang and one.phrase = array_to_string(w[1 : x.k], ' ')
+    join f as two on two.lang = c.lang and two.phrase = array_to_string(w[x.k + 1 : c.size], ' ')
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+    select lang, array_to_string(w[i : i + m - 1], ' ') as phrase, max(a) as longer
+    from candidates, (values (2), (3)) as x(m), (values (1), (2), (3)) as y(i)
+    where m < size and i + m - 1 <= size group by 1, 2
+), kept as (
+    select lowest.* from lowest left join longer using (lang, phrase)
+    where longer is null or 100 * longer::hugeint < 80 * a::hugeint
+), ranked as (
+    select kept.lang, row_number() over (partition by kept.lang order by score desc, a desc, encode(phrase))::bigint as rank,
+           phrase, a, l, r, n, score
+    from kept join totals on totals.lang = kept.lang
+)
+select * from ranked where rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -113,4 +190,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": OP4,
         "op9_decontamination": OP9,
         "op10_legacy_archives": OP10,
+        "op11_ranked_search": OP11,
+        "op12_collocations": OP12,
     }

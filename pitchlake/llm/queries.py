@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import public_tokenizers
 from pitchlake.llm import oracle
 from pitchlake.llm.arc import pages_to_warc
+from pitchlake.llm.collocations import collocations
 from pitchlake.llm.decontamination import benchmark_hits, with_verdict
 from pitchlake.llm.language_id import predict_language, train_language
+from pitchlake.llm.lexical_search import ranked_search
 from pitchlake.llm.line_dedup import dedup_lines
 from pitchlake.llm.linear import crc_mod
 from pitchlake.llm.ngram_join import ngram_jaccard_components
@@ -21,6 +24,7 @@ from pitchlake.llm.quality_rules import apply_rules
 from pitchlake.llm.scratch import table
 from pitchlake.llm.secrets import scan_secrets
 from pitchlake.llm.toxicity import toxicity_scores
+from pitchlake.llm.window_packing import pack_windows, with_crc32
 
 #: A document counts as good from this score on.
 GOOD = 0.3
@@ -108,12 +112,28 @@ def op10_legacy_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in windows of 1,024."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_crc32(pack_windows(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_quality_classifier, op2_quality_rules, op3_ngram_jaccard_join, op4_line_dedup, op5_best_fit_packing,
-            op6_secret_scan, op7_language_id, op8_toxicity, op9_decontamination, op10_legacy_archives,
+            op6_secret_scan, op7_language_id, op8_toxicity, op9_decontamination, op10_legacy_archives, op11_ranked_search, op12_collocations, op13_window_packing,
         )
     } | {"pipeline": corpus_pipeline.run}
 
