@@ -125,7 +125,8 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in windows of 1,024."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_crc32(pack_windows(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return with_crc32(pack_windows(docs, files[0], ranks=files[1]))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -16,10 +16,10 @@ from tokenizers import Tokenizer
 from pitchlake.llm import oracle, queries
 from pitchlake.llm.collocations import collocations, phrase_counts
 from pitchlake.llm.lexical_search import ranked_search
-from pitchlake.llm.window_packing import Room, best_fit_decreasing, pack_windows, pour, with_crc32
+from pitchlake.llm.window_packing import Encoder, Room, best_fit_decreasing, pack_windows, pour, with_crc32
 
 SF = "/root/testdata/sf0.001"
-TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+TOKENS, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 CLASHES = ("row", "id", "n", "item", "terms", "rank", "score", "lang_", "suffix", "times", "depth", "start", "length", "ids", "shard", "bin", "offset")
 
@@ -256,6 +256,15 @@ def check_windows(rows, texts, window=1024):
     return padding
 
 
+def test_both_encoders_agree_on_every_code_point():
+    one, two = Encoder(TOKENS, None), Encoder(TOKENS, RANKS)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 4096):
+        text = "".join(f"a{c}b 1{c}{c}2 {c} x  {c}' {c}\n" for c in map(chr, points[at : at + 4096]))
+        assert one.ids(text) == two.ids(text)
+    assert two.ids("a <|endoftext|> b") == one.ids("a <|endoftext|> b") and 50256 in two.ids("<|endoftext|>")
+
+
 def test_window_packing_round_trip(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = queries.op13_window_packing(spark, SF)
@@ -267,7 +276,7 @@ def test_window_packing_edge_cases_and_shards(spark):
     odd = {1: None, 2: "", 3: " \n", 4: "x", 5: "é " * 70_000, 6: "<|endoftext|> and more", 7: "a" * 5000, None: "no id"}
     odd |= {i: "word " * (i % 90) for i in range(10, 400)}
     df = clashing(spark.createDataFrame(list(odd.items()), "doc_id long, text string"))
-    got = with_crc32(pack_windows(df, TOKENS, shard=50))
+    got = with_crc32(pack_windows(df, TOKENS, shard=50, ranks=RANKS))
     assert check_windows(got.collect(), odd) < 1024 * 8
     twice = with_crc32(pack_windows(df.where("doc_id = 5").unionAll(df.where("doc_id = 5")), TOKENS)).collect()
     assert sum(r.length for r in twice) == 2 * twice[0].doc_tokens
