@@ -3,9 +3,9 @@
 Every frequent phrase is a path of the suffix tree of the corpus' words, cut off at depth four. The tree is
 partitioned vertically, by the words its suffixes begin with:
 
-1. words are counted. A suffix ends before its first word that is not frequent (no frequent phrase
-   reaches beyond it); the frequent words travel as a Bloom filter of fixed size, whose false
-   positives only lengthen suffixes;
+1. words are counted, then pairs of frequent words. A suffix ends with its first pair that is not frequent, as
+   no frequent phrase reaches beyond; frequent words and pairs travel as Bloom filters of fixed
+   size, whose false positives only lengthen suffixes;
 2. a prefix of one word with more suffixes than a group may be filled with is extended by the next word, and
    so on; the prefixes are dealt to as many groups as the suffixes need at the group's budget;
 3. each group sorts its suffixes, which is the depth-first order of its subtree, and reads each node's
@@ -35,12 +35,12 @@ GROUP_ROWS = 1 << 19
 #: Least number of suffix rows from which a prefix is extended, and most prefixes of a length that are: the
 #: bound rises with the corpus, so the extended prefixes can be broadcast at any size.
 EXTEND_ROWS, MAX_EXTENDED = 1 << 14, 100_000
-#: Bits of the Bloom filter of frequent words.
+#: Bits of a Bloom filter.
 FILTER_BITS = 1 << 26
 #: Parts that a language's phrases are ranked in before its final ranking.
 SALT = 16
 #: Bytes of text whose equal suffixes are counted together before they leave a task.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _BREAK = np.zeros(256, np.int64)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
@@ -118,36 +118,64 @@ def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(bits)).astype(np.int64), (mix(h) % np.uint64(bits)).astype(np.int64)
 
 
-def _filter_bits(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    """(word, flags) of the filter for every frequent word: the 32-bit words of the filter that it sets."""
+def _word_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of every (lang, phrase) of one word, as ``Words.spans`` gives it."""
     for batch in batches:
         codes, _ = _language(batch.column("lang"))
         for texts in blocks(batch.column("phrase")):
             h = Hasher(texts.data).of(texts.starts[:-1], texts.starts[1:])
             h = mix(h ^ codes[texts.first : texts.first + len(texts)])
-            p = np.concatenate(_places(h, bits))
-            yield pa.RecordBatch.from_arrays([pa.array(p >> 5), pa.array(np.int64(1) << (p & 31))], names=["word", "flags"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
-def _frequent(w: Words, flags: np.ndarray, bits: int) -> np.ndarray:
-    at = np.arange(len(w))
-    one, two = _places(w.spans(at, at + 1), bits)
+def _filter_words(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """(word, flags): the 32-bit words of the filter that the hashes set."""
+    for batch in batches:
+        p = np.concatenate(_places(batch.column("h").to_numpy().view(np.uint64), bits))
+        yield pa.RecordBatch.from_arrays([pa.array(p >> 5), pa.array(np.int64(1) << (p & 31))], names=["word", "flags"])
+
+
+def _bloom(hashes: DataFrame, bits: int) -> np.ndarray:
+    """The filter of a column ``h``: at most bits / 32 rows come to the driver, whatever the corpus."""
+    set_ = hashes.mapInArrow(partial(_filter_words, bits=bits), "word long, flags long")
+    flags = np.zeros(bits >> 5, np.uint32)
+    for r in set_.groupBy("word").agg(F.bit_or("flags").alias("flags")).toLocalIterator():
+        flags[r[0]] = r[1]
+    return flags
+
+
+def _held(h: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    one, two = _places(h, bits)
     hit = lambda p: (flags[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1
     return hit(one) & hit(two)
 
 
+def _count_pairs(batches: Iterable[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
+    """(h, f) of the pairs of frequent words in a block, by hash."""
+    flags = shared.value
+    for batch in batches:
+        for w, _ in _blocks(batch):
+            at = np.arange(len(w))
+            frequent = _held(w.spans(at, at + 1), flags, bits)
+            at = np.flatnonzero(frequent[:-1] & frequent[1:] & (w.piece[:-1] == w.piece[1:]))
+            h, f = np.unique(w.spans(at, at + 2), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f, pa.int64())], names=["h", "f"])
+
+
 def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int) -> Iterator[pa.RecordBatch]:
-    """(lang, suffix, times): distinct suffixes of a block that hold at least two frequent words, cut off at ``depth``."""
+    """(lang, suffix, times): distinct suffixes of a block that begin with a frequent pair, cut off at ``depth`` or the first other pair."""
     flags = shared.value
     for batch in batches:
         for w, lang in _blocks(batch):
             n = len(w)
-            frequent = _frequent(w, flags, bits)
-            size = frequent.astype(np.int64)
-            goes_on = frequent.copy()  # words i .. i + k are frequent and stand in one piece
+            at = np.flatnonzero(w.piece[:-1] == w.piece[1:])
+            pair = np.zeros(n, bool)  # words i and i + 1 stand in one piece and are frequent together
+            pair[at] = _held(w.spans(at, at + 2), flags, bits)
+            size = np.ones(n, np.int64)
+            goes_on = np.ones(n, bool)
             for k in range(1, depth):
-                goes_on[max(n - k, 0):] = False
-                goes_on[: max(n - k, 0)] &= frequent[k:] & (w.piece[k:] == w.piece[: max(n - k, 0)])
+                goes_on[: max(n - k + 1, 0)] &= pair[k - 1 :]
+                goes_on[max(n - k + 1, 0) :] = False
                 size += goes_on
             at = np.flatnonzero(size >= 2)
             h = w.spans(at, at + size[at])
@@ -257,17 +285,14 @@ def phrase_counts(docs: DataFrame, least: int = 30, depth: int = DEPTH, lang_col
     words = cut(counted, "words")
     totals = cut(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.where(F.col("f") >= least)
-    set_ = frequent.select("lang", "phrase").mapInArrow(partial(_filter_bits, bits=filter_bits), "word long, flags long")
-    flags = np.zeros(filter_bits >> 5, np.uint32)
-    # at most filter_bits / 32 rows, whatever the corpus
-    for r in set_.groupBy("word").agg(F.bit_or("flags").alias("flags")).toLocalIterator():
-        flags[r[0]] = r[1]
-    shared = sc.broadcast(flags)
+    one = sc.broadcast(_bloom(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h long"), filter_bits))
+    pairs = src.mapInArrow(partial(_count_pairs, shared=one, bits=filter_bits), "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
+    one.unpersist()
     suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes")
     routed = _extended(suffixes, depth)
     groups = max(1, -(-suffixes.count() // group_rows))
-    routed = routed.withColumn("prefix", F.expr("substring_index(suffix, ' ', depth)")).repartition(groups, "lang", "prefix")
-    ordered = routed.drop("prefix").sortWithinPartitions("lang", "suffix")
+    ordered = routed.repartition(groups, "lang", F.expr("substring_index(suffix, ' ', depth)")).sortWithinPartitions("lang", "suffix")
     nodes = ordered.mapInArrow(partial(_read_counts, depth=depth, least=least), "lang string, phrase string, f long")
     nodes = nodes.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     single = frequent.select("lang", F.rtrim("phrase").alias("phrase"), "f")
