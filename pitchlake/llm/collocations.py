@@ -8,7 +8,7 @@ partitioned vertically, by the words its suffixes begin with:
    size, whose false positives only lengthen suffixes;
 2. a prefix of one word with more suffixes than a group may be filled with is extended by the next word, and
    so on; the prefixes are dealt to as many groups as the suffixes need at the group's budget;
-3. each group sorts its suffixes, which is the depth-first order of its subtree, and reads each node's
+3. each group sorts its suffixes into the depth-first order of its subtrees and reads each node's
    count off the leaf totals below it in one pass over batches, so a group never lies whole in memory.
    Nodes above an extended prefix are spread over groups; their partial counts are added up.
 
@@ -191,20 +191,24 @@ def _prefix(depth: int):
     return F.substring_index("suffix", " ", depth)
 
 
-def _extended(suffixes: DataFrame, depth: int) -> DataFrame:
-    """Suffix rows with ``depth``, the number of words of the prefix that decides their group."""
-    rows = suffixes.count()
-    most = max(EXTEND_ROWS, rows // MAX_EXTENDED)
+def _extended(suffixes: DataFrame, words: DataFrame, depth: int) -> DataFrame:
+    """Suffix rows with ``depth``, the number of words of the prefix that decides their group.
+
+    A word's own count bounds the suffixes that begin with it; longer prefixes are counted on the suffix rows.
+    """
+    most = max(EXTEND_ROWS, (words.agg(F.sum("f")).first()[0] or 0) // MAX_EXTENDED)
     out = suffixes.withColumn("depth", F.lit(1))
     for k in range(1, depth):
-        counted = out.where(F.col("depth") == k).groupBy("lang", _prefix(k).alias("prefix")).count()
-        # fewer than MAX_EXTENDED prefixes can hold more than rows / MAX_EXTENDED suffixes each
-        big = cut(counted.where(F.col("count") > most).select("lang", "prefix", F.lit(k + 1).alias("next")), "extended")
+        if k == 1:
+            counted = words.select("lang", F.rtrim("phrase").alias("prefix"), "f")
+        else:
+            counted = out.where(F.col("depth") == k).groupBy("lang", _prefix(k).alias("prefix")).agg(F.count("*").alias("f"))
+        # fewer than MAX_EXTENDED prefixes can hold more than 1 / MAX_EXTENDED of all words or suffixes each
+        big = cut(counted.where(F.col("f") > most).select("lang", "prefix", F.lit(k + 1).alias("next")), "extended")
         if big.isEmpty():
             break
         out = out.withColumn("prefix", _prefix(k)).join(F.broadcast(big), ["lang", "prefix"], "left")
-        out = out.select("lang", "suffix", "times", F.when(F.col("depth") == k, F.col("next")).otherwise(F.lit(None)).alias("next"), "depth")
-        out = out.select("lang", "suffix", "times", F.coalesce("next", "depth").alias("depth"))
+        out = out.select("lang", "suffix", "times", F.coalesce(F.when(F.col("depth") == k, F.col("next")), F.col("depth")).alias("depth"))
     return out
 
 
@@ -290,9 +294,11 @@ def phrase_counts(docs: DataFrame, least: int = 30, depth: int = DEPTH, lang_col
     shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
     one.unpersist()
     suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes")
-    routed = _extended(suffixes, depth)
+    routed = _extended(suffixes, words, depth)
     groups = max(1, -(-suffixes.count() // group_rows))
-    ordered = routed.repartition(groups, "lang", F.expr("substring_index(suffix, ' ', depth)")).sortWithinPartitions("lang", "suffix")
+    dealt = routed.repartition(groups, "lang", F.expr("substring_index(suffix, ' ', depth)"))
+    # any order of the two-word subtrees will do: a number first, as languages hardly tell rows apart
+    ordered = dealt.withColumn("two", F.xxhash64("lang", _prefix(2))).sortWithinPartitions("two", "lang", "suffix").drop("two")
     nodes = ordered.mapInArrow(partial(_read_counts, depth=depth, least=least), "lang string, phrase string, f long")
     nodes = nodes.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     single = frequent.select("lang", F.rtrim("phrase").alias("phrase"), "f")
