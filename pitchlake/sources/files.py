@@ -2,12 +2,12 @@
 
 ``matchid`` comes from the ``matchid=<n>`` directory of the file's path. CSV
 columns are bound by the names in each file's own header line, in any order:
-unknown columns are dropped, absent ones are NULL, and values are cast to the
-contract types (NULL where they do not fit). Each row carries its file path as
-``source_file``, the run id as ``Batchid`` and the load time.
+absent ones are NULL, and values are cast to the contract types. Values that do
+not fit, and those of unknown columns, can be kept in a ``rescued`` map. Each row
+carries its file path as ``source_file``, the run id as ``Batchid`` and the load time.
 
-The contract is one file per match, so a CSV file is read as one value and
-split in the plan; its size is that of a match.
+Lines are parsed by Spark's own CSV parser. The contract is one file per match, so a
+CSV file is read as one value and split at its line ends in the plan; its size is that of a match.
 """
 
 from __future__ import annotations
@@ -49,20 +49,25 @@ def _reader(spark: SparkSession, streaming: bool, max_files: int | None,
     return spark.read
 
 
-# A field after its comma: quoted (with escaped or doubled quotes) or plain.
-_FIELD = r',("(?:[^"\\]|\\.|"")*"|[^,]*)'
+#: Most columns a CSV file may have; a wider header fails the read rather than losing columns.
+MAX_COLUMNS = 64
 
 
-def _fields(line: Column) -> Column:
-    """Raw fields of a CSV line (a leading comma makes every field follow one)."""
-    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+def _columns(line: Column, escape: str | None) -> Column:
+    """The texts of a CSV line's fields, MAX_COLUMNS of them (NULL where empty or absent), by Spark's CSV parser.
+
+    A quote within quotes is escaped by ``escape``. None tells the two usual ways apart line by line: a backslash (what
+    Spark writes), or, in lines without one, a doubled quote.
+    """
+    names = [f"c{i}" for i in range(MAX_COLUMNS)]
+    schema = ", ".join(f"{c} string" for c in names)
+    parse = lambda by: F.from_csv(line, F.lit(schema), {"escape": by})
+    row = F.when(line.contains("\\"), parse("\\")).otherwise(parse('"')) if escape is None else parse(escape)
+    return row
 
 
-def _value(raw: Column) -> Column:
-    """Text of a raw field: quotes removed, NULL for an empty unquoted field."""
-    quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
-    text = F.regexp_replace(raw.substr(F.lit(2), F.length(raw) - 2), r'\\(.)|"(")', "$1$2")
-    return F.when(quoted, text).when(raw != "", raw)
+def _as_array(row: str) -> Column:
+    return F.array(*[F.col(f"{row}.c{i}") for i in range(MAX_COLUMNS)])
 
 
 def matchid_of(path: Column) -> Column:
@@ -70,44 +75,79 @@ def matchid_of(path: Column) -> Column:
     return F.regexp_extract(path, r"matchid=([^/]+)/[^/]*$", 1).try_cast("bigint")
 
 
-def by_header(files_: DataFrame, schema: T.StructType) -> DataFrame:
+def _with_header(files_: DataFrame, escape: str | None) -> DataFrame:
+    """(path, head, lines) of CSV files given as (value, path): column names in lower case, and all lines."""
+    lines = F.split(F.regexp_replace("value", "^\\uFEFF", ""), r"\r\n|\n|\r")
+    first = F.element_at("lines", 1)
+    wide = F.length(first) - F.length(F.replace(first, F.lit(","))) >= MAX_COLUMNS
+    checked = F.when(wide, F.raise_error(F.concat(F.lit(f"more than {MAX_COLUMNS} columns in the header of "), "path"))).otherwise(first)
+    split = files_.select("path", lines.alias("lines")).select("path", "lines", checked.cast("string").alias("first"))
+    named = split.select("path", "lines", _columns(F.col("first"), escape).alias("row")).select("path", "lines", _as_array("row").alias("names"))
+    return named.select("path", "lines", F.transform("names", lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))).alias("head"))
+
+
+def by_header(files_: DataFrame, schema: T.StructType, escape: str | None = None) -> DataFrame:
     """Rows of CSV files given as (value, path): one column per schema field, matched by header name.
 
-    Names are compared without case and surrounding blanks; of two columns of
-    one name the first counts.
+    Names are compared without case and surrounding blanks; of two columns of one name the first counts.
+    ``rescued`` maps the names of values that found no place to their texts: those that do not fit their
+    column's type (NULL there), and those of columns outside the schema; NULL when there are none.
     """
     data = [f for f in schema.fields if f.name != "matchid"]
-    lines = F.split(F.regexp_replace("value", "^\\uFEFF", ""), r"\r\n|\n|\r")
-    head = F.transform(_fields(F.element_at("lines", 1)), lambda x: F.lower(F.trim(F.coalesce(_value(x), F.lit("")))))
-    rows = (
-        files_.select("path", lines.alias("lines"))
-        .select("path", "lines", head.alias("head"))
-        .select(
-            "path", "lines",
-            *[F.nullif(F.array_position("head", f.name.lower()), F.lit(0)).cast("int").alias(f"at_{f.name}") for f in data],
-        )
-        .select("path", *[f"at_{f.name}" for f in data],
-                F.explode(F.expr("filter(slice(lines, 2, greatest(size(lines) - 1, 0)), l -> l <> '')")).alias("line"))
-        .withColumn("fields", _fields(F.col("line")))
+    known = F.array(*[F.lit(f.name.lower()) for f in data])
+    rows = _with_header(files_, escape).select(
+        "path", "head",
+        F.explode(F.expr("filter(slice(lines, 2, greatest(size(lines) - 1, 0)), l -> l <> '')")).alias("line"),
     )
+    rows = rows.select("path", "head", _columns(F.col("line"), escape).alias("row")).select("path", "head", _as_array("row").alias("fields"))
+    raw = lambda f: F.try_element_at("fields", F.nullif(F.array_position("head", f.name.lower()), F.lit(0)).cast("int"))
+    rows = rows.select("path", "head", "fields", *[raw(f).alias(f"raw_{f.name}") for f in data])
+    value = lambda f: F.col(f"raw_{f.name}").try_cast(f.dataType)
+    entry = lambda name, text, keep: F.when(keep & text.isNotNull(), F.struct(name.alias("name"), text.alias("text")))
+    misfits = F.array(*[entry(F.lit(f.name), F.col(f"raw_{f.name}"), value(f).isNull()) for f in data])
+    named = F.zip_with("head", "fields", lambda h, x: F.struct(h.alias("h"), x.alias("x")))
+    others = F.transform(named, lambda c, i: entry(
+        c["h"], c["x"], (c["h"] != "") & ~F.array_contains(known, c["h"]) & (F.array_position("head", c["h"]) == i + 1)))
+    left_over = F.filter(F.concat(misfits, others), lambda e: e.isNotNull())
     return rows.select(
-        *[_value(F.try_element_at("fields", F.col(f"at_{f.name}"))).try_cast(f.dataType).alias(f.name) for f in data],
+        *[value(f).alias(f.name) for f in data],
         matchid_of(F.col("path")).alias("matchid"), F.col("path").alias("source_file"),
+        F.when(F.size(left_over) > 0, F.map_from_entries(left_over)).alias("rescued"),
     )
 
 
-def _csv(spark: SparkSession, root: str, schema: T.StructType, columns: tuple[str, ...], run_id: str, streaming: bool,
-         file_name: str, max_files: int | None, archive_dir: str | None) -> DataFrame:
+def _csv_files(spark: SparkSession, root: str, streaming: bool, file_name: str, max_files: int | None, archive_dir: str | None) -> DataFrame:
     raw = (_reader(spark, streaming, max_files, archive_dir).schema("value string").option("wholetext", True)
            .option("pathGlobFilter", file_name).format("text").load(root))
-    rows = by_header(raw.select("value", F.col("_metadata.file_path").alias("path")), schema)
-    return rows.select(F.lit(run_id).alias("Batchid"), *columns, "source_file", F.current_timestamp().alias("load_timestamp"))
+    return raw.select("value", F.col("_metadata.file_path").alias("path"))
+
+
+def _csv(spark: SparkSession, root: str, schema: T.StructType, columns: tuple[str, ...], run_id: str, streaming: bool, file_name: str,
+         max_files: int | None, archive_dir: str | None, escape: str | None, rescued: bool) -> DataFrame:
+    rows = by_header(_csv_files(spark, root, streaming, file_name, max_files, archive_dir), schema, escape)
+    return rows.select(F.lit(run_id).alias("Batchid"), *columns, "source_file", F.current_timestamp().alias("load_timestamp"),
+                       *(["rescued"] if rescued else []))
+
+
+def headers(spark: SparkSession, root: str, feed: str, *, streaming: bool = True, file_name: str, run_id: str = K.DEFAULT_RUN_ID,
+            max_files: int | None = None, escape: str | None = None) -> DataFrame:
+    """(Batchid, feed, columns, source_file, load_timestamp) of every CSV file: its column names in order, joined by commas.
+
+    De-duplicated by (feed, columns) it is the history of the feed's layouts.
+    """
+    found = _with_header(_csv_files(spark, root, streaming, file_name, max_files, None), escape)
+    last = F.array_max(F.transform("head", lambda h, i: F.when(h != "", i + 1).otherwise(F.lit(0))))
+    return found.select(
+        F.lit(run_id).alias("Batchid"), F.lit(feed).alias("feed"), F.array_join(F.slice("head", 1, last), ",").alias("columns"),
+        F.col("path").alias("source_file"), F.current_timestamp().alias("load_timestamp"),
+    )
 
 
 def events(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.EVENTS_FILE,
-           run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+           run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None,
+           escape: str | None = None, rescued: bool = False) -> DataFrame:
     return _csv(spark, root, schemas.EVENTS_FILE_SCHEMA, schemas.BRONZE_EVENTS_COLUMNS, run_id, streaming,
-                file_name, max_files, archive_dir)
+                file_name, max_files, archive_dir, escape, rescued)
 
 
 def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.METADATA_FILE,
@@ -120,9 +160,10 @@ def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_nam
 
 
 def players(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.PLAYERS_FILE,
-            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None,
+           escape: str | None = None, rescued: bool = False) -> DataFrame:
     return _csv(spark, root, schemas.PLAYERS_FILE_SCHEMA, schemas.BRONZE_PLAYERS_COLUMNS, run_id, streaming,
-                file_name, max_files, archive_dir)
+                file_name, max_files, archive_dir, escape, rescued)
 
 
 def write_feed(df: DataFrame, root: str, fmt: str, mode: str = "overwrite") -> None:

@@ -9,9 +9,11 @@ its written table, which cuts the lineage between levels.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
@@ -69,6 +71,20 @@ def run_bronze(spark: SparkSession, source_root: str | dict[str, str], lake: Lak
     return out
 
 
+def run_headers(spark: SparkSession, source_root: str | dict[str, str], lake: Lake, *, run_id: str = K.DEFAULT_RUN_ID,
+                file_names: dict[str, str] | None = None, max_files: int | None = None) -> StreamingQuery:
+    """Append the CSV layouts not seen before to the table ``header_history``, with the run and file that brought them.
+
+    The state of its stream holds one row per layout, the files are read once more for their header lines.
+    """
+    names = {"match_events": K.EVENTS_FILE, "match_players": K.PLAYERS_FILE} | (file_names or {})
+    roots = source_root if isinstance(source_root, dict) else dict.fromkeys(names, source_root)
+    found = [files.headers(spark, roots[t], t, file_name=names[t], run_id=run_id, max_files=max_files)
+             for t in ("match_players", "match_events") if t in roots]
+    layouts = reduce(DataFrame.unionByName, found).dropDuplicates(["feed", "columns"])
+    return append(layouts, lake.table(K.BRONZE, "header_history"), lake.checkpoint(K.BRONZE, "header_history"), query_name="header_history")
+
+
 def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark: str | None = None,
                partition_by=None, tables=BRONZE_TABLES, buckets: int | None = None) -> dict:
     """Line-ups first (always), then metadata and deliveries if requested.

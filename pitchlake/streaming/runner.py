@@ -29,25 +29,28 @@ def _collect(query: StreamingQuery, seen: dict[int, object]) -> None:
         seen.setdefault(_batch_id(p), p)
 
 
-def append(df: DataFrame, path: str, checkpoint: str, *, partition_by: Sequence[str] | None = None,
-           fmt: str = "parquet", query_name: str | None = None) -> StreamingQuery:
-    """Append a stream to a file table until all currently available input is processed."""
+def append(df: DataFrame, path: str | None, checkpoint: str, *, partition_by: Sequence[str] | None = None,
+           fmt: str = "parquet", query_name: str | None = None, table: str | None = None) -> StreamingQuery:
+    """Append a stream to a file table until all currently available input is processed.
+
+    The files go to ``path``, or, with ``table``, to the location of that catalog table.
+    """
     writer = (df.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if query_name:
         writer = writer.queryName(query_name)
-    query = writer.start(path)
+    query = writer.toTable(table) if table else writer.start(path)
     seen: dict[int, object] = {}
     while not query.awaitTermination(POLL_S):
         _collect(query, seen)
     _collect(query, seen)
     setattr(query, _SEEN, seen)
     if query.exception() is not None:
-        raise RuntimeError(f"stream {query_name or path} failed: {query.exception()}")
+        raise RuntimeError(f"stream {query_name or table or path} failed: {query.exception()}")
     if seen and len(seen) != max(seen) - min(seen) + 1:
-        raise RuntimeError(f"stream {query_name or path}: progress of some micro-batches is missing")
+        raise RuntimeError(f"stream {query_name or table or path}: progress of some micro-batches is missing")
     return query
 
 

@@ -3,6 +3,7 @@
 import csv
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -239,12 +240,72 @@ def test_csv_is_bound_by_header(spark, tmp_path):
     d = tmp_path / "src" / "matchid=3"
     d.mkdir(parents=True)
     (d / "match_events_data.csv").write_text(
-        "\ufeffball, Match_Ball_Number,event,weather,commentary,batsman\r\n"
-        '0.10,7,"Root to Stokes, 1 run",dry,"He said ""well played"", \\"twice\\"",\r\n'
-        "0.2,not a number,,,\r\n\r\n", encoding="utf-8")
-    for r in (files.events(spark, str(tmp_path / "src"), streaming=False).orderBy("ball"),):
-        second, first = sorted(r.collect(), key=lambda x: x.ball, reverse=True)
+        "\ufeffball, Match_Ball_Number,event,weather,commentary,batsman,Weather\r\n"
+        '0.10,7,"Root to Stokes, 1 run",dry,"He said ""well played"", twice",,wet\r\n'
+        '0.2,not a number,"Root to \\"Ben\\" Stokes, no run",,C:\\dir\\,Ben\r\n\r\n'
+        "0.3,\r\n", encoding="utf-8")
+    df = files.events(spark, str(tmp_path / "src"), streaming=False, rescued=True)
+    first, second, third = sorted(df.collect(), key=lambda x: (x.ball != "0.10", x.ball))
     assert (first.ball, first.match_ball_number, first.event, first.batsman, first.bowler, first.matchid) == (
         "0.10", 7, "Root to Stokes, 1 run", None, None, 3)
-    assert first.commentary == 'He said "well played", "twice"'
-    assert (second.ball, second.match_ball_number, second.event, second.innings) == ("0.2", None, None, None)
+    assert first.commentary == 'He said "well played", twice' and first.rescued == {"weather": "dry"}
+    assert (second.match_ball_number, second.event, second.commentary, second.batsman) == (
+        None, 'Root to "Ben" Stokes, no run', "C:\\dir\\", "Ben")
+    assert second.rescued == {"match_ball_number": "not a number"}
+    assert (third.ball, third.match_ball_number, third.event, third.innings, third.rescued) == ("0.3", None, None, None, None)
+    # the contract's columns alone by default
+    assert "rescued" not in files.events(spark, str(tmp_path / "src"), streaming=False).columns
+
+
+def test_csv_with_long_and_quoted_texts(spark, tmp_path):
+    """A quoted text of 1 MB, quotes escaped either way, and a file given one escape for all lines."""
+    long = "He said, " * 120_000
+    texts = {1: long, 2: 'doubled "q", ' * 50_000, 3: "plain", 4: ""}
+    for n, text in texts.items():
+        d = tmp_path / "src" / f"matchid={n}"
+        d.mkdir(parents=True)
+        with open(d / "match_events_data.csv", "w", newline="") as fh:
+            csv.writer(fh).writerows([["ball", "commentary"], ["0.1", text]])
+    got = {r.matchid: r.commentary for r in files.events(spark, str(tmp_path / "src"), streaming=False).collect()}
+    assert got == texts | {4: None}
+    spark_made = [("back\\slash, \"both\" " * 30_000, 5), ("ends in \\", 6)]
+    df = spark.createDataFrame(spark_made, "commentary string, matchid long").withColumn("ball", F.lit("0.1"))
+    files.write_feed(df, str(tmp_path / "spark"), "csv")
+    back = files.events(spark, str(tmp_path / "spark"), streaming=False, file_name="part-*").collect()
+    assert {(r.commentary, r.matchid) for r in back} == {(t.strip(), m) for t, m in spark_made}
+    d = tmp_path / "mixed" / "matchid=1"
+    d.mkdir(parents=True)
+    (d / "match_events_data.csv").write_text('ball,commentary\n0.1,"C:\\x ""y"", z"\n')
+    mixed = files.events(spark, str(tmp_path / "mixed"), streaming=False, escape='"').first()
+    assert mixed.commentary == 'C:\\x "y", z'
+
+
+def test_csv_wider_than_the_parser_fails(spark, tmp_path):
+    d = tmp_path / "matchid=1"
+    d.mkdir()
+    for n in (files.MAX_COLUMNS, files.MAX_COLUMNS + 1):
+        (d / "match_events_data.csv").write_text(",".join(f"x{i}" for i in range(n - 1)) + ",ball\n" + "," * (n - 1) + "0.1\n")
+        df = files.events(spark, str(tmp_path), streaming=False)
+        if n == files.MAX_COLUMNS:
+            assert df.first().ball == "0.1"
+        else:
+            with pytest.raises(Exception, match="more than 64 columns"):
+                df.collect()
+
+
+def test_header_history(spark, tmp_path):
+    """A layout is recorded once, with the run that saw it first."""
+    root, lake = tmp_path / "src", Lake(str(tmp_path / "lake"))
+
+    def put(match, head):
+        (root / f"matchid={match}").mkdir(parents=True)
+        (root / f"matchid={match}" / "match_events_data.csv").write_text(head + "\n")
+
+    put(1, "ball,event")
+    put(2, "Ball, EVENT")
+    medallion.run_headers(spark, str(root), lake, run_id="r1")
+    put(3, "ball,event")
+    put(4, "ball,event,Weather")
+    medallion.run_headers(spark, str(root), lake, run_id="r2")
+    got = {(r.Batchid, r.feed, r.columns) for r in lake.read(spark, "bronze", "header_history").collect()}
+    assert got == {("r1", "match_events", "ball,event"), ("r2", "match_events", "ball,event,weather")}
