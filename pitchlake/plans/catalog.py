@@ -19,9 +19,9 @@ from pitchlake.functions import names as N
 from pitchlake.functions import parse
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.session import fresh_dir
-from pitchlake.sources import dirty, files, proxies
+from pitchlake.sources import dirty, files, proxies, tables
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming import incremental, medallion
+from pitchlake.streaming import incremental, medallion, quality_log, state
 from pitchlake.streaming.runner import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,45 +373,137 @@ def ingest_rerun_settings(spark, sf_dir):
     return Lake(lake_root).read(spark, "bronze", "match_players").select("Batchid", *schemas.BRONZE_PLAYERS_COLUMNS)
 
 
-def _stage_twice(spark: SparkSession, sf_dir: str, feed: str) -> list[str]:
-    """The feed's files staged twice (exact copies), once per session and input directory."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), feed, "twice")
-    if key not in _STAGED_ROOTS:
-        root = fresh_dir(spark, f"feed-twice-{feed}")
-        for run in range(2):
-            files.write_feed(_feeds(spark, sf_dir)[feed], f"{root}/run={run}", _FEED_FORMATS[feed])
-        _STAGED_ROOTS[key] = root
-    return [f"{_STAGED_ROOTS[key]}/run={run}" for run in range(2)]
+def _dedup_twice(spark: SparkSession, sf_dir: str, feed: str, reader, keys) -> Lake:
+    """The feed delivered twice (exact copies), the second time between two runs on one checkpoint.
 
-
-def _dedup_twice(spark: SparkSession, sf_dir: str, feed: str, reader, keys) -> DataFrame:
-    """Feed delivered twice (exact copies); stateful dedup keeps one row per key."""
+    The copies of the second run are refused by the state that it restores.
+    """
     lake = Lake(fresh_dir(spark, "lake"))
-    one, two = (reader(spark, root, streaming=True, file_name=_STAGED, run_id="fixture") for root in _stage_twice(spark, sf_dir, feed))
-    append(silver.deduplicate(one.unionByName(two), keys), lake.table("silver", feed), lake.checkpoint("silver", feed))
-    return lake.read(spark, "silver", feed)
+    source = fresh_dir(spark, f"feed-twice-{feed}")
+    for _ in range(2):
+        files.write_feed(_feeds(spark, sf_dir)[feed], source, _FEED_FORMATS[feed], mode="append")
+        stream = reader(spark, source, streaming=True, file_name=_STAGED, run_id="fixture")
+        append(silver.deduplicate(stream, keys), lake.table("silver", feed), lake.checkpoint("silver", feed))
+    return lake
 
 
 @query
 def dedup_players_stream(spark, sf_dir):
-    df = _dedup_twice(spark, sf_dir, "players", files.players, silver.PLAYER_KEYS)
-    return df.select(*schemas.BRONZE_PLAYERS_COLUMNS)
+    lake = _dedup_twice(spark, sf_dir, "players", files.players, silver.PLAYER_KEYS)
+    return lake.read(spark, "silver", "players").select(*schemas.BRONZE_PLAYERS_COLUMNS)
 
 
 @query
 def dedup_metadata_stream(spark, sf_dir):
-    df = _dedup_twice(spark, sf_dir, "metadata", files.metadata, silver.METADATA_KEYS)
-    return df.select(*schemas.BRONZE_METADATA_COLUMNS)
+    lake = _dedup_twice(spark, sf_dir, "metadata", files.metadata, silver.METADATA_KEYS)
+    return lake.read(spark, "silver", "metadata").select(*schemas.BRONZE_METADATA_COLUMNS)
+
+
+@query
+def dedup_state_keys(spark, sf_dir):
+    """Keys that the de-duplication of line-ups holds after two runs, as read from its checkpoint, a team of a match a row."""
+    lake = _dedup_twice(spark, sf_dir, "players", files.players, silver.PLAYER_KEYS)
+    held = state.held_keys(spark, lake.checkpoint("silver", "players"))
+    return held.groupBy("matchid", "team").agg(F.count("*").alias("held_keys"))
+
+
+@query
+def ingest_rescued_values(spark, sf_dir):
+    """Values that found no place, counted per column: numbers and flags that do not parse, and an unknown column."""
+    def write(root: str) -> None:
+        d = _feeds(spark, sf_dir)["deliveries"]
+        n = F.col("match_ball_number")
+        files.write_feed(d.withColumns({
+            "Weather": F.when(n % 5 == 0, F.concat(F.lit('dry, "'), n.cast("string"), F.lit('"'))),
+            "is_super_over": F.when(n % 11 == 0, F.lit("maybe")).otherwise(F.col("is_super_over").cast("string")),
+            "match_ball_number": F.when(n % 7 == 0, F.concat(F.lit("no. "), n.cast("string"))).otherwise(n.cast("string")),
+        }), root, "csv")
+
+    lake = Lake(fresh_dir(spark, "lake"))
+    stream = files.events(spark, _staged_once(spark, sf_dir, "misfits", write), file_name=_STAGED, rescued=True)
+    append(stream, lake.table("bronze", "match_events"), lake.checkpoint("bronze", "match_events"))
+    found = lake.read(spark, "bronze", "match_events").select("matchid", F.explode("rescued").alias("column_name", "value"))
+    return found.groupBy("matchid", "column_name").agg(F.count("*").alias("n_values"), F.min("value").alias("first_value"))
 
 
-def _medallion(spark: SparkSession, sf_dir: str, tables) -> Lake:
+@query
+def ingest_header_history(spark, sf_dir):
+    """Layouts of the two CSV feeds, and the run that brought each: the second run finds a wider one for some matches."""
+    f = _feeds(spark, sf_dir)
+    lake = Lake(fresh_dir(spark, "lake"))
+    roots = {"match_events": fresh_dir(spark, "feed-layouts"), "match_players": fresh_dir(spark, "feed-layouts")}
+    for run, part in (("first", "matchid % 2 = 0"), ("second", "matchid % 2 = 1")):
+        d = f["deliveries"].where(part)
+        files.write_feed(d if run == "first" else d.withColumn("Weather", F.lit("dry")), roots["match_events"], "csv", mode="append")
+        files.write_feed(f["players"].where(part), roots["match_players"], "csv", mode="append")
+        medallion.run_headers(spark, roots, lake, run_id=run, file_names=dict.fromkeys(roots, _STAGED))
+    return lake.read(spark, "bronze", "header_history").select("Batchid", "feed", "columns")
+
+
+def _database(spark: SparkSession) -> str:
+    """A catalog database of its own."""
+    root = fresh_dir(spark, "database")
+    name = "pitchlake_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{root}'")
+    return name
+
+
+@query
+def ingest_events_table(spark, sf_dir):
+    """Deliveries appended by two runs to a catalog table partitioned by match, with its description as the catalog has it."""
+    d = _feeds(spark, sf_dir)["deliveries"]
+    lake, source, name = Lake(fresh_dir(spark, "lake")), fresh_dir(spark, "feed-growing"), None
+    for run, part in (("first", "matchid % 3 <> 0"), ("second", "matchid % 3 = 0")):
+        files.write_feed(d.where(part), source, "csv", mode="append")
+        stream = files.events(spark, source, file_name=_STAGED, run_id=run)
+        name = name or tables.create_layer_table(spark, "bronze", "match_events", stream.schema, lake.table("bronze", "match_events"),
+                                                 database=_database(spark), partition_by=("matchid",))
+        append(stream, None, lake.checkpoint("bronze", "match_events"), partition_by=("matchid",), table=name)
+    about = tables.describe(spark, name)
+    return spark.table(name).groupBy("Batchid", "matchid").agg(
+        F.count("*").alias("n_rows"), F.sum("match_ball_number").alias("ball_numbers")).select(
+        "*", F.lit(about["properties"].get("quality")).alias("quality"), F.lit(",".join(about["partition_by"])).alias("partition_by"),
+        (F.length(F.lit(about["comment"])) > 0).alias("has_comment"))
+
+
+@query
+def gold_published_rebuild(spark, sf_dir):
+    """Batting of the matches so far, recomputed and published while a reader holds the table: it keeps the old rows, the next sees the new."""
+    stats = batting_per_match(spark, sf_dir)
+    name, root = f"{_database(spark)}.gold_batting_stats_per_match", fresh_dir(spark, "published")
+    tables.publish(stats.where("matchid % 2 = 0"), name, root, properties=tables.properties_of("gold"))
+    holding = spark.table(name)
+    tables.publish(stats, name, root)
+    held, now = (df.select(F.lit(label).alias("reader"), "matchid", "batsman", "total_runs") for label, df in
+                 (("holding", holding), ("next", spark.table(name))))
+    return held.unionByName(now)
+
+
+@query
+def dq_history_two_runs(spark, sf_dir):
+    """Violations of the line-up rules as kept for two runs."""
+    p = _feeds(spark, sf_dir)["players"].withColumns({
+        "player_name": F.when((F.col("matchid") % 3 == 0) & (F.col("batting_position") == 3), F.lit(None)).otherwise(F.col("player_name")),
+        "team": F.when((F.col("matchid") % 4 == 1) & (F.col("batting_position") == 5), F.lit(None)).otherwise(F.col("team")),
+    })
+    lake, source = Lake(fresh_dir(spark, "lake")), fresh_dir(spark, "feed-growing")
+    for run, part in (("first", "matchid % 5 <> 0"), ("second", "matchid % 5 = 0")):
+        files.write_feed(p.where(part), source, "csv", mode="append")
+        runs = medallion.run_bronze(spark, source, lake, run_id=run, tables=("match_players",), file_names={"match_players": _STAGED})
+        rows = quality_log.stream_rows(runs["match_players"], "bronze_players", run)
+        quality_log.record(spark, lake, rows)
+        quality_log.record(spark, lake, rows)  # as after a failure: counted once
+    return quality_log.history(spark, lake).select("run_id", "dataset", "rule", "total_rows", "failed_rows")
+
+
+def _medallion(spark: SparkSession, sf_dir: str, which) -> Lake:
     """files -> bronze -> silver streams for the given tables (line-ups always first)."""
     feeds = {v: k for k, v in _BRONZE_OF_FEED.items()}
-    roots = _stage_feeds(spark, sf_dir, [feeds[t] for t in tables])
+    roots = _stage_feeds(spark, sf_dir, [feeds[t] for t in which])
     lake = Lake(fresh_dir(spark, "lake"))
     medallion.run_bronze(spark, {_BRONZE_OF_FEED[k]: v for k, v in roots.items()}, lake, run_id="fixture",
-                         file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED), tables=tables)
-    medallion.run_silver(spark, lake, proxies.zones(spark), tables=tables)
+                         file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED), tables=which)
+    medallion.run_silver(spark, lake, proxies.zones(spark), tables=which)
     return lake
 
 
@@ -446,21 +538,25 @@ def gold_write_roundtrip(spark, sf_dir):
 
 # --------------------------------------------------------------------------- gold tables as written
 
-_GOLD_LAKES: dict[tuple, Lake] = {}
-
-
-def _gold_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """files -> bronze -> silver -> all gold tables, built once per session and input directory."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _GOLD_LAKES:
-        lake = _medallion(spark, sf_dir, medallion.BRONZE_TABLES)
-        medallion.build_gold(spark, lake, chunk_rows=50_000, events_partition_by=("matchid",))
-        _GOLD_LAKES[key] = lake
-    return _GOLD_LAKES[key]
-
-
 def _gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _gold_lake(spark, sf_dir).read(spark, "gold", name).drop("gold_load_timestamp")
+    """A gold table as read back, built with what it is computed from out of freshly written silver tables."""
+    f, lake = _feeds(spark, sf_dir), Lake(fresh_dir(spark, "lake"))
+    lake.overwrite(_players(f), "silver", "match_players")
+    lake.overwrite(_metadata(f), "silver", "match_metadata")
+    if name != "match_summary":
+        lake.overwrite(_events(f), "silver", "match_events")
+    medallion.build_gold(spark, lake, chunk_rows=50_000, events_partition_by=("matchid",), tables=(name,))
+    return lake.read(spark, "gold", name).drop("gold_load_timestamp")
+
+
+@query
+def gold_audit_times(spark, sf_dir):
+    """Deliveries of a match, and those whose load, silver and gold times exist and follow one another."""
+    lake = _medallion(spark, sf_dir, ("match_players", "match_metadata", "match_events"))
+    medallion.build_gold(spark, lake, tables=("match_events",))
+    ordered = F.expr("load_timestamp <= silver_load_timestamp and silver_load_timestamp <= gold_load_timestamp")
+    return lake.read(spark, "gold", "match_events").groupBy("matchid").agg(
+        F.count("*").alias("n_rows"), F.count_if(ordered).alias("n_ordered"))
 
 
 @query

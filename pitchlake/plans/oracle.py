@@ -36,7 +36,8 @@ def _player_sql(team: str, slot: str, s: str) -> tuple[str, str]:
 def _deliveries_cte() -> str:
     bf, bl = _player_sql("tb", "bs", "s")
     wf, wl = _player_sql("tw", "ws", "s")
-    outcome = (f"CASE WHEN (m * 7 + ov + i) % 11 = 0 THEN 'no run' "
+    outcome = (f"CASE WHEN (m * 7 + ov + i) % 11 = 0 THEN 'no run' WHEN star THEN 'SIX runs' "
+               f"WHEN m % 4 = 3 AND i = 0 AND ov % 5 = 2 AND q % 2 = 1 THEN 'OUT' "
                f"ELSE {_pick(P.OUTCOMES, '(event_id * 31 + user_id) % 24')} END")
     wicket = (
         "CASE (event_id // 24) % 8 "
@@ -59,7 +60,8 @@ px_d2 AS (
 px_d3 AS (
   SELECT *, q // 6 AS ov, (m % 5 = 0 AND q >= 114) AS so,
          CASE WHEN i = 0 THEN t0 ELSE t1 END AS tb, CASE WHEN i = 0 THEN t1 ELSE t0 END AS tw,
-         (q // 7 + event_id) % 11 AS bs, (q // 6) % 5 + 6 AS ws
+         (m % 4 = 2 AND ((i = 0 AND q % 4 = 0) OR (i = 1 AND q % 12 = 0))) AS star,
+         CASE WHEN star THEN 3 ELSE (q // 7 + event_id) % 11 END AS bs, (q // 6) % 5 + 6 AS ws
   FROM px_d2
 ),
 px_d4 AS (
@@ -750,6 +752,18 @@ def oracle_sql() -> dict[str, str]:
                                         "'matchid=' || CAST(matchid AS VARCHAR) AS source_dir FROM px_players",
         "dedup_players_stream": _base() + f"SELECT DISTINCT {_PLAYER_COLS} FROM px_players",
         "dedup_metadata_stream": _base() + f"SELECT DISTINCT {_META_COLS} FROM px_metadata",
+        "dedup_state_keys": _base() + "SELECT matchid, team, count(DISTINCT player_name) AS held_keys FROM px_players GROUP BY 1, 2",
+        "ingest_rescued_values": _base("""kept AS (
+            SELECT matchid, 'weather' AS column_name, 'dry, "' || match_ball_number || '"' AS value FROM px_deliveries WHERE match_ball_number % 5 = 0
+            UNION ALL SELECT matchid, 'is_super_over', 'maybe' FROM px_deliveries WHERE match_ball_number % 11 = 0
+            UNION ALL SELECT matchid, 'match_ball_number', 'no. ' || match_ball_number FROM px_deliveries WHERE match_ball_number % 7 = 0)""")
+        + "SELECT matchid, column_name, count(*) AS n_values, min(value) AS first_value FROM kept GROUP BY 1, 2",
+        "ingest_events_table": _base() + """SELECT CASE WHEN matchid % 3 = 0 THEN 'second' ELSE 'first' END AS Batchid, matchid,
+            count(*) AS n_rows, CAST(sum(match_ball_number) AS BIGINT) AS ball_numbers, 'bronze' AS quality, 'matchid' AS partition_by,
+            true AS has_comment FROM px_deliveries GROUP BY matchid""",
+        "gold_published_rebuild": batting + """SELECT reader, matchid, batsman, total_runs FROM batting_match,
+            (VALUES ('holding'), ('next')) AS v(reader) WHERE reader = 'next' OR matchid % 2 = 0""",
+        "gold_audit_times": _base() + "SELECT matchid, count(*) AS n_rows, count(*) AS n_ordered FROM px_deliveries GROUP BY matchid",
         "silver_players_stream": _base() + f"SELECT DISTINCT 'fixture' AS Batchid, {_PLAYER_COLS} FROM px_players",
         "silver_metadata_stream": meta_only + f"SELECT {_SILVER_META_COLS} FROM px_silver_metadata",
         "silver_events_stream": silver_events + f"SELECT {_SILVER_EVENT_COLS} FROM px_silver_events",
@@ -762,6 +776,20 @@ def oracle_sql() -> dict[str, str]:
         "ingest_rerun_settings": _base()
         + f"SELECT CASE WHEN matchid % 3 = 0 THEN 'run-second' ELSE 'run-first' END AS Batchid, {_PLAYER_COLS} FROM px_players",
     }
+    for feed, head, extra in (("events", "match_ball_number,ball,event,commentary,bowler,batsman,innings,is_super_over", ",weather"),
+                              ("players", "innings,team,player_name,batted,batting_position,player_type,retired,not_out,bowled", "")):
+        layouts = f"""SELECT CASE WHEN matchid % 2 = 0 THEN 'first' ELSE 'second' END AS run, 'match_{feed}' AS feed,
+            '{head}' || CASE WHEN matchid % 2 = 1 THEN '{extra}' ELSE '' END AS columns FROM px_{'deliveries' if feed == 'events' else 'players'}"""
+        part = f"SELECT min(run) AS Batchid, feed, columns FROM ({layouts}) GROUP BY feed, columns"
+        sql["ingest_header_history"] = sql["ingest_header_history"] + " UNION ALL " + part if "ingest_header_history" in sql else _base() + part
+    player_rules = {"matchid_not_null": "matchid IS NULL", "matchid_positive": "NOT coalesce(matchid > 0, false)",
+                    "player_name_not_null": "coalesce(player_name, '') = ''", "team_not_null": "coalesce(team, '') = ''"}
+    sql["dq_history_two_runs"] = _base("""planted AS (SELECT * REPLACE (
+            CASE WHEN matchid % 3 = 0 AND batting_position = 3 THEN NULL ELSE player_name END AS player_name,
+            CASE WHEN matchid % 4 = 1 AND batting_position = 5 THEN NULL ELSE team END AS team),
+            CASE WHEN matchid % 5 = 0 THEN 'second' ELSE 'first' END AS run_id FROM px_players)""") + " UNION ALL ".join(
+        f"SELECT run_id, 'bronze_players' AS dataset, '{rule}' AS rule, count(*) AS total_rows, count(*) FILTER ({failed}) AS failed_rows "
+        "FROM planted GROUP BY run_id" for rule, failed in player_rules.items())
     for table, same_as in {
         "innings_progress_chunked": "innings_progress", "gold_match_events": "innings_progress",
         "gold_batting_stats_per_match": "batting_per_match", "gold_batting_stats_per_series": "batting_per_series",

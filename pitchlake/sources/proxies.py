@@ -92,10 +92,15 @@ def deliveries(events: DataFrame) -> DataFrame:
         "tw": F.when(F.col("i") == 0, F.col("t1")).otherwise(F.col("t0")),
     })
     eid = F.col("event_id")
-    bat_first, bat_last = _player(F.col("tb"), (F.expr("q div 7") + eid) % 11, F.col("s"))
+    # in every fourth match one batsman gets a hundred in the first and fifty in the second innings
+    star = F.expr("m % 4 = 2 and (i = 0 and q % 4 = 0 or i = 1 and q % 12 = 0)")
+    bat_first, bat_last = _player(F.col("tb"), F.when(star, F.lit(3)).otherwise((F.expr("q div 7") + eid) % 11), F.col("s"))
     bowl_first, bowl_last = _player(F.col("tw"), F.col("ov") % 5 + 6, F.col("s"))
     named = base.withColumns({
         "outcome": F.when((F.col("m") * 7 + F.col("ov") + F.col("i")) % 11 == 0, F.lit("no run"))
+        .when(star, F.lit("SIX runs"))
+        # and in every fourth match one bowler takes a wicket with every other ball
+        .when(F.expr("m % 4 = 3 and i = 0 and ov % 5 = 2 and q % 2 = 1"), F.lit("OUT"))
         .otherwise(_pick(OUTCOMES, (eid * 31 + F.col("user_id")) % 24)),
         "bf": bat_first, "bl": bat_last, "wf": bowl_first, "wl": bowl_last,
     })

@@ -19,7 +19,7 @@ from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.sources import files
 from pitchlake.sources.layout import GOLD_CLUSTER, Lake
-from pitchlake.streaming import incremental
+from pitchlake.streaming import incremental, quality_log
 from pitchlake.streaming.runner import append, observed_totals
 
 BRONZE_TABLES = ("match_events", "match_metadata", "match_players")
@@ -128,21 +128,39 @@ def run_silver(spark: SparkSession, lake: Lake, zones: DataFrame, *, watermark:
     return out
 
 
+#: The gold table that each gold table is computed from, where there is one.
+_GOLD_FROM = {
+    "batting_stats_per_match": "match_events", "batting_stats_per_series": "batting_stats_per_match",
+    "batting_stats_overall": "batting_stats_per_series", "bowling_stats_per_match": "match_events",
+    "bowling_stats_per_series": "bowling_stats_per_match", "bowling_stats_overall": "bowling_stats_per_series",
+    "player_team_scd2": "match_events",
+}
+
+
+def _wanted(tables: Sequence[str] | None) -> set[str]:
+    """The given gold tables and those they are computed from; all by default."""
+    found = set(GOLD_CLUSTER if tables is None else tables)
+    while more := {_GOLD_FROM[t] for t in found if t in _GOLD_FROM} - found:
+        found |= more
+    return found
+
+
 def build_gold(spark: SparkSession, lake: Lake, *, chunk_rows: int | None = None,
-               events_partition_by: Sequence[str] | None = None) -> dict[str, str]:
-    """Recompute all gold tables from the silver snapshots.
+               events_partition_by: Sequence[str] | None = None, tables: Sequence[str] | None = None) -> dict[str, str]:
+    """Recompute the gold tables, or the given ones and what they are computed from, from the silver snapshots.
 
     ``chunk_rows`` bounds the window partitions of the running sums
     (``innings.innings_progress``); set it where an innings key can be hot.
     ``events_partition_by`` partitions the match events table, e.g. by ``matchid``.
     """
     read = lambda layer, name: lake.read(spark, layer, name)
-    meta, players = read(K.SILVER, "match_metadata"), read(K.SILVER, "match_players")
-    silver_events = read(K.SILVER, "match_events")
-    paths = {"match_events": lake.overwrite(
-        innings.gold_events(silver_events, chunk_rows), K.GOLD, "match_events",
-        partition_by=events_partition_by, cluster_by=GOLD_CLUSTER["match_events"])}
-    events = read(K.GOLD, "match_events")
+    wanted = _wanted(tables)
+    meta, paths = read(K.SILVER, "match_metadata"), {}
+    if "match_events" in wanted:
+        paths["match_events"] = lake.overwrite(
+            innings.gold_events(read(K.SILVER, "match_events"), chunk_rows), K.GOLD, "match_events",
+            partition_by=events_partition_by, cluster_by=GOLD_CLUSTER["match_events"])
+    events = read(K.GOLD, "match_events") if "match_events" in wanted else None
     chain = (
         ("batting_stats_per_match", lambda: batting.batting_per_match(events, meta)),
         ("batting_stats_per_series", lambda: batting.batting_per_series(read(K.GOLD, "batting_stats_per_match"))),
@@ -152,9 +170,11 @@ def build_gold(spark: SparkSession, lake: Lake, *, chunk_rows: int | None = None
         ("bowling_stats_overall", lambda: bowling.bowling_overall(read(K.GOLD, "bowling_stats_per_series"))),
         ("match_summary", lambda: summary.match_summary(meta)),
         ("player_team_scd2", lambda: spans.player_team_scd2(
-            spans.player_team_spans(spans.appearances(events, players), meta))),
+            spans.player_team_spans(spans.appearances(events, read(K.SILVER, "match_players")), meta))),
     )
     for name, build in chain:
+        if name not in wanted:
+            continue
         paths[name] = lake.overwrite(build().withColumn("gold_load_timestamp", F.current_timestamp()),
                                      K.GOLD, name, cluster_by=GOLD_CLUSTER[name])
     return paths
@@ -177,6 +197,12 @@ def run_all(spark: SparkSession, settings, zones: DataFrame, *, watermark: str |
         paths = {name: lake.table(K.GOLD, name) for name in GOLD_CLUSTER}
     else:
         paths = build_gold(spark, lake, chunk_rows=chunk_rows)
+    gold_counts = gold_quality(spark, lake)
+    rows = [row for layer, queries in ((K.BRONZE, bronze), (K.SILVER, silver_runs)) for table, q in queries.items()
+            for row in quality_log.stream_rows(q, f"{layer}_{_RULE_SET[table]}", settings.run_id)]
+    rows += [(settings.run_id, "gold_events", None, rule, gold_counts["total_rows"], failed)
+             for rule, failed in gold_counts.items() if rule != "total_rows"]
+    quality_log.record(spark, lake, rows)
     paths["quality"] = {**quality_summary(bronze, K.BRONZE), **quality_summary(silver_runs, K.SILVER),
-                        "gold_events": gold_quality(spark, lake)}
+                        "gold_events": gold_counts}
     return paths

@@ -54,18 +54,28 @@ def append(df: DataFrame, path: str | None, checkpoint: str, *, partition_by: Se
     return query
 
 
-def observed_metrics(query: StreamingQuery) -> list[dict]:
-    """Observed metrics (e.g. quality counts) of every micro-batch of the last run."""
+def observed_batches(query: StreamingQuery) -> list[tuple[int, dict]]:
+    """(micro-batch, observed metrics) of the last run, for micro-batches that observed any."""
     out = []
     progress = getattr(query, _SEEN, None)
     batches = [progress[k] for k in sorted(progress)] if progress else query.recentProgress
     for p in batches:
         metrics = p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)
         if metrics:
-            out.append(dict(metrics))
+            out.append((_batch_id(p), dict(metrics)))
     return out
 
 
+def observed_metrics(query: StreamingQuery) -> list[dict]:
+    """Observed metrics (e.g. quality counts) of every micro-batch of the last run."""
+    return [metrics for _, metrics in observed_batches(query)]
+
+
+def _counts(row) -> dict[str, int]:
+    values = row.asDict() if hasattr(row, "asDict") else dict(row)
+    return {k: v or 0 for k, v in values.items()}
+
+
 def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
     """Sum of one observed metric set over all micro-batches of the last run."""
     totals: dict[str, int] = {}
@@ -73,7 +83,6 @@ def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
         row = batch.get(name)
         if row is None:
             continue
-        values = row.asDict() if hasattr(row, "asDict") else dict(row)
-        for k, v in values.items():
-            totals[k] = totals.get(k, 0) + (v or 0)
+        for k, v in _counts(row).items():
+            totals[k] = totals.get(k, 0) + v
     return totals
