@@ -21,7 +21,7 @@ from pitchlake.operators import batting, bowling, innings, lookups, quality, sil
 from pitchlake.session import fresh_dir
 from pitchlake.sources import dirty, files, proxies, tables
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming import incremental, medallion, quality_log, state
+from pitchlake.streaming import incremental, medallion, quality_log, repair, state
 from pitchlake.streaming.runner import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -479,6 +479,73 @@ def gold_published_rebuild(spark, sf_dir):
     return held.unionByName(now)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Silver deliveries and metadata as snapshots bucketed by match."""
+    f, root, name = _feeds(spark, sf_dir), fresh_dir(spark, "bucketed"), _database(spark)
+    return tuple(tables.write_bucketed(df, f"{name}.{t}", f"{root}/{t}", 16) for t, df in
+                 (("match_events", _events(f)), ("match_metadata", _metadata(f))))
+
+
+@query
+def bucketed_batting_per_match(spark, sf_dir):
+    """Batting per match from bucketed snapshots: the deliveries are not exchanged again."""
+    return batting.batting_per_match(*_bucketed(spark, sf_dir))
+
+
+@query
+def bucketed_bowling_per_match(spark, sf_dir):
+    """Bowling per match from bucketed snapshots."""
+    return bowling.bowling_per_match(*_bucketed(spark, sf_dir))
+
+
+@query
+def bucketed_innings_progress(spark, sf_dir):
+    """Running scores from a bucketed snapshot."""
+    return innings.innings_progress(_bucketed(spark, sf_dir)[0]).select(
+        "matchid", "match_ball_number", "team", "super_over_team", "over", "over_ball_number", "runs",
+        "dismissal_method", "innings_score", "wickets_lost")
+
+
+@query
+def ingest_redelivered(spark, sf_dir):
+    """Deliveries of which every file comes again under another name, in a second run: its content is known."""
+    d = _feeds(spark, sf_dir)["deliveries"]
+    lake, source = Lake(fresh_dir(spark, "lake")), fresh_dir(spark, "feed-again")
+    for run in ("first", "second"):
+        files.write_feed(d, source, "csv", mode="append", sort_by=("match_ball_number",))
+        stream = files.events(spark, source, file_name=_STAGED, run_id=run, skip_copies=True)
+        append(stream, lake.table("bronze", "match_events"), lake.checkpoint("bronze", "match_events"))
+    return lake.read(spark, "bronze", "match_events").select("Batchid", *schemas.BRONZE_EVENTS_COLUMNS)
+
+
+def _late_lineups(spark: SparkSession, sf_dir: str) -> Lake:
+    """Silver tables of which a third of the matches got their line-ups a run too late, repaired."""
+    f, lake = _feeds(spark, sf_dir), Lake(fresh_dir(spark, "lake"))
+    roots = _stage_feeds(spark, sf_dir, ("deliveries", "metadata"))
+    roots = {_BRONZE_OF_FEED[k]: v for k, v in roots.items()} | {"match_players": fresh_dir(spark, "feed-late")}
+    for part in ("matchid % 3 <> 1", "matchid % 3 = 1"):
+        files.write_feed(f["players"].where(part), roots["match_players"], "csv", mode="append")
+        medallion.run_bronze(spark, roots, lake, run_id="fixture", file_names=dict.fromkeys(medallion.BRONZE_TABLES, _STAGED))
+        medallion.run_silver(spark, lake, proxies.zones(spark))
+        repair.repair(spark, lake, proxies.zones(spark), buckets=16)
+    return lake
+
+
+@query
+def silver_events_repaired(spark, sf_dir):
+    """Silver deliveries after the repair of names that came late."""
+    lake = _late_lineups(spark, sf_dir)
+    return repair.current(spark, lake, "silver", "match_events").select(*_without_audit(schemas.SILVER_EVENTS_COLUMNS))
+
+
+@query
+def gold_batting_repaired(spark, sf_dir):
+    """Career batting from repaired silver tables."""
+    lake = _late_lineups(spark, sf_dir)
+    medallion.build_gold(spark, lake, tables=("batting_stats_overall",), repaired=True)
+    return lake.read(spark, "gold", "batting_stats_overall").drop("gold_load_timestamp")
+
+
 @query
 def dq_history_two_runs(spark, sf_dir):
     """Violations of the line-up rules as kept for two runs."""

@@ -763,6 +763,7 @@ def oracle_sql() -> dict[str, str]:
             true AS has_comment FROM px_deliveries GROUP BY matchid""",
         "gold_published_rebuild": batting + """SELECT reader, matchid, batsman, total_runs FROM batting_match,
             (VALUES ('holding'), ('next')) AS v(reader) WHERE reader = 'next' OR matchid % 2 = 0""",
+        "ingest_redelivered": _base() + f"SELECT 'first' AS Batchid, {', '.join(schemas.BRONZE_EVENTS_COLUMNS)} FROM px_deliveries",
         "gold_audit_times": _base() + "SELECT matchid, count(*) AS n_rows, count(*) AS n_ordered FROM px_deliveries GROUP BY matchid",
         "silver_players_stream": _base() + f"SELECT DISTINCT 'fixture' AS Batchid, {_PLAYER_COLS} FROM px_players",
         "silver_metadata_stream": meta_only + f"SELECT {_SILVER_META_COLS} FROM px_silver_metadata",
@@ -796,7 +797,9 @@ def oracle_sql() -> dict[str, str]:
         "gold_batting_stats_overall": "batting_overall", "gold_bowling_stats_per_match": "bowling_per_match",
         "gold_bowling_stats_per_series": "bowling_per_series", "gold_bowling_stats_overall": "bowling_overall",
         "gold_match_summary": "match_summary", "gold_player_team_scd2": "player_team_scd2",
-        "gold_refresh_two_runs": "batting_overall",
+        "gold_refresh_two_runs": "batting_overall", "gold_batting_repaired": "batting_overall",
+        "silver_events_repaired": "silver_events_stream", "bucketed_batting_per_match": "batting_per_match",
+        "bucketed_bowling_per_match": "bowling_per_match", "bucketed_innings_progress": "innings_progress",
     }.items():
         sql[table] = sql[same_as]
     return sql

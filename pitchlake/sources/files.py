@@ -116,15 +116,25 @@ def by_header(files_: DataFrame, schema: T.StructType, escape: str | None = None
     )
 
 
-def _csv_files(spark: SparkSession, root: str, streaming: bool, file_name: str, max_files: int | None, archive_dir: str | None) -> DataFrame:
+def _csv_files(spark: SparkSession, root: str, streaming: bool, file_name: str, max_files: int | None, archive_dir: str | None,
+               skip_copies: bool = False) -> DataFrame:
+    """(value, path) of CSV files; with ``skip_copies`` the first of a match's files of equal content only.
+
+    On a stream the digests of all files are kept in its state, one row a file, so content that
+    is delivered again under another name, in the same run or a later one, adds nothing.
+    """
     raw = (_reader(spark, streaming, max_files, archive_dir).schema("value string").option("wholetext", True)
            .option("pathGlobFilter", file_name).format("text").load(root))
-    return raw.select("value", F.col("_metadata.file_path").alias("path"))
+    raw = raw.select("value", F.col("_metadata.file_path").alias("path"))
+    if skip_copies:
+        keyed = raw.withColumns({"match": matchid_of(F.col("path")), "digest": F.sha2("value", 256)})
+        raw = keyed.dropDuplicates(["match", "digest"]).select("value", "path")
+    return raw
 
 
 def _csv(spark: SparkSession, root: str, schema: T.StructType, columns: tuple[str, ...], run_id: str, streaming: bool, file_name: str,
-         max_files: int | None, archive_dir: str | None, escape: str | None, rescued: bool) -> DataFrame:
-    rows = by_header(_csv_files(spark, root, streaming, file_name, max_files, archive_dir), schema, escape)
+         max_files: int | None, archive_dir: str | None, escape: str | None, rescued: bool, skip_copies: bool) -> DataFrame:
+    rows = by_header(_csv_files(spark, root, streaming, file_name, max_files, archive_dir, skip_copies), schema, escape)
     return rows.select(F.lit(run_id).alias("Batchid"), *columns, "source_file", F.current_timestamp().alias("load_timestamp"),
                        *(["rescued"] if rescued else []))
 
@@ -145,9 +155,9 @@ def headers(spark: SparkSession, root: str, feed: str, *, streaming: bool = True
 
 def events(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.EVENTS_FILE,
            run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None,
-           escape: str | None = None, rescued: bool = False) -> DataFrame:
+           escape: str | None = None, rescued: bool = False, skip_copies: bool = False) -> DataFrame:
     return _csv(spark, root, schemas.EVENTS_FILE_SCHEMA, schemas.BRONZE_EVENTS_COLUMNS, run_id, streaming,
-                file_name, max_files, archive_dir, escape, rescued)
+                file_name, max_files, archive_dir, escape, rescued, skip_copies)
 
 
 def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.METADATA_FILE,
@@ -161,18 +171,21 @@ def metadata(spark: SparkSession, root: str, *, streaming: bool = True, file_nam
 
 def players(spark: SparkSession, root: str, *, streaming: bool = True, file_name: str = K.PLAYERS_FILE,
             run_id: str = K.DEFAULT_RUN_ID, max_files: int | None = None, archive_dir: str | None = None,
-           escape: str | None = None, rescued: bool = False) -> DataFrame:
+           escape: str | None = None, rescued: bool = False, skip_copies: bool = False) -> DataFrame:
     return _csv(spark, root, schemas.PLAYERS_FILE_SCHEMA, schemas.BRONZE_PLAYERS_COLUMNS, run_id, streaming,
-                file_name, max_files, archive_dir, escape, rescued)
+                file_name, max_files, archive_dir, escape, rescued, skip_copies)
 
 
-def write_feed(df: DataFrame, root: str, fmt: str, mode: str = "overwrite") -> None:
+def write_feed(df: DataFrame, root: str, fmt: str, mode: str = "overwrite", sort_by: tuple[str, ...] = ()) -> None:
     """Writes a feed in the ``matchid=<n>/`` layout, one file per match directory.
 
     Used to stage fixture feeds; files are named by Spark (``part-*``), so read
     them back with ``file_name="part-*"``.
     """
-    writer = df.repartition("matchid").write.mode(mode).partitionBy("matchid")
+    df = df.repartition("matchid")
+    if sort_by:  # the same rows then give the same file
+        df = df.sortWithinPartitions("matchid", *sort_by)
+    writer = df.write.mode(mode).partitionBy("matchid")
     if fmt == "csv":
         writer.option("header", True).csv(root)
     elif fmt == "json":

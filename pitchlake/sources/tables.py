@@ -114,6 +114,17 @@ def publish(df: DataFrame, name: str, root: str, *, partition_by: Sequence[str]
     return before
 
 
+def write_bucketed(df: DataFrame, name: str, location: str, buckets: int, key: str = "matchid") -> DataFrame:
+    """A snapshot table in ``buckets`` files by the hash of ``key``, sorted by it, as read back.
+
+    Joins, aggregates and windows whose keys include ``key`` then run on such tables without an exchange; the one
+    shuffle is that of this write. Streams cannot write buckets, so a snapshot is taken of what they appended.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", location)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def retire(spark: SparkSession, location: str) -> None:
     """Remove a location that ``publish`` returned, once no reader needs it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)

@@ -19,7 +19,7 @@ from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, lookups, quality, silver, spans, summary
 from pitchlake.sources import files
 from pitchlake.sources.layout import GOLD_CLUSTER, Lake
-from pitchlake.streaming import incremental, quality_log
+from pitchlake.streaming import incremental, quality_log, repair
 from pitchlake.streaming.runner import append, observed_totals
 
 BRONZE_TABLES = ("match_events", "match_metadata", "match_players")
@@ -146,14 +146,16 @@ def _wanted(tables: Sequence[str] | None) -> set[str]:
 
 
 def build_gold(spark: SparkSession, lake: Lake, *, chunk_rows: int | None = None,
-               events_partition_by: Sequence[str] | None = None, tables: Sequence[str] | None = None) -> dict[str, str]:
+               events_partition_by: Sequence[str] | None = None, tables: Sequence[str] | None = None,
+               repaired: bool = False) -> dict[str, str]:
     """Recompute the gold tables, or the given ones and what they are computed from, from the silver snapshots.
 
     ``chunk_rows`` bounds the window partitions of the running sums
     (``innings.innings_progress``); set it where an innings key can be hot.
     ``events_partition_by`` partitions the match events table, e.g. by ``matchid``.
+    ``repaired`` takes the silver rows that ``streaming.repair`` derived again in place of theirs.
     """
-    read = lambda layer, name: lake.read(spark, layer, name)
+    read = (lambda layer, name: repair.current(spark, lake, layer, name)) if repaired else (lambda layer, name: lake.read(spark, layer, name))
     wanted = _wanted(tables)
     meta, paths = read(K.SILVER, "match_metadata"), {}
     if "match_events" in wanted:

@@ -11,7 +11,7 @@ from pitchlake import schemas
 from pitchlake.operators import quality, silver
 from pitchlake.sources import files, proxies
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming import medallion
+from pitchlake.streaming import medallion, quality_log
 from pitchlake.streaming.runner import append, observed_metrics
 
 EVENT_HEADER = ["match_ball_number", "ball", "event", "commentary", "bowler", "batsman", "innings", "is_super_over"]
@@ -122,6 +122,9 @@ def test_run_all_from_conf(spark, tmp_path):
         for k in ("pitchlake.source_path", "pitchlake.lake_root", "pitchlake.run_id"):
             spark.conf.unset(k)
     dq = paths["quality"]
+    log = quality_log.history(spark, Lake(str(tmp_path / "lake"))).collect()
+    assert {r.run_id for r in log} == {"conf-run"} and len({r.dataset for r in log}) == 7
+    assert all(dq[r.dataset][r.rule] == r.failed_rows and dq[r.dataset]["total_rows"] == r.total_rows for r in log)
     assert dq["gold_events"] == {"total_rows": 6, "innings_score_non_negative": 0, "wickets_range": 0}
     assert dq["bronze_events"]["total_rows"] == 6 and dq["bronze_events"]["matchid_not_null"] == 0
     assert dq["silver_events"]["total_rows"] == 6 and dq["silver_metadata"]["match_date_present"] == 0
