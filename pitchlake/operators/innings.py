@@ -32,7 +32,7 @@ def innings_progress(events: DataFrame, chunk_rows: int | None = None) -> DataFr
     """Adds ``innings_score`` and ``wickets_lost`` running totals to each delivery.
 
     With ``chunk_rows`` no window partition holds more than about that many rows, at the cost of
-    writing the ranged deliveries once to the scratch folder.
+    writing the deliveries, then their ranges, to the scratch folder.
     """
     if chunk_rows:
         return _chunked(events, chunk_rows)
@@ -47,12 +47,15 @@ def innings_progress(events: DataFrame, chunk_rows: int | None = None) -> DataFr
 def chunks(events: DataFrame, chunk_rows: int) -> DataFrame:
     """``events`` with ``_chunk``, the number of a range of about ``chunk_rows`` rows in (innings, ball) order.
 
-    The ranges are written and read back, so each row keeps its number whatever is recomputed later.
+    The rows are written before they are counted and sampled for the ranges, so what makes them runs once, and the
+    ranges are written too, so each row keeps its number whatever is recomputed later.
     """
-    n = max(1, -(-events.count() // chunk_rows))
-    tied = events.withColumn("_tie", F.monotonically_increasing_id())
+    spark = events.sparkSession
+    rows, path = fresh_dir(spark, "innings-rows"), fresh_dir(spark, "innings-chunks")
+    events.withColumn("_tie", F.monotonically_increasing_id()).write.parquet(rows)
+    tied = spark.read.parquet(rows)
+    n = max(1, -(-tied.count() // chunk_rows))  # from the files' footers
     ranged = tied.repartitionByRange(n, *INNINGS_KEYS, *ORDER, "_tie").withColumn("_chunk", F.spark_partition_id())
-    spark, path = events.sparkSession, fresh_dir(events.sparkSession, "innings-chunks")
     ranged.write.parquet(path)
     return spark.read.schema(ranged.schema).parquet(path)
 

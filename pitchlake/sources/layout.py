@@ -37,6 +37,10 @@ class Lake:
     def checkpoint(self, layer: str, name: str) -> str:
         return os.path.join(self.root, "_checkpoints", layer, name)
 
+    def exists(self, spark: SparkSession, layer: str, name: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.table(layer, name))
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         """Full snapshot of a table. Built anew on each call, so files added by a
         later run are seen (a DataFrame's file listing is fixed when created).

@@ -24,8 +24,7 @@ LAYER, LOG = "repaired", "matches"
 
 def _repaired(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:
     """A repaired table, None while there is none."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(lake.table(LAYER, name))
-    return lake.read(spark, LAYER, name) if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root) else None
+    return lake.read(spark, LAYER, name) if lake.exists(spark, LAYER, name) else None
 
 
 def late_matches(spark: SparkSession, lake: Lake) -> DataFrame:

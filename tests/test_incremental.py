@@ -1,12 +1,13 @@
 """Incremental gold refresh equals a full recomputation after each run."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pitchlake.operators import batting, bowling, innings, silver, spans, summary
 from pitchlake.sources import files, proxies
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming import medallion
+from pitchlake.streaming import incremental, medallion
 from pitchlake.streaming.incremental import BUCKET, bucket_of, refresh_gold
 
 FMT = {"deliveries": "csv", "metadata": "json", "players": "csv"}
@@ -64,3 +65,38 @@ def test_refresh_matches_full_build(spark, tmp_path):
     changed |= {r[0] for r in spark.createDataFrame([(1002,)], "matchid long").select(
         bucket_of(F.col("matchid"), 16)).collect()}
     assert set().union(*map(set, touched_runs[1])) == changed
+
+
+def test_only_touched_groups_are_rebuilt(spark, tmp_path):
+    """Rows of other groups keep their load time; a group that loses its matches disappears; a retry repairs a failed refresh."""
+    f = proxies.feeds(spark, SF_SMALL)
+    lake = Lake(str(tmp_path / "lake"))
+    ev = silver.silver_events(silver.as_bronze(f["deliveries"]), f["players"])
+    meta = silver.silver_metadata(silver.as_bronze(f["metadata"]), f["players"], f["zones"])
+    late = meta.where("matchid <> 1002")  # one match without metadata: series and season are NULL
+    for name, df in (("match_events", ev), ("match_players", silver.silver_players(silver.as_bronze(f["players"]))), ("match_metadata", late)):
+        lake.overwrite(df, "silver", name)
+    buckets = [r[0] for r in ev.select(bucket_of(F.col("matchid"), 16)).distinct().collect()]
+    incremental.refresh_buckets(spark, lake, buckets, 16)
+    before = lake.read(spark, "gold", "batting_stats_per_series")
+    times = {(r.series, r.season, r.batsman): r.gold_load_timestamp for r in before.collect()}
+    assert any(series is None for series, _, _ in times)
+
+    lake.overwrite(meta, "silver", "match_metadata")
+    one = [r[0] for r in spark.createDataFrame([(1002,)], "matchid long").select(bucket_of(F.col("matchid"), 16)).collect()]
+    # the first attempt fails after the per-match tables were rewritten
+    real = incremental._refresh_groups
+    try:
+        incremental._refresh_groups = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+        with pytest.raises(RuntimeError):
+            incremental.refresh_buckets(spark, lake, one, 16, batch="b1")
+    finally:
+        incremental._refresh_groups = real
+    incremental.refresh_buckets(spark, lake, one, 16, batch="b1")
+    for name, expected in _expected(spark, lake).items():
+        assert _same(lake.read(spark, "gold", name), expected), name
+    after = {(r.series, r.season, r.batsman): r.gold_load_timestamp for r in lake.read(spark, "gold", "batting_stats_per_series").collect()}
+    assert not any(series is None for series, _, _ in after)
+    touched = {(r.series, r.season, r.batsman) for r in lake.read(spark, "gold", "batting_stats_per_match").where("matchid = 1002").collect()}
+    assert touched and all((after[k] > times[k]) == (k in touched) for k in after if k in times)
+    assert any(k not in touched for k in after)
