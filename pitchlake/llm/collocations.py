@@ -151,15 +151,20 @@ def _held(h: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _count_pairs(batches: Iterable[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
-    """(h, f) of the pairs of frequent words in a block, by hash."""
+    """(h, f) of the pairs of frequent words in a batch, by hash: a pair leaves a task once a batch."""
     flags = shared.value
     for batch in batches:
+        found = []
         for w, _ in _blocks(batch):
             at = np.arange(len(w))
             frequent = _held(w.spans(at, at + 1), flags, bits)
             at = np.flatnonzero(frequent[:-1] & frequent[1:] & (w.piece[:-1] == w.piece[1:]))
-            h, f = np.unique(w.spans(at, at + 2), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(f, pa.int64())], names=["h", "f"])
+            found.append(w.spans(at, at + 2))
+        h, f = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
+        del found
+        for k in range(0, len(h), 100_000):
+            part = slice(k, k + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(f[part], pa.int64())], names=["h", "f"])
 
 
 def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int) -> Iterator[pa.RecordBatch]:
@@ -290,7 +295,9 @@ def phrase_counts(docs: DataFrame, least: int = 30, depth: int = DEPTH, lang_col
     totals = cut(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.where(F.col("f") >= least)
     one = sc.broadcast(_bloom(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h long"), filter_bits))
-    pairs = src.mapInArrow(partial(_count_pairs, shared=one, bits=filter_bits), "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    # counted by batch already: most pairs are rare, so another count before the shuffle would merge next to nothing
+    pairs = src.mapInArrow(partial(_count_pairs, shared=one, bits=filter_bits), "h long, f long").repartition("h")
+    pairs = pairs.groupBy("h").agg(F.sum("f").alias("f"))
     shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
     one.unpersist()
     suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes")
