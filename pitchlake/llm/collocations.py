@@ -37,11 +37,17 @@ GROUP_ROWS = 1 << 19
 EXTEND_ROWS, MAX_EXTENDED = 1 << 14, 100_000
 #: Bits of a Bloom filter.
 FILTER_BITS = 1 << 26
+#: Bits that a pair's hash is shortened by: collisions only add to counts, so no frequent pair is missed, and rows
+#: of 40 bits take less of the shuffle.
+SHORTER = np.uint64(24)
 #: Parts that a language's phrases are ranked in before its final ranking.
 SALT = 16
-#: Bytes of text whose equal suffixes are counted together before they leave a task.
+#: Bytes of text that are worked on at once.
 BLOCK = 1 << 18
 
+#: Suffix rows that a task holds before it writes them.
+FLUSH = 1_500_000
+
 _BREAK = np.zeros(256, np.int64)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
 _WORD = _BREAK == 0
@@ -159,7 +165,7 @@ def _count_pairs(batches: Iterable[pa.RecordBatch], shared, bits: int) -> Iterat
             at = np.arange(len(w))
             frequent = _held(w.spans(at, at + 1), flags, bits)
             at = np.flatnonzero(frequent[:-1] & frequent[1:] & (w.piece[:-1] == w.piece[1:]))
-            found.append(w.spans(at, at + 2))
+            found.append(w.spans(at, at + 2) >> SHORTER)
         h, f = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
         del found
         for k in range(0, len(h), 100_000):
@@ -167,15 +173,28 @@ def _count_pairs(batches: Iterable[pa.RecordBatch], shared, bits: int) -> Iterat
             yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(f[part], pa.int64())], names=["h", "f"])
 
 
+def _merged(held: list[tuple]) -> pa.RecordBatch:
+    """(lang, suffix, times) of the (hash, lang, suffix, times) of several blocks, equal suffixes once."""
+    h, times = (np.concatenate([x[i] for x in held]) for i in (0, 3))
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    total = np.bincount(which, times).astype(np.int64)  # exact: far below 2**53
+    lang, suffix = (pa.concat_arrays([x[i] for x in held]).take(pa.array(first)) for i in (1, 2))
+    return pa.RecordBatch.from_arrays([lang, suffix.cast(pa.string()), pa.array(total)], names=["lang", "suffix", "times"])
+
+
 def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int) -> Iterator[pa.RecordBatch]:
-    """(lang, suffix, times): distinct suffixes of a block that begin with a frequent pair, cut off at ``depth`` or the first other pair."""
+    """(lang, suffix, times): suffixes that begin with a frequent pair, cut off at ``depth`` or the first other pair.
+
+    Equal suffixes of many blocks are counted together, FLUSH rows at a time.
+    """
     flags = shared.value
+    held: list[tuple] = []
     for batch in batches:
         for w, lang in _blocks(batch):
             n = len(w)
             at = np.flatnonzero(w.piece[:-1] == w.piece[1:])
             pair = np.zeros(n, bool)  # words i and i + 1 stand in one piece and are frequent together
-            pair[at] = _held(w.spans(at, at + 2), flags, bits)
+            pair[at] = _held(w.spans(at, at + 2) >> SHORTER, flags, bits)
             size = np.ones(n, np.int64)
             goes_on = np.ones(n, bool)
             for k in range(1, depth):
@@ -183,13 +202,14 @@ def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int)
                 goes_on[max(n - k + 1, 0) :] = False
                 size += goes_on
             at = np.flatnonzero(size >= 2)
-            h = w.spans(at, at + size[at])
-            _, first, times = np.unique(h, return_index=True, return_counts=True)
+            h, first, times = np.unique(w.spans(at, at + size[at]), return_index=True, return_counts=True)
             at = at[first]
-            yield pa.RecordBatch.from_arrays(
-                [lang.take(pa.array(at)), w.strings(at, at + size[at]).cast(pa.string()), pa.array(times, pa.int64())],
-                names=["lang", "suffix", "times"],
-            )
+            held.append((h, lang.take(pa.array(at)), w.strings(at, at + size[at]), times))
+            if sum(len(x[0]) for x in held) > FLUSH:
+                yield _merged(held)
+                held = []
+    if held:
+        yield _merged(held)
 
 
 def _prefix(depth: int):

@@ -147,6 +147,8 @@ def test_collocations_equal_brute_force(spark, phrase_docs, monkeypatch, group_r
     from pitchlake.llm import collocations as c
 
     monkeypatch.setattr(c, "EXTEND_ROWS", extend)
+    monkeypatch.setattr(c, "FLUSH", 10 * group_rows)
+    monkeypatch.setattr(c, "BLOCK", max(group_rows // 2, 100))
     df = spark.createDataFrame([(i, *d) for i, d in enumerate(phrase_docs)], "doc_id long, lang string, text string").repartition(4)
     got = collocations(clashing(df), least=30, top=25, group_rows=group_rows, filter_bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
