@@ -45,8 +45,8 @@ SALT = 16
 #: Bytes of text that are worked on at once.
 BLOCK = 1 << 18
 
-#: Suffix rows that a task holds before it writes them.
-FLUSH = 1_500_000
+#: Suffix rows and pairs that a task holds before they leave it (under 100 MB while they are merged).
+FLUSH, FLUSH_PAIRS = 1 << 19, 1 << 20
 
 _BREAK = np.zeros(256, np.int64)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
@@ -157,17 +157,24 @@ def _held(h: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _count_pairs(batches: Iterable[pa.RecordBatch], shared, bits: int) -> Iterator[pa.RecordBatch]:
-    """(h, f) of the pairs of frequent words in a batch, by hash: a pair leaves a task once a batch."""
+    """(h, f) of the pairs of frequent words, by hash: those of many blocks are counted together, FLUSH_PAIRS at a time."""
     flags = shared.value
+    held: list[np.ndarray] = []
     for batch in batches:
-        found = []
         for w, _ in _blocks(batch):
             at = np.arange(len(w))
             frequent = _held(w.spans(at, at + 1), flags, bits)
             at = np.flatnonzero(frequent[:-1] & frequent[1:] & (w.piece[:-1] == w.piece[1:]))
-            found.append(w.spans(at, at + 2) >> SHORTER)
-        h, f = np.unique(np.concatenate(found) if found else np.empty(0, np.uint64), return_counts=True)
-        del found
+            held.append(w.spans(at, at + 2) >> SHORTER)
+            if sum(map(len, held)) > FLUSH_PAIRS:
+                yield from _counted(held)
+                held = []
+    yield from _counted(held)
+
+
+def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if held:
+        h, f = np.unique(np.concatenate(held), return_counts=True)
         for k in range(0, len(h), 100_000):
             part = slice(k, k + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(f[part], pa.int64())], names=["h", "f"])
@@ -227,7 +234,9 @@ def _extended(suffixes: DataFrame, words: DataFrame, depth: int) -> DataFrame:
         if k == 1:
             counted = words.select("lang", F.rtrim("phrase").alias("prefix"), "f")
         else:
-            counted = out.where(F.col("depth") == k).groupBy("lang", _prefix(k).alias("prefix")).agg(F.count("*").alias("f"))
+            # rows that are not extended so far fall into one group without a prefix, of count 0
+            here = F.col("depth") == k
+            counted = out.groupBy("lang", F.when(here, _prefix(k)).alias("prefix")).agg(F.count_if(here).alias("f"))
         # fewer than MAX_EXTENDED prefixes can hold more than 1 / MAX_EXTENDED of all words or suffixes each
         big = cut(counted.where(F.col("f") > most).select("lang", "prefix", F.lit(k + 1).alias("next")), "extended")
         if big.isEmpty():
@@ -315,12 +324,12 @@ def phrase_counts(docs: DataFrame, least: int = 30, depth: int = DEPTH, lang_col
     totals = cut(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.where(F.col("f") >= least)
     one = sc.broadcast(_bloom(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h long"), filter_bits))
-    # counted by batch already: most pairs are rare, so another count before the shuffle would merge next to nothing
+    # counted by the million already: most pairs are rare, so another count before the shuffle would merge next to nothing
     pairs = src.mapInArrow(partial(_count_pairs, shared=one, bits=filter_bits), "h long, f long").repartition("h")
     pairs = pairs.groupBy("h").agg(F.sum("f").alias("f"))
     shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
     one.unpersist()
-    suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes")
+    suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes", codec="zstd")
     routed = _extended(suffixes, words, depth)
     groups = max(1, -(-suffixes.count() // group_rows))
     dealt = routed.repartition(groups, "lang", F.expr("substring_index(suffix, ' ', depth)"))

@@ -11,12 +11,15 @@ from pitchlake.session import fresh_dir
 BROADCAST_ROWS = 400_000
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` under the shared folder and read it back: an executor lost later costs no recomputation."""
+def cut(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back: an executor lost later costs no recomputation.
+
+    ``codec`` compresses the files otherwise than the session does.
+    """
     spark = df.sparkSession
     path = fresh_dir(spark, f"llm-{label}")
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(schema).parquet(path)
 
 
