@@ -115,9 +115,9 @@ def resolve_delivery_names(parsed: DataFrame, players: DataFrame | None = None,
     """Team, batsman and bowler resolved against the match's line-up lists.
 
     Left join on matchid: a delivery whose match has no line-up keeps its short
-    names. The list side is one row per match: broadcast while its row count is
-    checked to be small, otherwise a sort-merge join on matchid, which also
-    clusters the deliveries for the per-match aggregates downstream.
+    names. The list side is one row per match; the planner broadcasts it or merges on
+    matchid by its size, which then also clusters the deliveries for the
+    per-match aggregates downstream.
     """
     if lists is None:
         lists = lookups.match_name_lists(players)
