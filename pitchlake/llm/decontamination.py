@@ -7,8 +7,10 @@ contains, and from its state which items contain it.
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -20,28 +22,17 @@ from pitchlake.llm import tokens
 from pitchlake.llm.scratch import cut
 
 #: Words of items that one automaton may hold; larger benchmarks are dealt to several, used one after another.
-MAX_WORDS = 2_000_000
+#: While one is built the driver holds about 600 bytes a word; what is broadcast takes under 100 bytes a word.
+MAX_WORDS = 500_000
 
 
-@dataclass
-class Automaton:
-    """States as parallel lists; state 0 is the root, word numbers index ``vocabulary``."""
-
-    window: int
-    vocabulary: np.ndarray
-    go: list[dict[int, int]] = field(default_factory=lambda: [{}])
-    link: list[int] = field(default_factory=lambda: [-1])
-    size: list[int] = field(default_factory=lambda: [0])
-    #: (state, length) -> items whose window of that length is the string of the state.
-    items: dict[tuple[int, int], list] = field(default_factory=dict)
-    #: Lengths of windows: ``window``, and those of whole items that are shorter.
-    lengths: list[int] = field(default_factory=list)
+class _Builder:
+    """States while items are added, as parallel lists; state 0 is the root."""
 
-    def _new(self, size: int) -> int:
-        self.go.append({})
-        self.link.append(-1)
-        self.size.append(size)
-        return len(self.go) - 1
+    def __init__(self) -> None:
+        self.go: list[dict[int, int]] = [{}]
+        self.link = [-1]
+        self.size = [0]
 
     def add_item(self, words: list[int]) -> None:
         """Extend the automaton by one item."""
@@ -49,6 +40,12 @@ class Automaton:
         for w in words:
             last = self._extend(last, w)
 
+    def _new(self, size: int) -> int:
+        self.go.append({})
+        self.link.append(-1)
+        self.size.append(size)
+        return len(self.go) - 1
+
     def _clone(self, state: int, size: int) -> int:
         twin = self._new(size)
         self.go[twin] = dict(self.go[state])
@@ -86,40 +83,90 @@ class Automaton:
         self.link[after] = self.link[cur] = twin
         return cur
 
+
+@dataclass
+class Automaton:
+    """A finished automaton as flat, sorted arrays; word numbers index ``vocabulary``."""
+
+    vocabulary: np.ndarray
+    #: state * words + word of every transition, ascending, and the states they lead to.
+    moves: np.ndarray
+    to: np.ndarray
+    link: np.ndarray
+    size: np.ndarray
+    #: Lengths of windows, descending: the window, and those of whole items that are shorter.
+    lengths: list[int]
+    #: state * longest window + length - 1 of the strings that are windows, ascending; the items of the
+    #: k-th are ``owners[first[k]:first[k + 1]]``, numbers in ``names``.
+    windows: np.ndarray
+    first: np.ndarray
+    owners: np.ndarray
+    names: list[str]
+
     def step(self, state: int, length: int, w: int) -> tuple[int, int]:
         """State and longest match length after one more word."""
-        while state and w not in self.go[state]:
-            state = self.link[state]
-            length = self.size[state]
-        after = self.go[state].get(w)
-        return (after, length + 1) if after is not None else (0, 0)
+        n, moves = len(self.vocabulary), self.moves
+        while True:
+            key = state * n + w
+            at = bisect_left(moves, key)
+            if at < len(moves) and moves[at] == key:
+                return int(self.to[at]), length + 1
+            if not state:
+                return 0, 0
+            state = int(self.link[state])
+            length = int(self.size[state])
 
     def at_length(self, state: int, length: int) -> int:
         """The state of the last ``length`` words of a match that ends in ``state``."""
-        while self.size[self.link[state]] >= length:
-            state = self.link[state]
+        while (up := int(self.link[state])) >= 0 and self.size[up] >= length:
+            state = up
         return state
 
+    def owners_at(self, state: int, length: int) -> list[str]:
+        """Items with the window that is the last ``length`` words of a match that ends in ``state``."""
+        key = self.at_length(state, length) * self.lengths[0] + length - 1
+        at = bisect_left(self.windows, key)
+        if at == len(self.windows) or self.windows[at] != key:
+            return []
+        return [self.names[i] for i in self.owners[self.first[at] : self.first[at + 1]]]
+
 
-def build(items: list[tuple[object, list[int]]], window: int, vocabulary: np.ndarray) -> Automaton:
+def _flat(made: _Builder, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = max(1, len(vocabulary))
+    counts = np.fromiter(map(len, made.go), np.int64, len(made.go))
+    words = np.fromiter((w for g in made.go for w in g), np.int64, counts.sum())
+    to = np.fromiter((t for g in made.go for t in g.values()), np.int32, counts.sum())
+    moves = np.repeat(np.arange(len(made.go)), counts) * n + words
+    order = np.argsort(moves, kind="stable")
+    return moves[order], to[order]
+
+
+def build(items: list[tuple[str, list[int]]], window: int, vocabulary: np.ndarray) -> Automaton:
     """Automaton of (item id, word hashes) with the items of every window; hashes must be in ``vocabulary``."""
-    sam = Automaton(window, vocabulary)
+    made = _Builder()
     numbered = [(i, np.searchsorted(vocabulary, np.array(w, np.uint64)).tolist()) for i, w in items if w]
     for _, words in numbered:
-        sam.add_item(words)
-    lengths = set()
+        made.add_item(words)
+    lengths = sorted({min(window, len(words)) for _, words in numbered}, reverse=True)
+    none = np.empty(0, np.int64)
+    sam = Automaton(vocabulary, *_flat(made, vocabulary), np.array(made.link, np.int32), np.array(made.size, np.int32),
+                    lengths, none, none, none, [])
+    del made
+    number: dict[str, int] = {}
+    found = array("q"), array("q")
     for item, words in numbered:
         m = min(window, len(words))
-        lengths.add(m)
         state = length = 0
         for w in words:
             state, length = sam.step(state, length, w)
             if length >= m:
-                key = (sam.at_length(state, m), m)
-                known = sam.items.setdefault(key, [])
-                if item not in known[-1:]:
-                    known.append(item)
-    sam.lengths = sorted(lengths, reverse=True)
+                found[0].append(sam.at_length(state, m) * lengths[0] + m - 1)
+                found[1].append(number.setdefault(item, len(number)))
+    pairs = np.unique(np.stack([np.array(x, np.int64) for x in found], axis=1), axis=0)
+    sam.windows, first = np.unique(pairs[:, 0], return_index=True)
+    sam.first = np.append(first, len(pairs))
+    sam.owners = pairs[:, 1]
+    sam.names = list(number)
     return sam
 
 
@@ -153,7 +200,7 @@ def matches(sam: Automaton, h: np.ndarray, owner: np.ndarray) -> Iterator[tuple[
             if length >= least:
                 hit = 0
                 for m in sam.lengths:
-                    if length >= m and (found := sam.items.get((sam.at_length(state, m), m))):
+                    if length >= m and (found := sam.owners_at(state, m)):
                         hit = max(hit, m)
                         items.update(found)
                 if hit:
@@ -224,19 +271,20 @@ def _stream(batches: Iterator[pa.RecordBatch], shared, text: str) -> Iterator[pa
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _automata(items: DataFrame, item_col: str, text_col: str, window: int, max_words: int) -> list[Automaton]:
-    """One automaton a block of items of at most about ``max_words`` words."""
+def _blocks(items: DataFrame, item_col: str, text_col: str, max_words: int) -> tuple[DataFrame, int]:
+    """Written (item, words, block) rows and the number of blocks, each of at most about ``max_words`` words."""
     src = items.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     words = cut(src.where("item is not null").mapInArrow(_item_words, "item string, words array<long>"), "items")
     total = words.agg(F.sum(F.size("words"))).first()[0] or 0
     n = max(1, -(-total // max_words))
-    out = []
-    for k in range(n):
-        rows = words.where((F.size("words") > 0) & (F.pmod(F.xxhash64("item"), F.lit(n)) == k)).orderBy("item").collect()
-        coded = [(r[0], np.array(r[1], np.int64).view(np.uint64)) for r in rows]
-        vocabulary = np.unique(np.concatenate([w for _, w in coded])) if coded else np.empty(0, np.uint64)
-        out.append(build([(i, w.tolist()) for i, w in coded], window, vocabulary))
-    return out
+    return words.where(F.size("words") > 0).withColumn("block", F.pmod(F.xxhash64("item"), F.lit(n))), n
+
+
+def _automaton(words: DataFrame, block: int, window: int) -> Automaton:
+    rows = words.where(F.col("block") == block).orderBy("item").collect()
+    coded = [(r[0], np.array(r[1], np.int64).view(np.uint64)) for r in rows]
+    vocabulary = np.unique(np.concatenate([w for _, w in coded])) if coded else np.empty(0, np.uint64)
+    return build([(i, w.tolist()) for i, w in coded], window, vocabulary)
 
 
 def _merge(one: list[int], two: list[int]) -> list[int]:
@@ -252,18 +300,24 @@ def _merge(one: list[int], two: list[int]) -> list[int]:
 
 
 def _hits(src: DataFrame, items: DataFrame, item_col: str, item_text_col: str, window: int, max_words: int, text: str) -> DataFrame:
-    """Rows (id, text) through one automaton after another; ``text`` as in ``_stream``."""
+    """Rows (id, text) through one automaton after another; ``text`` as in ``_stream``.
+
+    An automaton is built, broadcast, used and let go before the next block is read, so that the driver and the
+    workers hold one at a time, whatever the size of the benchmark.
+    """
     sc = src.sparkSession.sparkContext
-    automata = _automata(items, item_col, item_text_col, window, max_words)
+    words, blocks = _blocks(items, item_col, item_text_col, max_words)
     fields = {f.name: f.dataType.simpleString() for f in src.schema.fields}
     rows = src
-    for k, sam in enumerate(automata):
-        last = k == len(automata) - 1
+    for k in range(blocks):
+        last = k == blocks - 1
         way = text if last else "keep"
         schema = ", ".join([f"id {fields['id']}"] + ["text string"] * (way != "drop") + [_HITS])
-        rows = rows.mapInArrow(partial(_stream, shared=sc.broadcast(sam), text=way), schema)
+        shared = sc.broadcast(_automaton(words, k, window))
+        rows = rows.mapInArrow(partial(_stream, shared=shared, text=way), schema)
         if not last:
-            rows = cut(rows, "hits")  # one automaton at a time in a worker
+            rows = cut(rows, "hits")
+            shared.destroy()
     return rows
 
 
@@ -277,8 +331,9 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     window is ``window`` consecutive words of an item; an item of fewer words, but not
     none, is one window.
 
-    The items are collected to build the automaton, in blocks of about ``max_words`` words; with
-    several blocks the rows pass through one automaton after another, and no window is lost.
+    The items are collected to build the automaton, one block of about ``max_words`` words at a time; with
+    several blocks the rows pass through one automaton after another, and no window is lost. An item is never
+    split, so one of more words makes a larger block.
 
     Edge cases: null texts have no words; null item ids are left out, repeated item ids count
     once; an empty benchmark hits nothing; null and repeated document ids keep their rows; an
