@@ -2,17 +2,18 @@
 
 Documents are cut into pieces no longer than the largest permitted length, dealt to shards of
 bounded size by a hash of their row, and packed shard by shard: longest piece first, each
-into the open bin with the least room that holds it. When none does, a bin opens with
-the capacity of least cost per token it can expect to hold. At the end every bin shrinks to
-the smallest permitted length that holds its contents.
+into the open bin with the least room that holds it. Which lengths may open is chosen jointly:
+the shard's pieces are packed once for every mix of permitted lengths and either way to open a
+bin, and the packing of least total cost stays. At the end every bin shrinks to the smallest
+permitted length that holds its contents.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from dataclasses import dataclass
+from itertools import combinations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,31 +37,56 @@ class Bins:
 SHARD = 5000
 
 
-def pack(sizes: list[int], bins: Bins) -> list[tuple[int, int, int]]:
-    """(bin, offset, final capacity) of each piece, given sizes in descending order, none above the largest length."""
-    rest = np.concatenate([np.cumsum(sizes[::-1])[::-1], [0]]).tolist() if sizes else [0]
+def _trial(sizes: list[int], bins: Bins, mix: tuple[int, ...], snug: bool) -> tuple[float, list[tuple[int, int]], list[int]]:
+    """(total cost, (bin, offset) of each piece, final capacity of each bin) if only the lengths ``mix`` may open.
+
+    A new bin takes the shortest length of the mix that holds its first piece (``snug``), else the length of
+    least cost per token that this piece and the shorter ones to come can fill.
+    """
+    rest = sum(sizes)
+    price = {c: bins.cost(c) for c in bins.lengths}
     room: list[tuple[int, int]] = []  # (free tokens, bin), ascending
     used: list[int] = []
-    capacity: list[int] = []
     place: list[tuple[int, int]] = []
-    for k, size in enumerate(sizes):
+    for size in sizes:
+        rest -= size
         at = bisect_left(room, (size, -1))
         if at < len(room):
             free, b = room.pop(at)
         else:
-            # joint choice: what a length costs per token that this piece and the shorter ones to come can fill
-            free = min(
-                (c for c in bins.lengths if c >= size),
-                key=lambda c: (bins.cost(c) / (size + min(c - size, rest[k + 1])), c),
-            )
+            fitting = mix[bisect_left(mix, size) :]
+            free = fitting[0] if snug else min(fitting, key=lambda c: (price[c] / (size + min(c - size, rest)), c))
             b = len(used)
             used.append(0)
-            capacity.append(free)
         place.append((b, used[b]))
         used[b] += size
         if free - size:
             insort(room, (free - size, b))
     final = [bins.lengths[bisect_left(bins.lengths, u)] for u in used]
+    return sum(price[c] for c in final), place, final
+
+
+def mixes(bins: Bins, longest: int) -> list[tuple[int, ...]]:
+    """Every set of permitted lengths whose largest holds a piece of ``longest`` tokens."""
+    n = len(bins.lengths)
+    return [
+        mix for k in range(1, n + 1) for mix in combinations(bins.lengths, k) if mix[-1] >= longest
+    ]
+
+
+def pack(sizes: list[int], bins: Bins) -> list[tuple[int, int, int]]:
+    """(bin, offset, final capacity) of each piece, given sizes in descending order, none above the largest length.
+
+    The packing of least total cost over all mixes of lengths and both ways to open a bin; equal costs go to
+    the mix of fewer lengths, then to that of shorter ones. The mixes of one length are among them, so no
+    single length packed the same way costs less.
+    """
+    if not sizes:
+        return []
+    _, place, final = min(
+        (_trial(sizes, bins, mix, snug) for mix in mixes(bins, sizes[0]) for snug in ((True,) if len(mix) == 1 else (False, True))),
+        key=lambda found: found[0],
+    )
     return [(b, offset, final[b]) for b, offset in place]
 
 

@@ -5,7 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -177,6 +180,53 @@ def test_pack_small():
     assert placed[3][2] == 4 and pack([], bins) == []
 
 
+def _least_cost(sizes, bins):
+    """Least total cost over all ways to put the pieces into bins."""
+    def ways(k, fill):
+        if k == len(sizes):
+            return sum(min(bins.cost(c) for c in bins.lengths if c >= u) for u in fill)
+        best = ways(k + 1, fill + [sizes[k]])
+        for i in range(len(fill)):
+            if fill[i] + sizes[k] <= bins.lengths[-1]:
+                best = min(best, ways(k + 1, fill[:i] + [fill[i] + sizes[k]] + fill[i + 1 :]))
+        return best
+    return ways(0, [])
+
+
+def _total(placed, bins):
+    return sum(bins.cost(cap) for cap in {b: cap for b, _, cap in placed}.values())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 16), min_size=1, max_size=7), st.sampled_from([(0.5, 0.0), (2.0, 0.0), (0.5, 0.05), (6.0, 0.2)]))
+def test_joint_lengths_against_brute_force(sizes, cost):
+    bins, sizes = Bins((4, 6, 10, 16), *cost), sorted(sizes, reverse=True)
+    got = _total(pack(sizes, bins), bins)
+    best = _least_cost(sizes, bins)
+    assert best - 1e-9 <= got <= 1.3 * best
+    for c in bins.lengths:
+        if c >= sizes[0]:  # bins of one length, each as long as it opened
+            alone = Bins((c,), *cost)
+            assert got <= _total(pack(sizes, alone), alone) + 1e-9
+
+
+def test_lengths_follow_the_data():
+    def cost(sizes, lengths):
+        bins = Bins(lengths)
+        return _total(pack(sorted(sizes, reverse=True), bins), bins)
+
+    def opened(sizes):
+        return Counter({b: cap for b, _, cap in pack(sorted(sizes, reverse=True), Bins())}.values()).most_common(1)[0][0]
+
+    # pieces that fill one length exactly, and pairs or triples that fill another
+    assert opened([256] * 40) in (256, 1024) and opened([500] * 40) in (512, 1024) and opened([340] * 60) == 1024
+    assert opened([1400, 640] * 20) == 2048 and opened([2700, 1390] * 20) == 4096
+    assert sorted({b: cap for b, _, cap in pack([505] * 3, Bins())}.values()) == [512, 1024]
+    rng = np.random.default_rng(5)
+    mixed = np.concatenate([rng.integers(1, 4097, 60), rng.integers(1, 300, 500), rng.integers(600, 800, 200)]).tolist()
+    assert cost(mixed, Bins().lengths) < 0.99 * cost(mixed, (4096,))
+
+
 def test_packing_covers_every_token(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(None, "a b"), (-1, None), (-2, ""), (-3, "w " * 30_000), (-4, "x y z"), (-4, "x y z")], "doc_id long, text string")
