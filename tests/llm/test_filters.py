@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pitchlake.llm import linear, queries, toxicity
+from pitchlake.llm import language_id, linear, queries, toxicity
 from pitchlake.llm.language_id import UNKNOWN, predict_language, train_language
 from pitchlake.llm.quality_classifier import score_quality, train_quality, with_quality
 from pitchlake.llm.quality_rules import Rule, apply_rules, base_counts, base_rules, cascade, order_rules
@@ -120,6 +120,34 @@ def test_language_held_out(spark):
     assert got.where("score < 0 or score > 1").count() == 0
 
 
+def test_language_batches_equal_single_texts(monkeypatch):
+    """N-grams and sums of a batch are those of each text alone, at any chunk size."""
+    texts = ["", "12 !", "Straße und Weg.", " a", "İI ΣΑΣ", "x" * 50, "--", "le 3 la\x00les", "é", ""]
+    rng = np.random.default_rng(3)
+    model = language_id.Model(["a", "b", "c"], rng.normal(size=(1 << language_id.BITS, 3)).astype(np.float32), np.log([0.5, 0.3, 0.2]))
+    buckets, owner = language_id.ngram_buckets(texts)
+    alone = [language_id.ngram_buckets([t])[0] for t in texts]
+    for i, one in enumerate(alone):
+        plain = " " + re.sub(r"[^a-zßéσςαi̇]+", " ", texts[i].lower().replace("\u0307", " ")).strip() + " "
+        assert len(one) == (0 if not plain.strip() else sum(len(plain) - n + 1 for n in language_id.SIZES))
+        assert sorted(one) == sorted(buckets[owner == i])
+    for chunk in (1 << 17, 7):
+        monkeypatch.setattr(language_id, "CHUNK", chunk)
+        got = language_id._log_likelihoods(model, buckets, owner, len(texts))
+        for i, one in enumerate(alone):
+            assert np.allclose(got[i], model.prior + model.ngram[one].sum(axis=0, dtype=float))
+
+
+def test_language_training_is_bounded(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"), F.when(F.col("id") < 2990, "xx").otherwise("yy").alias("lang"))
+    model = train_language(docs, max_train=100)
+    prior = np.exp(model.prior)
+    assert model.languages == ["xx", "yy"] and np.allclose(prior, np.array([101, 11]) / 112)
+    # the documents of smallest id hash are learned, so other rows change nothing
+    again = train_language(docs.where("doc_id >= 0").repartition(7), max_train=100)
+    assert np.array_equal(again.ngram, model.ngram) and train_language(docs.limit(0)).languages == []
+
+
 def test_language_edge_cases(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     model = train_language(docs)
