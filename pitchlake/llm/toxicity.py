@@ -1,10 +1,12 @@
 """Toxicity: noisy-channel deobfuscation, then a hashed linear score of the restored text.
 
 A *lattice* of characters is laid over every piece of text that may be disguised: tokens that
-mix letters with look-alike signs, letters repeated three times or more, and letters
-set apart by spaces or punctuation. A Viterbi search under a character trigram model of the whole
-corpus picks the most likely reading. Every other token has a lattice with a single path,
-so it is its own reading and needs no search. The restored text is scored with logistic
+mix letters with look-alike signs, letters written twice or more, letters divided by signs, and single
+letters set apart by any white space. A Viterbi search under a character trigram model of the whole
+corpus picks the most likely reading. Where the only choices of a token are letters written twice and
+single signs within it, each choice is first weighed by itself on whole arrays: if none is worth taking
+the token is its own most likely reading. Words broken by blanks into parts of two letters or more stay as written.
+The restored text is scored with logistic
 regression on the presence of words and word beginnings.
 """
 
@@ -32,10 +34,13 @@ LOOKALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
-SEPARATORS = " ._*-~"
+SEPARATORS = " ._*-~/\\\t\n\r"
 # Channel costs, in nats.
 COST_LOOKALIKE, COST_DROPPED_SIGN, COST_LITERAL = 0.5, 4.0, 2.5
 COST_DROPPED_SEPARATOR, COST_SHORTENED, COST_KEPT_RUN = 0.2, 0.5, 1.5
+#: A letter written twice read as one, a single sign between longer parts read as none: common in clean text, so
+#: the other reading has to be e**10 times as likely.
+COST_HALVED, COST_JOINED = 10.0, 10.0
 
 #: 32 character classes of the language model: 0 boundary or sign, 1-26 letters, 27 non-ASCII byte.
 _CLASS = np.zeros(256, np.int64)
@@ -72,14 +77,16 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(c / c.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
-def _options(sign: str, run: int) -> list[tuple[str, float]]:
-    """Readings of ``run`` equal characters, with their costs."""
+def _options(sign: str, run: int, apart: bool = True) -> list[tuple[str, float]]:
+    """Readings of ``run`` equal characters, with their costs; ``apart``: a sign with a single letter on both sides."""
     if sign.isalpha() or ord(sign) > 0x7F:
         if run == 1:
             return [(sign, 0.0)]
         if run == 2:
-            return [(sign * 2, 0.0), (sign, COST_SHORTENED)]
+            return [(sign * 2, 0.0), (sign, COST_HALVED)]
         return [(sign, COST_SHORTENED), (sign * 2, COST_SHORTENED), (sign * run, COST_KEPT_RUN)]
+    if sign in SEPARATORS and not apart and run == 1:
+        return [(sign, 0.0), ("", COST_JOINED)]
     options = [(sign * run, COST_LITERAL)]
     if sign in LOOKALIKES:
         options += [(x * n, COST_LOOKALIKE) for x in LOOKALIKES[sign] for n in range(1, min(run, 2) + 1)]
@@ -89,6 +96,13 @@ def _options(sign: str, run: int) -> list[tuple[str, float]]:
     return options
 
 
+def _set_apart(piece: str, at: int, run: int) -> bool:
+    """Whether the signs at ``at`` stand between single characters (or at an end of the piece)."""
+    left = at < 2 or piece[at - 2] in SEPARATORS
+    right = at + run + 1 >= len(piece) or piece[at + run + 1] in SEPARATORS
+    return left and right
+
+
 def decode(piece: str, model: np.ndarray) -> str:
     """The most likely reading of a piece (lower-cased) under the channel costs and the character model."""
     piece = piece.lower()
@@ -100,7 +114,7 @@ def decode(piece: str, model: np.ndarray) -> str:
             run += 1
         options = [
             (text, cost, [int(x) for x in _CLASS[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]])
-            for text, cost in _options(piece[at], run)
+            for text, cost in _options(piece[at], run, _set_apart(piece, at, run))
         ]
         after: dict[int, tuple[float, str]] = {}
         for state, (score, so_far) in best.items():
@@ -116,8 +130,8 @@ def decode(piece: str, model: np.ndarray) -> str:
     return max((score + float(model[s, 0]), text) for s, (score, text) in best.items())[1]
 
 
-def _suspects(texts: tokens.Texts) -> list[tuple[int, int, int]]:
-    """(begin, end, text) of the pieces whose lattice has more than one path."""
+def _suspects(texts: tokens.Texts, model: np.ndarray) -> list[tuple[int, int, int]]:
+    """(begin, end, text) of the pieces that may read otherwise than written."""
     data = texts.data
     begin, end, owner = tokens.runs(texts, tokens.NOT_SPACE)
     if not len(begin):
@@ -144,7 +158,19 @@ def _suspects(texts: tokens.Texts) -> list[tuple[int, int, int]]:
     apart = some & at(gap, 1) & at(some, 2) & at(gap, 3) & at(some, 4)
     mixed = inside(letter, 0) & (inside(sign & at(letter | (sign & digit), 1), 1) | inside(sign & digit, 0))
     one = (end - begin == 1) & some[begin]
+    # a letter written twice, or one sign between letters: is the other reading worth its cost by itself?
+    c = np.where(tokens.NOT_SPACE[data], _CLASS[data], 0)
+    around = np.concatenate([[0, 0], c, [0, 0, 0]])
+    p, q, x, y, z = (around[k : k + n] for k in range(5))
+    twice = letter & (x == y) & (x != q) & (y != z) & (x < 27)
+    halved = twice & (model[(q << 5) | x, z] - COST_HALVED > model[(q << 5) | x, y] + model[(x << 5) | y, z])
+    joint = gap & tokens.NOT_SPACE[data] & (q > 0) & (y > 0)
+    kept = model[(p << 5) | q, 0] + model[q << 5, y] + model[y, z]
+    joined = joint & (model[(p << 5) | q, y] + model[(q << 5) | y, z] - COST_JOINED > kept)
+    close = twice | joint  # choices that share characters are weighed by the search
+    near = close & (at(close, 1) | at(close, 2) | at(close, 3))
     odd = mixed | inside(stretched, 2) | (inside(apart, 4) & inside(letter, 0))
+    odd |= inside(halved, 0) | inside(joined, 0) | inside(near, 0)
     # three or more single characters in a row form one piece
     pieces = []
     edge = np.flatnonzero(np.diff(np.concatenate([[False], one, [False]]).astype(np.int8)))
@@ -163,7 +189,7 @@ def _suspects(texts: tokens.Texts) -> list[tuple[int, int, int]]:
 
 def restored(texts: tokens.Texts, model: np.ndarray, known: dict[bytes, bytes]) -> tokens.Texts:
     """The texts with every disguised piece replaced by its reading."""
-    pieces = _suspects(texts)
+    pieces = _suspects(texts, model)
     if not pieces:
         return texts
     raw = texts.data.tobytes()

@@ -175,6 +175,26 @@ def test_deobfuscation(spark):
     texts = [out.data[out.starts[i] : out.starts[i + 1]].tobytes().decode() for i in range(len(plain))]
     assert texts[0] == plain[0] and texts[1:3] == plain[1:3] and texts[4] == plain[4]
     assert "moron" in texts[3] and "stupid" in texts[3].replace("  ", " ")
+    shapes = ["id-iot", "stuupid", "iddiot", "i/d/i/o/t", "stu.pid", "s\nt\nu\np\ni\nd", "m\to\tr\to\tn", "MOROON"]
+    (block,) = tokens.blocks(pa.array([f"they {s} went" for s in shapes]))
+    out = toxicity.restored(block, model, {})
+    read = [out.data[out.starts[i] : out.starts[i + 1]].tobytes().decode().split() for i in range(len(shapes))]
+    assert read == [["they", w, "went"] for w in ("idiot", "stupid", "idiot", "idiot", "stupid", "stupid", "moron", "moron")]
+
+
+def test_tokens_left_out_read_as_written(spark):
+    """What the array test leaves out, the search would leave as it is."""
+    import pyarrow as pa
+
+    from pitchlake.llm import tokens
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text")
+    model = toxicity.character_model(docs)
+    words = sorted({w for r in docs.collect() for w in (r.text or "").split() if w.isalpha() and w.isascii()})
+    joined = [f"{a}-{b}" for a, b in zip(words, words[7:]) if len(a) > 1 < len(b)][:400]
+    for word in words[:3000] + joined:
+        (block,) = tokens.blocks(pa.array([word]))
+        if not toxicity._suspects(block, model):
+            assert toxicity.decode(word, model) == word.lower()
 
 
 def test_toxicity_held_out_and_disguised(spark):
