@@ -3,6 +3,10 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``documents``. ``run`` writes each stage's result as Parquet under the shared
 folder and reads it back for the next, so a lost executor costs the tasks of one stage.
+
+In every stage repeated rows and rows with a null or shared ``doc_id`` are rows of their own, texts are taken
+whole whatever their length, further columns travel along whatever their names, and an empty table gives an
+empty result. What a null or empty text means is said at each stage.
 """
 
 from __future__ import annotations
@@ -27,14 +31,22 @@ SHINGLE, PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from the labels outside the held-out fifth."""
+    """Documents that the classifier rejects go; it learns from the labels outside the held-out fifth.
+
+    Null, empty and wordless texts all have the score of the bias alone, so they stay or go together; equal texts
+    have equal scores.
+    """
     source = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = train_quality(source, table(spark, sf_dir, "labels"), train=lambda c: crc_mod(c, 5) != 0)
     return with_quality(docs, weights).where(F.col("score") >= GOOD).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on too many documents of a source go; every document stays."""
+    """Lines that stand on too many documents of a source go; every document stays.
+
+    Null and empty texts stay as they are; documents without a source share one; equal texts of a source count as
+    one page. ``n_chars`` follows the texts that lose a line.
+    """
     kept = dedup_lines(docs, F.col("source"), max_ratio=BOILERPLATE)
     return _counted(kept, F.col("n_dropped") > 0).select(docs.columns)
 
@@ -59,13 +71,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; from the others the spans that benchmark items share are cut out."""
+    """Contaminated documents go; from the others the spans that benchmark items share are cut out.
+
+    Null and empty texts have no words and stay; an empty benchmark changes nothing.
+    """
     kept = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return _counted(kept, F.col("n_chars") != F.length("text")).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words of all documents in training sequences of several permitted lengths."""
+    """The words of all documents in training sequences of several permitted lengths.
+
+    One row a piece (doc_id, first, n_tokens, bin_id, position, capacity), no texts: joined by ``doc_id`` to the stage's
+    input, a piece is the ``n_tokens`` words from number ``first`` on. Documents without words (null, empty) have
+    one row of 0 tokens without a bin. Pieces of rows that share an id cannot be told apart by it.
+    """
     return best_fit_pack(docs, word_count(F.col("text")))
 
 
