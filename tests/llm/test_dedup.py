@@ -282,6 +282,34 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in five.collect()} == {r.doc_id for r in four.collect()}
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty, very long and repeated texts, an empty table, clashing names."""
+    sf = "/root/testdata/sf0.01"
+    real = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = [None, "", " \n ", "x", "x", "a b\n" * 20_000]
+    names = {f.name: f.dataType for f in real.schema.fields}
+    odd = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "x"), (3, "x")], "doc_id long, text string")
+    odd = odd.select(*[F.col(c) if c in odd.columns else F.lit(None).cast(t).alias(c) for c, t in names.items()])
+    odd = odd.select("*", *[F.lit(9).alias(c) for c in ("id", "score", "items", "spans", "shard", "size", "row", "c0", "line", "host")]).cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, odd, sf)
+        assert got.columns == odd.columns and stage(spark, odd.limit(0), sf).count() == 0
+        kept = Counter((r.doc_id, r.text) for r in got.collect())
+        if stage is corpus_pipeline.quality:
+            blank = [kept[i, t] for i, t in enumerate(texts[:3])]
+            assert blank in ([0] * 3, [1] * 3) and len({kept[k] > 0 for k in ((3, "x"), (4, "x"), (None, "x"))}) == 1
+        elif stage is corpus_pipeline.near_duplicates:
+            assert kept == Counter([(i, texts[i]) for i in (0, 1, 2, 3, 5)])
+        elif stage is corpus_pipeline.decontamination:
+            assert kept == Counter((r.doc_id, r.text) for r in odd.collect())
+        else:
+            assert kept.total() == odd.count() and kept[0, None] == 1 and kept[1, ""] == 1
+    packed = corpus_pipeline.packing(spark, odd, sf).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count("bin_id").alias("k"))
+    assert {(r.doc_id, r.n, r.k > 0) for r in packed.collect()} == {
+        (0, 0, False), (1, 0, False), (2, 0, False), (3, 2, True), (4, 1, True), (5, 40_000, True), (None, 1, True)}
+    assert corpus_pipeline.packing(spark, odd.limit(0), sf).count() == 0
+
+
 def test_near_duplicates_of_shared_and_null_ids(spark):
     x, y, z = ("".join(f"{c}{i} " for i in range(40)) for c in "xyz")
     rows = [(5, x), (5, x), (5, y), (None, x), (None, z), (None, z), (None, z + "more"), (9, y), (3, "alone"), (None, "also alone"),
