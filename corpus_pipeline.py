@@ -44,8 +44,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand on too many documents of a source go; every document stays.
 
-    Null and empty texts stay as they are; documents without a source share one; equal texts of a source count as
-    one page. ``n_chars`` follows the texts that lose a line.
+    Null and empty texts and documents without a source stay as they are; equal texts of a source count as one
+    page. ``n_chars`` follows the texts that lose a line; further columns named n_lines or n_dropped get the counts of this stage.
     """
     kept = dedup_lines(docs, F.col("source"), max_ratio=BOILERPLATE)
     return _counted(kept, F.col("n_dropped") > 0).select(docs.columns)
