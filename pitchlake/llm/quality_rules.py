@@ -10,6 +10,7 @@ Words are maximal runs of ``[^\x20\x09-\x0D]``.
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass
 
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 #: Rows, and characters of each, that costs and selectivities are estimated on, and how often each row is
 #: asked for a time that can be measured. The estimate orders the rules and changes no result.
-SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TIMES = 200, 2_000, 16
+SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TIMES = 200, 2_000, 4
+#: Seconds up to twice which costs are equal.
+LEAST_S = 0.05
 
 # Character classes of the base counts, as Java patterns.
 WORD = r"[^\\x20\\x09-\\x0D]"
@@ -115,26 +118,49 @@ def text_rules(text_col: str = "text") -> tuple[Rule, ...]:
     )
 
 
-def order_rules(sample: DataFrame, rules: tuple[Rule, ...], runs: int = 2) -> list[Rule]:
-    """Rules by rejections per cost on ``sample``, best first; equal ones keep their order.
+def rule_costs(sample: DataFrame, rules: tuple[Rule, ...], text_col: str = "text", runs: int = 2) -> list[int]:
+    """Cost of each rule on the texts ``sample``, as the power of two in ``LEAST_S``.
 
-    The cost of a rule is the shortest of ``runs`` timed passes over the sample, less that of a pass without a rule.
+    A rule is charged for all it needs from the raw text on, so for its counts too: the columns that
+    it does not read are pruned. Rules take turns, the shortest of ``runs`` times less that of a job that only
+    reads the texts counts, and only its power of two is kept, so that the noise of a job seldom decides.
     """
-
-    def timed(predicate: Column) -> tuple[float, int]:
-        best, hits = float("inf"), 0
-        for _ in range(runs):
+    asked = [F.col(f"`{text_col}`").isNull(), *(r.reject for r in rules)]
+    best = [float("inf")] * len(asked)
+    for turn in range(runs + 1):
+        for i, predicate in enumerate(asked):
+            # a new plan each time: one that has run keeps its shuffled rows
+            job = (base_counts(sample, text_col) if i else sample).agg(F.count(F.when(predicate, 1)))
             began = time.perf_counter()
-            hits = sample.agg(F.count(F.when(predicate, 1))).first()[0]
-            best = min(best, time.perf_counter() - began)
-        return best, hits
+            job.collect()
+            # the first turn only compiles
+            best[i] = min(best[i], time.perf_counter() - began if turn else best[i])
+    return [int(math.log2(max(t - best[0], LEAST_S) / LEAST_S)) for t in best[1:]]
+
 
-    floor, _ = timed(F.lit(False))
-    found = []
-    for rule in rules:
-        cost, hits = timed(rule.reject)
-        found.append((-hits / max(cost - floor, 1e-4), rule))
-    return [rule for _, rule in sorted(found, key=lambda x: x[0])]
+def order_rules(patterns: dict[tuple[bool, ...], int], costs: list[int]) -> list[int]:
+    """Places of the rules by rejections per cost, best first; equal ones keep their order.
+
+    ``patterns`` counts sample rows by what each rule says of them. After each choice only rows that no
+    chosen rule rejects are counted: a rule that rejects what another already does goes late.
+    """
+    left, order = dict(patterns), []
+    while len(order) < len(costs):
+        hits = {i: sum(n for said, n in left.items() if said[i]) for i in range(len(costs)) if i not in order}
+        best = max(hits, key=lambda i: (hits[i] / 2 ** costs[i], -i))
+        order.append(best)
+        left = {said: n for said, n in left.items() if not said[best]}
+    return order
+
+
+def measured_order(sample: DataFrame, rules: tuple[Rule, ...], text_col: str = "text") -> list[Rule]:
+    """``rules`` in the order of their rejections per cost on the texts ``sample``."""
+    if len(rules) < 2:
+        return list(rules)
+    said = [F.coalesce(r.reject, F.lit(False)).alias(f"r{i}") for i, r in enumerate(rules)]
+    rows = base_counts(sample, text_col).select(*said).groupBy(*[f"r{i}" for i in range(len(rules))]).count().collect()
+    patterns = {tuple(r[:-1]): r[-1] for r in rows}
+    return [rules[i] for i in order_rules(patterns, rule_costs(sample, rules, text_col))]
 
 
 def cascade(rules: list[Rule]) -> Column:
@@ -149,25 +175,30 @@ def apply_rules(docs: DataFrame, text_col: str = "text", base: tuple[Rule, ...]
                 further: tuple[Rule, ...] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """All rows and columns of ``docs`` with the base counts, base_failed and kept.
 
-    The rules are timed on the first ``sample_rows`` rows that a scan gives, cut to ``SAMPLE_CHARS``
-    (so the driver passes on a bounded sample, and only as many partitions are read as hold it).
-    An empty table keeps the declared order. Null and empty texts have zero words and fail the
-    base rules. Null ids and repeated rows are kept.
+    base_failed is a result of its own, so every row pays for the base rules whatever the order: they are
+    asked first and once, further rules only of rows that they leave. Each part is ordered by
+    rejections per cost on the first ``sample_rows`` rows that a scan gives, cut to ``SAMPLE_CHARS``
+    (so the driver passes on a bounded sample, and only as many partitions are read as hold it); the
+    further rules are measured on sample rows that the base rules leave. The counts are results too and are
+    made for every row. An empty table, or a sample that the base rules reject whole, keeps the declared order.
+
+    Null and empty texts have zero words and fail the base rules. Very long texts are counted whole. Null ids and
+    repeated rows are kept. Columns of ``docs`` named like a count, base_failed or kept are replaced.
     """
     base = base_rules() if base is None else base
     further = text_rules(text_col) if further is None else further
-    ordered = [*base, *further]
     taken = docs.select(F.left(F.col(f"`{text_col}`").cast("string"), F.lit(SAMPLE_CHARS))).where(F.col(f"`{text_col}`").isNotNull()).take(sample_rows)
     if taken:
-        texts = F.split(F.lit("\x01".join(r[0] for r in taken)), "\x01")
-        sample = docs.sparkSession.range(0, SAMPLE_TIMES, 1, 4).select(F.explode(texts).alias(text_col))
-        sample = base_counts(sample, text_col).persist()
+        texts = F.split(F.lit("\x01".join(r[0].replace("\x01", " ") for r in taken)), "\x01")
+        sample = docs.sparkSession.range(0, SAMPLE_TIMES, 1, 4).select(F.explode(texts).alias(text_col)).persist()
+        passed = None
         try:
-            ordered = order_rules(sample, tuple(ordered))
+            base = measured_order(sample, tuple(base), text_col)
+            passed = base_counts(sample, text_col).where(~cascade(list(base))).select(F.col(f"`{text_col}`")).persist()
+            further = measured_order(passed, tuple(further), text_col)
         finally:
             sample.unpersist()
-    counted = base_counts(docs, text_col)
-    failed = cascade([r for r in ordered if r in base])
-    # a row that the base rules reject asks no further rule; the order holds within and across both
-    rejected = cascade(ordered)
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~rejected)
+            if passed is not None:
+                passed.unpersist()
+    counted = base_counts(docs, text_col).withColumn("base_failed", cascade(list(base)))
+    return counted.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~cascade(list(further))))

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from pitchlake.llm import language_id, linear, queries, toxicity
 from pitchlake.llm.language_id import UNKNOWN, predict_language, train_language
 from pitchlake.llm.quality_classifier import score_quality, train_quality, with_quality
-from pitchlake.llm.quality_rules import Rule, apply_rules, base_counts, base_rules, cascade, order_rules
+from pitchlake.llm.quality_rules import (
+    Rule,
+    apply_rules,
+    base_counts,
+    base_rules,
+    cascade,
+    measured_order,
+    order_rules,
+    text_rules,
+)
 
 SF = "/root/testdata/sf0.01"
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "x"), (4, "x"), (None, "one two three"), (5, "é " * 70_000), (6, "a b c a b c a b c")]
@@ -92,17 +101,45 @@ def test_rules_edge_cases_and_order(spark, odd):
     assert got.count() == len(ODD) and got.where("kept is null or base_failed is null").count() == 0
     assert got.where("base_failed and kept").count() == 0
     assert apply_rules(odd.limit(0)).count() == 0
-    # a rule that rejects much for little goes first; the verdict does not depend on the order
-    sample = spark.range(20_000).select(F.concat(F.lit("w "), F.col("id")).alias("text"), F.col("id").alias("n_words"))
+    sample = spark.range(20_000).select(F.concat(F.lit("w "), F.col("id")).alias("text"))
     slow = Rule("slow", F.length(F.regexp_replace(F.repeat("text", 200), "[aeiou]+", "")) < 0)
-    fast = Rule("fast", F.col("n_words") > 10)
-    assert [r.name for r in order_rules(sample, (slow, fast))] == ["fast", "slow"]
-    both = sample.select(cascade([slow, fast]).alias("a"), cascade([fast, slow]).alias("b"))
+    fast = Rule("fast", F.col("n_words") > 1)
+    assert [r.name for r in measured_order(sample, (slow, fast))] == ["fast", "slow"]
+    both = base_counts(sample).select(cascade([slow, fast]).alias("a"), cascade([fast, slow]).alias("b"))
     assert both.where("a <> b").count() == 0
     unknown = spark.createDataFrame([(None,)], "n_words long")
     assert unknown.select(cascade([base_rules()[0]]).alias("x")).first().x is False
 
 
+def test_order_by_rejections_per_cost():
+    # the second rule rejects what the first does, and less; the third is dear
+    patterns = {(True, True, False): 6, (True, False, False): 2, (False, False, True): 5, (False, False, False): 9}
+    assert order_rules(patterns, [0, 0, 0]) == [0, 2, 1]
+    assert order_rules(patterns, [3, 0, 0]) == [1, 2, 0]
+    assert order_rules(patterns, [0, 0, 9]) == [0, 2, 1]
+    assert order_rules({}, [2, 0, 1]) == [0, 1, 2]
+
+
+def test_costs_include_the_counts(spark):
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.concat(F.lit("word"), i * F.col("id"))), " ")
+    sample = spark.range(2_000).select(text.alias("text")).persist()
+    dear = Rule("dear", F.expr("n_repeat_words >= 0"))
+    cheap = Rule("cheap", F.expr("n_symbols >= 0"))
+    orders = [[r.name for r in measured_order(sample, (dear, cheap))] for _ in range(3)]
+    assert orders == [["cheap", "dear"]] * 3
+
+
+def test_later_rules_are_not_asked_of_rejected_rows(spark):
+    long_text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, "short"), (2, long_text), (3, long_text + " #"), (4, None)], "doc_id long, text string")
+    asked = lambda reason: F.raise_error(F.lit(reason)).cast("boolean")
+    late = Rule("late", F.when(F.col("n_words") < 50, asked("asked of a row that the base rules reject")).otherwise(F.col("n_symbols") > 0))
+    got = {r.doc_id: (r.base_failed, r.kept) for r in apply_rules(docs, further=(late,)).collect()}
+    assert got == {1: (True, False), 2: (False, True), 3: (False, False), 4: (True, False)}
+    got = {r.doc_id: r.kept for r in apply_rules(docs, further=(*text_rules(), late)).collect()}
+    assert got[1] is False and got[2] is True
+
+
 def test_no_python_in_the_rules_plan(spark):
     plan = queries.op2_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
