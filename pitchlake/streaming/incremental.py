@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, spans, summary
-from pitchlake.session import fresh_dir
+from pitchlake.session import fresh_dir, listing
 from pitchlake.sources.layout import GOLD_CLUSTER, Lake
 
 BUCKET = "match_bucket"
@@ -160,7 +160,8 @@ def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 1024,
     changes = None
     for table in SILVER_TABLES:
         schema = lake.schema(spark, K.SILVER, table)
-        ids = spark.readStream.schema(schema).parquet(lake.table(K.SILVER, table)).select("matchid")
+        with listing(spark):
+            ids = spark.readStream.schema(schema).parquet(lake.table(K.SILVER, table)).select("matchid")
         changes = ids if changes is None else changes.unionByName(ids)
     applied: list[list[int]] = []
 
@@ -171,10 +172,11 @@ def refresh_gold(spark: SparkSession, lake: Lake, *, buckets: int = 1024,
             refresh_buckets(spark, lake, touched, buckets, chunk_rows, batch=f"batch-{batch_id}")
             applied.append(touched)
 
-    query = (changes.writeStream.foreachBatch(apply)
-             .option("checkpointLocation", lake.checkpoint(K.GOLD, "_refresh"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    with listing(spark):
+        query = (changes.writeStream.foreachBatch(apply)
+                 .option("checkpointLocation", lake.checkpoint(K.GOLD, "_refresh"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"gold refresh failed: {query.exception()}")
     return applied

@@ -312,3 +312,27 @@ def test_header_history(spark, tmp_path):
     medallion.run_headers(spark, str(root), lake, run_id="r2")
     got = {(r.Batchid, r.feed, r.columns) for r in lake.read(spark, "bronze", "header_history").collect()}
     assert got == {("r1", "match_events", "ball,event"), ("r2", "match_events", "ball,event,weather")}
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from pitchlake.session import _LISTING_KEY, LISTING_TASKS
+
+    src, lake, before = str(tmp_path / "src"), Lake(str(tmp_path / "lake")), spark.conf.get(_LISTING_KEY)
+    n = LISTING_TASKS + 40
+    for m in range(n):
+        _write_events(src, m, 1)
+    q = append(files.events(spark, src), lake.table("bronze", "e"), lake.checkpoint("bronze", "e"))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(str(q.runId)) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= LISTING_TASKS
+    assert lake.read(spark, "bronze", "e").select("matchid").distinct().count() == n
+    assert spark.conf.get(_LISTING_KEY) == before
+
+
+def test_feed_files_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(400).selectExpr("id % 40 as matchid", "id as match_ball_number")
+    files.write_feed(rows, str(tmp_path / "feed"), "csv")
+    parts = [p.name for p in (tmp_path / "feed").glob("matchid=*/part-*")]
+    assert len(parts) == 40                                   # one file a match
+    assert len({p.split("-")[1] for p in parts}) > 4          # from most of the session's 8 shuffle partitions
+    assert spark.read.option("header", True).csv(str(tmp_path / "feed")).count() == 400
