@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.llm.scratch import cut, join_counted
+from pitchlake.llm.scratch import cut, join_counted, text_batches
 from pitchlake.llm.tokens import Hasher, Texts, blocks, mix, runs
 
 #: Longest phrase in words.
@@ -47,6 +47,8 @@ BLOCK = 1 << 18
 
 #: Suffix rows and pairs that a task holds before they leave it (under 100 MB while they are merged).
 FLUSH, FLUSH_PAIRS = 1 << 19, 1 << 20
+#: Suffix rows of a batch that leaves a task.
+OUT_ROWS = 1 << 16
 
 _BREAK = np.zeros(256, np.int64)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
@@ -180,13 +182,22 @@ def _counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(f[part], pa.int64())], names=["h", "f"])
 
 
-def _merged(held: list[tuple]) -> pa.RecordBatch:
-    """(lang, suffix, times) of the (hash, lang, suffix, times) of several blocks, equal suffixes once."""
+def _merged(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """(lang, suffix, times) of the (hash, lang, suffix, times) of several blocks, equal suffixes once, OUT_ROWS at a time.
+
+    The blocks are let go before the first rows are given.
+    """
     h, times = (np.concatenate([x[i] for x in held]) for i in (0, 3))
     _, first, which = np.unique(h, return_index=True, return_inverse=True)
     total = np.bincount(which, times).astype(np.int64)  # exact: far below 2**53
-    lang, suffix = (pa.concat_arrays([x[i] for x in held]).take(pa.array(first)) for i in (1, 2))
-    return pa.RecordBatch.from_arrays([lang, suffix.cast(pa.string()), pa.array(total)], names=["lang", "suffix", "times"])
+    del h, which, times
+    langs, suffixes = ([x[i] for x in held] for i in (1, 2))
+    held.clear()
+    langs, suffixes = pa.concat_arrays(langs), pa.concat_arrays(suffixes)
+    for k in range(0, len(first), OUT_ROWS):
+        at = pa.array(first[k : k + OUT_ROWS])
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(at), suffixes.take(at).cast(pa.string()), pa.array(total[k : k + OUT_ROWS])], names=["lang", "suffix", "times"])
 
 
 def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int) -> Iterator[pa.RecordBatch]:
@@ -213,10 +224,9 @@ def _suffixes(batches: Iterable[pa.RecordBatch], shared, bits: int, depth: int)
             at = at[first]
             held.append((h, lang.take(pa.array(at)), w.strings(at, at + size[at]), times))
             if sum(len(x[0]) for x in held) > FLUSH:
-                yield _merged(held)
-                held = []
+                yield from _merged(held)
     if held:
-        yield _merged(held)
+        yield from _merged(held)
 
 
 def _prefix(depth: int):
@@ -320,16 +330,18 @@ def phrase_counts(docs: DataFrame, least: int = 30, depth: int = DEPTH, lang_col
     sc = docs.sparkSession.sparkContext
     src = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
     counted = src.mapInArrow(_count_words, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    words = cut(counted, "words")
+    with text_batches(docs.sparkSession):
+        words = cut(counted, "words")
     totals = cut(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
     frequent = words.where(F.col("f") >= least)
     one = sc.broadcast(_bloom(frequent.select("lang", "phrase").mapInArrow(_word_hashes, "h long"), filter_bits))
     # counted by the million already: most pairs are rare, so another count before the shuffle would merge next to nothing
     pairs = src.mapInArrow(partial(_count_pairs, shared=one, bits=filter_bits), "h long, f long").repartition("h")
     pairs = pairs.groupBy("h").agg(F.sum("f").alias("f"))
-    shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
-    one.unpersist()
-    suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes", codec="zstd")
+    with text_batches(docs.sparkSession):
+        shared = sc.broadcast(_bloom(pairs.where(F.col("f") >= least).select("h"), filter_bits))
+        one.unpersist()
+        suffixes = cut(src.mapInArrow(partial(_suffixes, shared=shared, bits=filter_bits, depth=depth), "lang string, suffix string, times long"), "suffixes", codec="zstd")
     routed = _extended(suffixes, words, depth)
     groups = max(1, -(-suffixes.count() // group_rows))
     dealt = routed.repartition(groups, "lang", F.expr("substring_index(suffix, ' ', depth)"))

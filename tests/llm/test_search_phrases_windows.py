@@ -286,3 +286,35 @@ def test_window_packing_edge_cases_and_shards(spark):
     assert pack_windows(df.limit(0), TOKENS).count() == 0
     names = with_crc32(pack_windows(spark.createDataFrame([("a", "b")], "key string, body string"), TOKENS, id_col="key", text_col="body"))
     assert names.first().key == "a"
+
+
+def test_merged_suffixes_leave_in_small_batches(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from pitchlake.llm import collocations as C
+
+    monkeypatch.setattr(C, "OUT_ROWS", 3)
+    block = lambda ids: (np.array(ids, np.uint64), pa.array(["en"] * len(ids)),
+                         pa.array([f"s{i} " for i in ids], pa.large_string()), np.ones(len(ids), np.int64))
+    held = [block([1, 2, 3, 4]), block([2, 4, 5, 6, 7])]
+    out = C._merged(held)
+    first = next(out)
+    assert held == [] and first.num_rows == 3                 # the blocks are let go before rows leave
+    rows = [r for b in [first, *out] for r in b.to_pylist()]
+    assert {r["suffix"]: r["times"] for r in rows} == {"s1 ": 1, "s2 ": 2, "s3 ": 1, "s4 ": 2, "s5 ": 1, "s6 ": 1, "s7 ": 1}
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    from pitchlake.llm.scratch import _ROWS_KEY, TEXT_ROWS, text_batches
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(_ROWS_KEY)
+    rows = spark.range(0, 3 * TEXT_ROWS, 1, 1).mapInArrow(sizes, "n long")
+    with text_batches(spark):
+        seen = [r.n for r in rows.collect()]
+    assert max(seen) <= TEXT_ROWS and sum(seen) == 3 * TEXT_ROWS and spark.conf.get(_ROWS_KEY) == before
