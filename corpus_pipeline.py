@@ -20,7 +20,7 @@ from pitchlake.llm.linear import crc_mod
 from pitchlake.llm.ngram_join import ngram_jaccard_components
 from pitchlake.llm.packing import best_fit_pack, word_count
 from pitchlake.llm.quality_classifier import train_quality, with_quality
-from pitchlake.llm.scratch import cut, join_counted, table
+from pitchlake.llm.scratch import cut, join_counted, table, text_batches
 
 #: Documents below this quality score go.
 GOOD = 0.3
@@ -38,7 +38,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     source = table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = train_quality(source, table(spark, sf_dir, "labels"), train=lambda c: crc_mod(c, 5) != 0)
-    return with_quality(docs, weights).where(F.col("score") >= GOOD).select(docs.columns)
+    good = with_quality(docs, weights).where(F.col("score") >= GOOD).select(docs.columns)
+    with text_batches(spark):  # whole texts go to Python and back: written here, in small batches
+        return cut(good, "good")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchlake.llm.scratch import text_batches
+
 
 @dataclass(frozen=True)
 class Ftrl:
@@ -100,7 +102,8 @@ def fit(examples: DataFrame, features: Callable, cfg: Ftrl) -> np.ndarray:
         .groupBy("shard")
         .applyInPandas(lambda pdf: _train_shard(pdf, cfg), "feature long, weight double")
     )
-    mean = trained.groupBy("feature").agg((F.sum("weight") / cfg.shards).alias("weight")).orderBy("feature").toPandas()
+    with text_batches(examples.sparkSession):
+        mean = trained.groupBy("feature").agg((F.sum("weight") / cfg.shards).alias("weight")).orderBy("feature").toPandas()
     w = np.zeros((1 << cfg.bits) + 1)
     w[mean["feature"].to_numpy(np.int64)] = mean["weight"].to_numpy(float)
     return w
