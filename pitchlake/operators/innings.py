@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake import constants as K
-from pitchlake.session import fresh_dir
+from pitchlake.session import compiled, fresh_dir
 
 INNINGS_KEYS = ("matchid", "team", "super_over_team")
 ORDER = ("over", "match_ball_number", "over_ball_number", "event")
@@ -52,7 +52,8 @@ def chunks(events: DataFrame, chunk_rows: int) -> DataFrame:
     """
     spark = events.sparkSession
     rows, path = fresh_dir(spark, "innings-rows"), fresh_dir(spark, "innings-chunks")
-    events.withColumn("_tie", F.monotonically_increasing_id()).write.parquet(rows)
+    with compiled(spark):
+        events.withColumn("_tie", F.monotonically_increasing_id()).write.parquet(rows)
     tied = spark.read.parquet(rows)
     n = max(1, -(-tied.count() // chunk_rows))  # from the files' footers
     ranged = tied.repartitionByRange(n, *INNINGS_KEYS, *ORDER, "_tie").withColumn("_chunk", F.spark_partition_id())

@@ -19,6 +19,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from pitchlake.session import compiled
+
 #: What each table holds; shown by DESCRIBE.
 COMMENTS = {
     "bronze_match_events": "Deliveries as they came in CSV files, one row a ball.",
@@ -104,7 +106,8 @@ def publish(df: DataFrame, name: str, root: str, *, partition_by: Sequence[str]
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(location)
+    with compiled(spark):
+        writer.parquet(location)
     if not spark.catalog.tableExists(name):
         create(spark, name, df.schema, location, partition_by=partition_by, comment=comment, properties=properties)
         return None
@@ -120,8 +123,9 @@ def write_bucketed(df: DataFrame, name: str, location: str, buckets: int, key: s
     Joins, aggregates and windows whose keys include ``key`` then run on such tables without an exchange; the one
     shuffle is that of this write. Streams cannot write buckets, so a snapshot is taken of what they appended.
     """
-    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", location)
-     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    with compiled(df.sparkSession):
+        (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", location)
+         .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
     return df.sparkSession.table(name)
 
 

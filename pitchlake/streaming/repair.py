@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.operators import lookups, silver
+from pitchlake.session import compiled
 from pitchlake.sources.layout import Lake
 from pitchlake.streaming import incremental
 
@@ -61,8 +62,9 @@ def repair(spark: SparkSession, lake: Lake, zones: DataFrame, *, buckets: int =
         LOG: todo,
     }
     for name, df in rows.items():
-        (incremental.with_bucket(df, buckets).hint("rebalance", incremental.BUCKET).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(incremental.BUCKET).parquet(lake.table(LAYER, name)))
+        with compiled(spark):
+            (incremental.with_bucket(df, buckets).hint("rebalance", incremental.BUCKET).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(incremental.BUCKET).parquet(lake.table(LAYER, name)))
     return touched
 
 

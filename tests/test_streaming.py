@@ -4,10 +4,11 @@ import csv
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from pitchlake import schemas
+from pitchlake import schemas, session
 from pitchlake.operators import quality, silver
 from pitchlake.sources import files, proxies
 from pitchlake.sources.layout import Lake
@@ -336,3 +337,38 @@ def test_feed_files_are_written_by_many_tasks(spark, tmp_path):
     assert len(parts) == 40                                   # one file a match
     assert len({p.split("-")[1] for p in parts}) > 4          # from most of the session's 8 shuffle partitions
     assert spark.read.option("header", True).csv(str(tmp_path / "feed")).count() == 400
+
+
+def test_csv_lines_reach_the_parser_whole(spark):
+    """A line under eight names has as many columns as the parser expects, so that it raises nothing inside."""
+    head = [f"n{i}" for i in range(8)] + [""] * (files.MAX_COLUMNS - 8)
+    df = spark.createDataFrame([(head, '1,"a, ""b""",,x,"c",\\,y,')], "head array<string>, line string")
+    whole = files._whole(F.col("line"), files._lacks(F.col("head"), F.col("line")))
+    schema = ", ".join(f"c{i} string" for i in range(files.MAX_COLUMNS))
+    row = df.select(F.from_csv(whole, F.lit(schema), {"mode": "FAILFAST", "escape": '"'}).alias("r")).select("r.*").first()
+    assert row[-8:] == ("1", 'a, "b"', None, "x", "c", "\\", "y", None) and not any(row[:-8])
+
+
+@pytest.mark.parametrize("lines, expected", [
+    (["batsman,ball", "A", "B,1.2,extra", "C,1.3"], {"A": None, "B": "1.2", "C": "1.3"}),  # too short, too long
+    (["batsman,ball,,", "A,1.1,x,y", '"B, ""C""",1.2,,'], {"A": "1.1", 'B, "C"': "1.2"}),  # columns without a name
+    (["ball,batsman", '1.1,"A', "1.2, B "], {"A": "1.1", " B ": "1.2"}),  # a quote left open
+    (["ball,batsman", '"1.1",A"B', ',"C\\"D"', '1.3,""'], {'A"B': "1.1", 'C"D': None, None: "1.3"}),
+])
+def test_csv_lines_of_another_length_than_the_header(spark, tmp_path, lines, expected):
+    (tmp_path / "matchid=1").mkdir()
+    (tmp_path / "matchid=1" / "match_events_data.csv").write_text("\n".join(lines))
+    rows = files.events(spark, str(tmp_path), streaming=False).collect()
+    assert {r.batsman: r.ball for r in rows} == expected
+
+
+def test_written_stages_are_compiled(spark, tmp_path, monkeypatch):
+    """Methods of generated code are kept small enough for the JVM's compiler while tables are written."""
+    key, seen = session._METHOD_KEY, []
+    before = spark.conf.get(key)
+    lake = Lake(f"{tmp_path}/lake")
+    jvm_write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(spark.conf.get(key)), jvm_write(self, *a, **k))[1])
+    lake.overwrite(spark.range(3), "bronze", "t")
+    assert [int(x) for x in seen] == [session.METHOD_BYTES] and spark.conf.get(key) == before
+    assert lake.read(spark, "bronze", "t").count() == 3
