@@ -126,7 +126,7 @@ def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids in windows of 1,024."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
-    return with_crc32(pack_windows(docs, files[0], ranks=files[1]))
+    return with_crc32(pack_windows(docs, files[0], ranks=files[1], as_bytes=True))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchlake.llm.scratch import cut
 from pitchlake.llm.tokens import blocks
@@ -31,6 +32,8 @@ from pitchlake.llm.tokens import blocks
 WINDOW, END = 1024, 0
 #: Left-over pieces of a shard (about 20 MB of ids); a shard is packed by one task.
 SHARD = 10_000
+#: Most pieces of a long text in a batch.
+BATCH = 1 << 17
 #: Fixed value: the pre-token pattern of the byte-level BPE vocabularies.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -163,7 +166,7 @@ def _tokenize(batches: Iterable[pa.RecordBatch], files: tuple[str, str | None],
 
 
 def _cut_windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Full windows of each document's ids and the rest: (id, start, ids, doc_tokens)."""
+    """Full windows of each document's ids and the rest: (id, start, ids, doc_tokens), the ids as bytes."""
     for batch in batches:
         lists = batch.column("ids")
         offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -175,11 +178,16 @@ def _cut_windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.
         begin = offsets[:-1][doc] - offsets[0] + start
         ends = np.minimum(begin + window, offsets[1:][doc] - offsets[0])
         cuts = np.append(begin, ends[-1:])  # pieces follow one another without gap
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id").take(pa.array(doc)), pa.array(start), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), flat),
-             pa.array(n[doc])],
-            names=["id", "start", "ids", "doc_tokens"],
-        )
+        raw = flat.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
+        for at in range(0, len(doc), BATCH):
+            part = cuts[at : at + BATCH + 1]
+            ids = pa.Array.from_buffers(
+                pa.binary(), len(part) - 1, [None, pa.py_buffer(((part - part[0]) * 4).astype(np.int32)), pa.py_buffer(raw[part[0] : part[-1]])])
+            own = doc[at : at + BATCH]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(own)), pa.array(start[at : at + BATCH]), ids, pa.array(n[own])],
+                names=["id", "start", "ids", "doc_tokens"],
+            )
 
 
 def _pieces(batches: Iterable[pa.RecordBatch], files: tuple[str, str | None], window: int, end: int) -> Iterator[pa.RecordBatch]:
@@ -196,7 +204,7 @@ def _pack_shard(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
         "id": pdf["id"].take(piece).to_numpy(),
         "start": pdf["start"].to_numpy()[piece] + [r[1] for r in rows],
         "length": [r[2] for r in rows],
-        "ids": [ids[k][first : first + size] for k, first, size, _, _ in rows],
+        "ids": [ids[k][4 * first : 4 * (first + size)] for k, first, size, _, _ in rows],
         "doc_tokens": pdf["doc_tokens"].to_numpy()[piece],
         "shard": pdf["shard"].to_numpy()[piece],
         "bin": [r[3] for r in rows],
@@ -204,12 +212,25 @@ def _pack_shard(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     })
 
 
+def _as_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``ids`` as lists instead of bytes."""
+    for batch in batches:
+        at = batch.schema.get_field_index("ids")
+        column = batch.column(at)
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+        data = column.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view("<i4") if len(column) else np.empty(0, np.int32)
+        lists = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]) // 4, pa.int32()), pa.array(raw, pa.int32()))
+        yield batch.set_column(at, "ids", lists)
+
+
 def pack_windows(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, id_col: str = "doc_id",
-                 text_col: str = "text", shard: int = SHARD, ranks: str | None = None) -> DataFrame:
+                 text_col: str = "text", shard: int = SHARD, ranks: str | None = None, as_bytes: bool = False) -> DataFrame:
     """One row a piece: (id, start, length, ids, doc_tokens, sequence_id, offset).
 
     A document is its ids by the tokenizer file ``tokenizer`` and the id ``end`` (``ranks``: the same vocabulary as a rank
-    file, for speed; paths that every executor has); ``start`` counts its ids before the piece, ``doc_tokens`` all of them. The pieces of a document cover it without gap
+    file, for speed; paths that every executor has); ``ids`` is an array, or with ``as_bytes`` the ids as little-endian 32-bit
+    numbers, which Spark moves in one piece; ``start`` counts its ids before the piece, ``doc_tokens`` all of them. The pieces of a document cover it without gap
     or overlap, those of a sequence follow one another from offset 0. Full windows never leave the task that made them
     but as files; only what is left of a document is shuffled, once.
 
@@ -219,21 +240,24 @@ def pack_windows(docs: DataFrame, tokenizer: str, window: int = WINDOW, end: int
     """
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     t = src.schema["id"].dataType.simpleString()
-    made = src.mapInArrow(partial(_pieces, files=(tokenizer, ranks), window=window, end=end), f"id {t}, start long, ids array<int>, doc_tokens long")
-    pieces = cut(made.withColumn("length", F.size("ids").cast("long")), "token-pieces")
+    made = src.mapInArrow(partial(_pieces, files=(tokenizer, ranks), window=window, end=end), f"id {t}, start long, ids binary, doc_tokens long")
+    pieces = cut(made.withColumn("length", F.expr("octet_length(ids) div 4")), "token-pieces")
     pieces = pieces.withColumn("row", F.monotonically_increasing_id())  # of a written table
     rests = pieces.where(F.col("length") < window)
     shards = max(1, -(-rests.count() // shard))
     dealt = rests.withColumn("order", F.xxhash64("row")).withColumn("shard", F.pmod(F.col("order"), F.lit(shards))).drop("row")
     packed = dealt.groupBy("shard").applyInPandas(
         lambda pdf: _pack_shard(pdf, window),
-        f"id {t}, start long, length long, ids array<int>, doc_tokens long, shard long, bin long, offset long",
+        f"id {t}, start long, length long, ids binary, doc_tokens long, shard long, bin long, offset long",
     )
     # even numbers for packed windows (a shard has at most 2 * shard of them), odd ones for full windows
     packed = packed.withColumn("sequence_id", 2 * (F.col("shard") * (2 * shard) + F.col("bin")))
     full = pieces.where(F.col("length") == window).withColumn("sequence_id", 2 * F.col("row") + 1).withColumn("offset", F.lit(0).cast("long"))
     order = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-    return packed.select(*order).union(full.select(*order)).withColumnRenamed("id", id_col)
+    found = packed.select(*order).union(full.select(*order))
+    if not as_bytes:
+        found = found.mapInArrow(_as_lists, f"id {t}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
+    return found.withColumnRenamed("id", id_col)
 
 
 def _crc_column(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,5 +272,7 @@ def _crc_column(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_crc32(pieces: DataFrame) -> DataFrame:
     """``ids`` replaced by ``ids_crc32``, the CRC-32 of the ids as little-endian unsigned 32-bit numbers."""
+    if pieces.schema["ids"].dataType == T.BinaryType():
+        return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
     fields = ", ".join("ids_crc32 long" if f.name == "ids" else f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return pieces.mapInArrow(_crc_column, fields)

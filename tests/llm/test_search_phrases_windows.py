@@ -318,3 +318,16 @@ def test_texts_reach_python_in_small_batches(spark):
     with text_batches(spark):
         seen = [r.n for r in rows.collect()]
     assert max(seen) <= TEXT_ROWS and sum(seen) == 3 * TEXT_ROWS and spark.conf.get(_ROWS_KEY) == before
+
+
+def test_window_ids_as_bytes(spark):
+    """Ids as bytes and as arrays are the same pieces; the digests of both agree."""
+    texts = {1: "one two three " * 900, 2: "", 3: None, 4: "é 中 　 word"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    raw, lists = (pack_windows(df, TOKENS, ranks=RANKS, as_bytes=b) for b in (True, False))
+    key = lambda r: (r.doc_id, r.start)
+    a, b = sorted(raw.collect(), key=key), sorted(lists.collect(), key=key)
+    assert [np.frombuffer(r.ids, "<i4").tolist() for r in a] == [r.ids for r in b] and len(b) > len(texts)
+    digests = with_crc32(raw)
+    assert digests.columns == with_crc32(lists).columns and digests.schema["ids_crc32"].dataType.simpleString() == "bigint"
+    check_windows(digests.collect(), texts)
