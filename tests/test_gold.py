@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pitchlake.operators import batting, bowling, innings, silver, spans
+from pitchlake.plans import catalog
 from pitchlake.sources import proxies
 
 
@@ -133,3 +134,19 @@ def test_null_key_bypass_gives_same_rows(spark):
     # rows without a matchid keep their short names (nothing to resolve against)
     assert b.where("matchid IS NULL AND team NOT IN ('IND', 'AUS', 'ENG', 'PAK', 'NZ', 'WI', 'SL', 'HK') "
                    "AND team NOT LIKE '% Super Over'").count() == 0
+
+
+def test_events_partitioned_by_match_are_read_by_few_tasks(spark, tmp_path):
+    spark.range(2400).selectExpr("id as event_id", "id % 7 as user_id").write.parquet(str(tmp_path / "events.parquet"))  # 10 matches
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4194304")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for query in (catalog.gold_match_events, catalog.ingest_events_table):
+            found = query(spark, str(tmp_path))
+            assert len(found.inputFiles()) >= 10
+            assert "Coalesce 2" in found._jdf.queryExecution().executedPlan().toString()
+            assert found.select("matchid").distinct().count() == 10
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from pitchlake import schemas, session
 from pitchlake.operators import quality, silver
+from pitchlake.plans import catalog
 from pitchlake.sources import files, proxies
 from pitchlake.sources.layout import Lake
 from pitchlake.streaming import medallion, quality_log
@@ -372,3 +373,47 @@ def test_written_stages_are_compiled(spark, tmp_path, monkeypatch):
     lake.overwrite(spark.range(3), "bronze", "t")
     assert [int(x) for x in seen] == [session.METHOD_BYTES] and spark.conf.get(key) == before
     assert lake.read(spark, "bronze", "t").count() == 3
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    """A feed, a stream's table and a table partitioned by match are read by no more tasks than a shuffle has."""
+    key, tasks = "spark.sql.files.maxPartitionBytes", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src, before, lake = str(tmp_path / "src"), spark.conf.get(key), Lake(str(tmp_path / "lake"))
+    n = 3 * tasks
+    for m in range(n):
+        _write_events(src, m, 2)
+        with open(os.path.join(src, f"matchid={m}", "match_metadata.json"), "w") as fh:
+            fh.write('{"ground": "Lords"}')
+    spark.conf.set(key, "4194304")  # a task a file: the opening of a file counts as much
+    try:
+        assert spark.read.text(src, recursiveFileLookup=True, wholetext=True).rdd.getNumPartitions() > tasks
+        for reader, name, rows in ((files.events, "match_events_data.csv", 2 * n), (files.metadata, "match_metadata.json", n)):
+            feed = reader(spark, src, streaming=False, file_name=name)
+            assert feed.rdd.getNumPartitions() <= tasks and feed.count() == rows
+            append(reader(spark, src, file_name=name), lake.table("bronze", name), lake.checkpoint("bronze", name))
+            table = lake.read(spark, "bronze", name)
+            assert len(table.inputFiles()) <= tasks and table.count() == rows
+            assert {r.matchid for r in table.select("matchid").distinct().collect()} == set(range(n))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_feed_files_come_without_checksum_files(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id % 10 as matchid", "id as match_ball_number")
+    for fmt in ("csv", "json"):
+        root = tmp_path / fmt
+        files.write_feed(rows, str(root), fmt)
+        files.write_feed(rows, str(root), fmt, mode="append")
+        assert len(list(root.glob("matchid=*/part-*"))) == 20 and not list(root.glob("matchid=*/.*"))
+        assert spark.read.format(fmt).option("header", True).load(str(root)).count() == 80
+
+
+def test_rerun_feed_is_written_once(spark, tmp_path, monkeypatch):
+    """The files of a run are staged where the stream finds them, not staged elsewhere, read back and written again."""
+    written, write = [], files.write_feed
+    monkeypatch.setattr(files, "write_feed", lambda df, root, *a, **k: (written.append(root), write(df, root, *a, **k))[1])
+    events = str(tmp_path / "events.parquet")
+    spark.range(1500).selectExpr("id as event_id", "id % 7 as user_id").write.parquet(events)
+    rows = catalog.ingest_rerun_settings(spark, str(tmp_path)).groupBy("Batchid").count().collect()
+    assert {r[0]: r[1] for r in rows} == {"run-first": 4 * 22, "run-second": 3 * 22}
+    assert len(written) == 2 and len(set(written)) == 1
