@@ -19,7 +19,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from pitchlake.session import compiled
+from pitchlake.session import NO_CHECKSUM_FILES, compiled
 
 #: What each table holds; shown by DESCRIBE.
 COMMENTS = {
@@ -105,7 +105,7 @@ def publish(df: DataFrame, name: str, root: str, *, partition_by: Sequence[str]
     location = os.path.join(root.rstrip("/"), f"v-{uuid.uuid4().hex[:12]}")
     writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.options(**NO_CHECKSUM_FILES).partitionBy(*partition_by)
     with compiled(spark):
         writer.parquet(location)
     if not spark.catalog.tableExists(name):

@@ -417,3 +417,38 @@ def test_rerun_feed_is_written_once(spark, tmp_path, monkeypatch):
     rows = catalog.ingest_rerun_settings(spark, str(tmp_path)).groupBy("Batchid").count().collect()
     assert {r[0]: r[1] for r in rows} == {"run-first": 5 * 22, "run-second": 2 * 22}
     assert len(written) == 2 and len(set(written)) == 1
+
+
+def _contents(root) -> dict:
+    return {p.parent.name: sorted(p.read_bytes().split(b"\n")) for p in root.glob("matchid=*/part-*")}
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_feed_files_hold_what_spark_writes_but_are_created_as_plain_files(spark, tmp_path, monkeypatch, fmt):
+    rows = spark.createDataFrame(
+        [(1, 'a,"b"\\ c\n2', None, 1.5, ""), (None, None, None, None, None), (2, " x ", "\u00e9 ", -0.0, '"'), (1, "", "z", None, "\\"), (3,) + (None,) * 4],
+        'matchid int, `a b` string, `c,"d` string, e double, f string')
+    writer = rows.repartition(2, "matchid").write.partitionBy("matchid")
+    writer.option("header", True).csv(str(tmp_path / "spark")) if fmt == "csv" else writer.json(str(tmp_path / "spark"))
+    for write in ("csv", "json"):  # Hadoop creates no file of the feed
+        monkeypatch.setattr(DataFrameWriter, write, lambda self, *a, **k: pytest.fail("a file system process a file"))
+    files.write_feed(rows, str(tmp_path / "feed"), fmt)
+    assert _contents(tmp_path / "feed") == _contents(tmp_path / "spark") and len(_contents(tmp_path / "feed")) == 4
+    files.write_feed(rows.where("matchid = 2"), str(tmp_path / "feed"), fmt)  # overwrites
+    assert _contents(tmp_path / "feed").keys() == {"matchid=2"}
+    files.write_feed(rows.limit(0), str(tmp_path / "feed"), fmt)
+    assert (tmp_path / "feed").is_dir() and not _contents(tmp_path / "feed")
+
+
+def test_tables_partitioned_by_match_come_without_checksum_files(spark, tmp_path):
+    rows, lake = spark.range(40).selectExpr("id % 5 as matchid", "id as match_ball_number"), Lake(str(tmp_path / "lake"))
+    files.write_feed(rows, str(tmp_path / "feed"), "csv")
+    before = spark.conf.get("fs.file.impl", None)
+    append(files.events(spark, str(tmp_path / "feed"), file_name="part-*"), lake.table("bronze", "e"), lake.checkpoint("bronze", "e"),
+           partition_by=("matchid",))
+    lake.overwrite(rows, "gold", "e", partition_by=("matchid",))
+    for layer in ("bronze", "gold"):
+        table = tmp_path / "lake" / layer / "e"
+        assert len(list(table.glob("matchid=*/part-*"))) == 5 and not list(table.glob("matchid=*/.*"))
+        assert lake.read(spark, layer, "e").count() == 40
+    assert spark.conf.get("fs.file.impl", None) == before
