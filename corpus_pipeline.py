@@ -20,7 +20,7 @@ from pitchlake.llm.linear import crc_mod
 from pitchlake.llm.ngram_join import ngram_jaccard_components
 from pitchlake.llm.packing import best_fit_pack, word_count
 from pitchlake.llm.quality_classifier import train_quality, with_quality
-from pitchlake.llm.scratch import cut, join_counted, table, text_batches
+from pitchlake.llm.scratch import byte_batches, cut, join_counted, table, text_batches
 
 #: Documents below this quality score go.
 GOOD = 0.3
@@ -61,7 +61,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     # written, so that all passes see the same keys
     docs = cut(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
-    groups = ngram_jaccard_components(docs, id_col="row_key", k=SHINGLE, percent=PERCENT)
+    with byte_batches(spark):  # whole texts go to Python, and many more narrow rows
+        groups = ngram_jaccard_components(docs, id_col="row_key", k=SHINGLE, percent=PERCENT)
     linked = groups.where("component_id <> row_key").select("row_key", "component_id")
     first = linked.select(F.col("component_id").alias("row_key"), "component_id").distinct()
     members = join_counted(docs.select("row_key", "doc_id"), cut(linked.union(first), "linked"), ["row_key"])
@@ -78,7 +79,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and empty texts have no words and stay; an empty benchmark changes nothing.
     """
     kept = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _counted(kept, F.col("n_chars") != F.length("text")).select(docs.columns)
+    kept = _counted(kept, F.col("n_chars") != F.length("text")).select(docs.columns)
+    with text_batches(spark):  # as in the first stage
+        return cut(kept, "clean")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -255,3 +255,21 @@ def test_toxicity_edge_cases(spark, odd):
     assert got.where("doc_id in (1, 2, 3)").select("score").distinct().count() == 1
     assert {r.score for r in toxicity.toxicity_scores(odd, labels.limit(0)).collect()} == {0.5}
     assert toxicity.toxicity_scores(odd.limit(0), labels).count() == 0
+
+
+def test_pipeline_hands_texts_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """The near-duplicate and the decontamination stage bound what goes to a Python worker at once while they run, and only then."""
+    import corpus_pipeline
+    from pitchlake.llm import scratch
+
+    spark.createDataFrame([("i", " ".join(f"w{i}" for i in range(20)))], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, f"some words of text {i}", 18) for i in range(5)], "doc_id long, text string, n_chars long")
+    keys, seen = (scratch._BYTES_KEY, scratch._ROWS_KEY), {}
+    before = [spark.conf.get(k) for k in keys]
+    join, cut = corpus_pipeline.ngram_jaccard_components, corpus_pipeline.cut
+    monkeypatch.setattr(corpus_pipeline, "ngram_jaccard_components", lambda *a, **k: (seen.update(join=spark.conf.get(keys[0])), join(*a, **k))[1])
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda df, label: (seen.update({label: spark.conf.get(keys[1])}), cut(df, label))[1])
+    assert corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).count() == 5
+    assert corpus_pipeline.decontamination(spark, docs, str(tmp_path)).count() == 5
+    assert int(seen["join"]) == scratch.BATCH_BYTES and int(seen["clean"]) == scratch.TEXT_ROWS
+    assert [spark.conf.get(k) for k in keys] == before
