@@ -11,16 +11,15 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from pitchlake.sources.layout import Lake
-from pitchlake.streaming.runner import _counts, observed_batches
+from pitchlake.streaming.runner import Run, _counts, observed_batches
 
 LAYER, TABLE = "quality", "violations"
 SCHEMA = "run_id string, dataset string, micro_batch long, rule string, total_rows long, failed_rows long"
 
 
-def stream_rows(query: StreamingQuery, dataset: str, run_id: str) -> list[tuple]:
+def stream_rows(query: Run, dataset: str, run_id: str) -> list[tuple]:
     """Rows of the last run of a stream whose rules were observed under ``dq_<dataset>``."""
     out = []
     for batch, metrics in observed_batches(query):
