@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from pitchlake import constants as K
 from pitchlake.operators import batting, bowling, innings, spans, summary
-from pitchlake.session import fresh_dir, listing
+from pitchlake.session import fresh_dir, listing, sized_by_rows
 from pitchlake.sources.layout import GOLD_CLUSTER, Lake
 
 BUCKET = "match_bucket"
@@ -131,6 +131,11 @@ def refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets
 
     ``batch`` names the refresh; a repeated one finds the groups noted by the attempt before.
     """
+    with sized_by_rows(spark):
+        _refresh_buckets(spark, lake, touched, buckets, chunk_rows, batch)
+
+
+def _refresh_buckets(spark: SparkSession, lake: Lake, touched: list[int], buckets: int, chunk_rows: int | None, batch: str | None) -> None:
     events = _only(lake.read(spark, K.SILVER, "match_events"), touched, buckets).transform(_drop_bucket)
     meta = _only(lake.read(spark, K.SILVER, "match_metadata"), touched, buckets).transform(_drop_bucket)
     players = _only(lake.read(spark, K.SILVER, "match_players"), touched, buckets).transform(_drop_bucket)

@@ -100,3 +100,31 @@ def test_only_touched_groups_are_rebuilt(spark, tmp_path):
     touched = {(r.series, r.season, r.batsman) for r in lake.read(spark, "gold", "batting_stats_per_match").where("matchid = 1002").collect()}
     assert touched and all((after[k] > times[k]) == (k in touched) for k in after if k in times)
     assert any(k not in touched for k in after)
+
+
+def test_refresh_joins_are_sized_by_rows_not_files(spark, tmp_path, monkeypatch):
+    """A side whose files are far smaller than its rows, as repeated names make them, is not broadcast by its files' size."""
+    key, path = "spark.sql.autoBroadcastJoinThreshold", str(tmp_path / "t")
+    spark.range(4000).select("id", F.repeat(F.lit("ab"), 500).alias("name")).write.parquet(path)  # 4 MB of rows
+    before, plans = spark.conf.get(key), []
+
+    def refresh(*_):
+        for side in (spark.read.parquet(path), spark.read.parquet(path).where("id < 5")):
+            joined = spark.read.parquet(path).withColumnRenamed("name", "other").join(side, "id")
+            assert len(joined.collect()) in (4000, 5)
+            plans.append(joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+
+    monkeypatch.setattr(incremental, "_groups_of", refresh)
+    monkeypatch.setattr(incremental, "_only", lambda df, *_: df)
+    lake = Lake(str(tmp_path / "lake"))
+    for name in incremental.SILVER_TABLES:
+        lake.overwrite(spark.createDataFrame([(1,)], "matchid long"), "silver", name)
+    spark.conf.set(key, "2m")
+    try:
+        with pytest.raises(AttributeError):  # there is nothing to refresh
+            incremental.refresh_buckets(spark, lake, [0], 16)
+        assert spark.conf.get(key) == "2m" and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+    finally:
+        spark.conf.set(key, before)
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+    assert "BroadcastHashJoin" in plans[1]  # small ones still are

@@ -1,15 +1,17 @@
 """Incremental file ingest, stateful de-duplication across runs, stream == batch."""
 
 import csv
+import gc
 import os
 
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader, DataStreamWriter, StreamingQuery
 
 from conftest import SF_SMALL
 from pitchlake import schemas, session
-from pitchlake.operators import quality, silver
+from pitchlake.operators import lookups, quality, silver
 from pitchlake.plans import catalog
 from pitchlake.sources import files, proxies
 from pitchlake.sources.layout import Lake
@@ -447,3 +449,48 @@ def test_tables_partitioned_by_match_come_without_checksum_files(spark, tmp_path
         table = tmp_path / "lake" / "gold" / "e"
         assert len(list(table.glob("matchid=*/part-*"))) == 5 and not list(table.glob("matchid=*/.*"))
         assert lake.read(spark, "gold", "e").count() == 40
+
+
+def test_written_name_lists_are_merged_not_broadcast(spark, tmp_path):
+    """Their files are small however many matches they hold: in the driver a list takes some 10 KB."""
+    players = spark.createDataFrame([(m, "India", f"Player {p}") for m in range(3) for p in range(4)], "matchid long, team string, player_name string")
+    lake = Lake(str(tmp_path / "lake"))
+    lake.overwrite(lookups.match_name_lists(players), "silver", "match_name_lists")
+    lists = lake.read(spark, "silver", "match_name_lists")
+    deliveries = spark.createDataFrame([(1, "IND", "P3", None), (None, "IND", "P3", None)],
+                                       "matchid long, innings string, batsman_short string, bowler_short string")
+    matches = spark.createDataFrame([(2, "IND", None)], "matchid long, first_innings string, second_innings string")
+    for df in (silver.resolve_delivery_names(deliveries, lists=lists), silver.resolve_innings_teams(matches, lists=lists)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    names = {r.matchid: (r.team, r.batsman_resolved) for r in silver.resolve_delivery_names(deliveries, lists=lists).collect()}
+    assert names == {1: ("India", "Player 3"), None: ("IND", "P3")}
+    assert silver.resolve_innings_teams(matches, lists=lists).first().first_innings == "India"
+
+
+def test_finished_stream_is_let_go(spark, tmp_path):
+    """A finished query holds the listing of its files and its last plan in the driver; its run keeps the progress alone."""
+    src, lake = str(tmp_path / "src"), Lake(str(tmp_path / "lake"))
+    _write_events(src, 1, 3)
+    gc.collect()
+    gc.disable()
+    try:
+        run = append(files.events(spark, src), lake.table("bronze", "e"), lake.checkpoint("bronze", "e"), query_name="e")
+        held = [o for o in gc.get_objects() if isinstance(o, (StreamingQuery, DataStreamWriter))]
+    finally:
+        gc.enable()
+    assert held == []
+    assert run.name == "e" and run.lastProgress.numInputRows == 1 and len(run.recentProgress) == 1
+
+
+def test_listings_go_with_their_reader(spark, tmp_path, monkeypatch):
+    """No listing is kept in the driver's shared cache, where no other reader would find it."""
+    key = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    src, lake, before, seen = str(tmp_path / "src"), Lake(str(tmp_path / "lake")), spark.conf.get(key), []
+    _write_events(src, 1, 3)
+    start = DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: (seen.append(spark.conf.get(key)), start(self, *a, **k))[1])
+    load = DataStreamReader.load
+    monkeypatch.setattr(DataStreamReader, "load", lambda self, *a, **k: (seen.append(spark.conf.get(key)), load(self, *a, **k))[1])
+    append(files.events(spark, src), lake.table("bronze", "e"), lake.checkpoint("bronze", "e"))
+    assert seen == ["0", "0"] and spark.conf.get(key) == before
