@@ -23,8 +23,8 @@ def join_lookup(left: DataFrame, right: DataFrame, on, how: str = "left") -> Dat
 def by_merge(lists: DataFrame) -> DataFrame:
     """Name lists whose joins merge on the key, whatever the planner takes the lists' size for.
 
-    A written list table is a few bytes a match on disk, as the names of its lists repeat, and some 10 KB a match in
-    memory. By its file size the planner would broadcast it, through the driver, at any number of matches.
+    A written list table is a few bytes a match on disk, as the names of its lists repeat, and some 5 KB a match in
+    memory. By its file size the planner would broadcast it, through the driver, for hundreds of thousands of matches.
     """
     return lists.hint("merge")
 

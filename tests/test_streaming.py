@@ -452,7 +452,7 @@ def test_tables_partitioned_by_match_come_without_checksum_files(spark, tmp_path
 
 
 def test_written_name_lists_are_merged_not_broadcast(spark, tmp_path):
-    """Their files are small however many matches they hold: in the driver a list takes some 10 KB."""
+    """Their files are small however many matches they hold: in the driver a match takes some 5 KB."""
     players = spark.createDataFrame([(m, "India", f"Player {p}") for m in range(3) for p in range(4)], "matchid long, team string, player_name string")
     lake = Lake(str(tmp_path / "lake"))
     lake.overwrite(lookups.match_name_lists(players), "silver", "match_name_lists")
